@@ -1,0 +1,46 @@
+"""Compare a Spark result with the SQL of the same name, run by DuckDB."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path)[: -len(".parquet")]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _rows(table) -> list[tuple]:
+    names = sorted(table.column_names)
+    rows = zip(*[table.column(n).to_pylist() for n in names]) if names else []
+    return sorted(rows, key=repr)
+
+
+def differences(spark_df, con, sql: str) -> list[str]:
+    """What differs: column names, types, row count or values (row order aside)."""
+    ours = spark_df.toArrow()
+    theirs = con.execute(sql).to_arrow_table()
+    if sorted(ours.column_names) != sorted(theirs.column_names):
+        return [f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"]
+    found = []
+    for name in ours.column_names:
+        a, b = ours.schema.field(name).type, theirs.schema.field(name).type
+        if str(a).replace("large_", "") != str(b).replace("large_", ""):
+            found.append(f"type of {name}: {a} != {b}")
+    a, b = _rows(ours), _rows(theirs)
+    if len(a) != len(b):
+        found.append(f"{len(a)} rows != {len(b)}")
+    else:
+        wrong = [(x, y) for x, y in zip(a, b) if repr(x) != repr(y)]
+        if wrong:
+            found.append(f"{len(wrong)} rows differ, first {wrong[0]}")
+    return found
+
+
+__all__ = ["connect", "differences"]
