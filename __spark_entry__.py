@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from tillstar import METRICS, build_fact, metric_from_tables, run_batch, star_tables
-from tillstar.functions import standardize
+from tillstar.functions import as_double, standardize
 from tillstar.operators import audit, cleaning, joins
-from tillstar.operators.aggregates import sort_columns
+from tillstar.operators.aggregates import sort_columns, totals
 from tillstar.operators.windows import with_row_index
+from tillstar.plans import order_sales
 from tillstar.schemas import ORDER_DATE_FORMAT, Tables
 from tillstar.sinks import shared_path, write_fact, write_result
 
@@ -37,6 +38,11 @@ def _on_tables(build: Callable[[Tables], DataFrame]):
     return lambda spark, sf_dir: build(star_tables(spark, sf_dir))
 
 
+def _priced(build: Callable[[Tables], DataFrame]):
+    """Emit the exact line totals as double, as the results do."""
+    return lambda t: as_double(build(t), "item_total")
+
+
 def _orders_parsed(t: Tables) -> DataFrame:
     # The stored dates are timestamps: write them as text, then parse that text.
     as_text = t.orders.withColumn("order_date", F.date_format("order_date", ORDER_DATE_FORMAT))
@@ -66,10 +72,6 @@ def _standardized_text(t: Tables) -> DataFrame:
 
 
 def _order_totals(t: Tables) -> DataFrame:
-    from tillstar.functions import as_double
-    from tillstar.operators.aggregates import totals
-    from tillstar.plans import order_sales
-
     return as_double(totals(order_sales(t), {"order_id": "order_id"}, "order_total"), "order_total")
 
 
@@ -91,7 +93,7 @@ def _read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def _sink_fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = build_fact(star_tables(spark, sf_dir))
     path = write_fact(fact, shared_path(spark, "fact"))
-    return _read_back(spark, path, fact.schema)
+    return as_double(_read_back(spark, path, fact.schema), "item_total")
 
 
 def _sink_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,23 +133,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_parsed": _orders_parsed,
         "items_typed": lambda t: cleaning.type_items(t.order_items),
         "items_nonnull": lambda t: cleaning.drop_null_items(cleaning.type_items(t.order_items)),
-        "item_totals": lambda t: cleaning.clean_items(t.order_items),
+        "item_totals": _priced(lambda t: cleaning.clean_items(t.order_items)),
         "orders_calendar": lambda t: cleaning.add_calendar(cleaning.parse_orders(t.orders)),
         "standardized_text": _standardized_text,
         "orders_not_cancelled": lambda t: cleaning.drop_cancelled(t.orders),
         "orders_positive_total": lambda t: cleaning.keep_positive_totals(t.orders),
         "orders_total_filled": lambda t: cleaning.fill_missing_totals(t.orders),
         "cleaning_audit": audit.cleaning_audit,
-        "join_orders_items": lambda t: joins.join_orders_items(
-            t.orders, cleaning.clean_items(t.order_items)
+        "join_orders_items": _priced(
+            lambda t: joins.join_orders_items(t.orders, cleaning.clean_items(t.order_items))
         ),
-        "join_products": lambda t: joins.join_products(
-            cleaning.clean_items(t.order_items), cleaning.standardize_products(t.products)
+        "join_products": _priced(
+            lambda t: joins.join_products(
+                cleaning.clean_items(t.order_items), cleaning.standardize_products(t.products)
+            )
         ),
         "join_customers": lambda t: joins.join_customers(
             t.orders, cleaning.standardize_customers(t.customers)
         ),
-        "fact_table": build_fact,
+        "fact_table": _priced(build_fact),
         "order_totals": _order_totals,
         "result_with_index": _result_with_index,
     }
@@ -358,7 +362,8 @@ def _profile_schema_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     """Equivalent SQL for each query, over the given tables."""
-    fact = _fact_sql("SELECT * FROM fact")
+    priced = "* REPLACE (CAST(item_total AS DOUBLE) AS item_total)"
+    fact = _fact_sql(f"SELECT {priced} FROM fact")
     sql = {
         "scan_customers": _table_sql("SELECT * FROM customers"),
         "scan_products": _table_sql("SELECT * FROM products"),
@@ -376,7 +381,7 @@ UNION ALL SELECT 'fact_table', count(*) FROM fact"""),
         "items_nonnull": _table_sql(
             "SELECT * FROM order_items WHERE quantity IS NOT NULL AND price_per_unit IS NOT NULL"
         ),
-        "item_totals": _table_sql("SELECT * FROM clean_items"),
+        "item_totals": _table_sql(f"SELECT {priced} FROM clean_items"),
         "orders_calendar": _table_sql("""
 SELECT *, CAST(year(order_date) AS INTEGER) AS order_year,
        CAST(month(order_date) AS INTEGER) AS order_month,
@@ -410,10 +415,11 @@ SELECT 'non_positive_totals', count(*), count(*) FILTER (total_amount > 0),
        count(*) - count(*) FILTER (total_amount > 0)
 FROM joined WHERE status <> 'cancelled'"""),
         "join_orders_items": _table_sql(
-            "SELECT * FROM sales_orders JOIN clean_items USING (order_id)"
+            f"SELECT {priced} FROM sales_orders JOIN clean_items USING (order_id)"
         ),
         "join_products": _table_sql("""
-SELECT i.*, lower(trim(product_name, ' ')) AS product_name,
+SELECT i.* REPLACE (CAST(item_total AS DOUBLE) AS item_total),
+       lower(trim(product_name, ' ')) AS product_name,
        lower(trim(category, ' ')) AS category, lower(trim(brand, ' ')) AS brand
 FROM clean_items i JOIN products p ON p.product_id = i.product_id"""),
         "join_customers": _table_sql("""

@@ -1,0 +1,133 @@
+"""The results computed row by row in plain Python, for small tables."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
+
+CENT = Decimal("0.01")
+
+
+def cents(x) -> Decimal:
+    return Decimal(repr(x)).quantize(CENT, ROUND_HALF_UP)
+
+
+def parse(text):
+    try:
+        return datetime.strptime(text, "%Y-%m-%d %H:%M:%S") if text is not None else None
+    except ValueError:
+        return None
+
+
+def standard(text):
+    return None if text is None else text.strip(" ").lower()
+
+
+def fact(customers, products, orders, items):
+    """Rows as dicts; the arguments are the literal rows given to ``make``."""
+    out = []
+    for oid, cust, date, total, status in orders:
+        if status is None or status == "cancelled" or total is None or not total > 0:
+            continue
+        for item_order, product, quantity, price in items:
+            if oid is None or item_order != oid or quantity is None or price is None:
+                continue
+            for pid, name, category in products:
+                if pid is None or pid != product:
+                    continue
+                for cid, first, last, country in customers:
+                    if cid is None or cid != cust:
+                        continue
+                    out.append(
+                        {
+                            "order_id": oid,
+                            "customer_id": cid,
+                            "product_id": pid,
+                            "date": parse(date),
+                            "amount": cents(quantity * price),
+                            "product_name": standard(name),
+                            "category": standard(category),
+                            "first_name": first,
+                            "last_name": last,
+                            "country": standard(country),
+                        }
+                    )
+    return out
+
+
+def total_by(rows, key):
+    sums = defaultdict(Decimal)
+    for row in rows:
+        sums[key(row)] += row["amount"]
+    return dict(sums)
+
+
+def none_first(value):
+    """Sort key that puts None first, also inside tuples."""
+    values = value if isinstance(value, tuple) else (value,)
+    return tuple((v is not None, v) for v in values)
+
+
+def results(rows) -> dict[str, list[tuple]]:
+    def day(r):
+        return r["date"].date() if r["date"] else None
+
+    def month(r):
+        return (r["date"].year, r["date"].month) if r["date"] else (None, None)
+
+    def quarter(r):
+        return (r["date"].year, (r["date"].month + 2) // 3) if r["date"] else (None, None)
+
+    def ascending(sums):
+        return [(k, float(v)) for k, v in sorted(sums.items(), key=lambda e: none_first(e[0]))]
+
+    def flat(pairs):
+        return [((*k, v) if isinstance(k, tuple) else (k, v)) for k, v in pairs]
+
+    def descending(sums):
+        ordered = sorted(sums.items(), key=lambda e: (-e[1], none_first(e[0])))
+        return [(k, float(v)) for k, v in ordered]
+
+    out = {
+        "sales_by_date": flat(ascending(total_by(rows, day))),
+        "monthly_sales": flat(ascending(total_by(rows, month))),
+        "quarterly_sales": flat(ascending(total_by(rows, quarter))),
+        "sales_by_category": flat(descending(total_by(rows, lambda r: r["category"]))),
+        "sales_by_country": flat(descending(total_by(rows, lambda r: r["country"]))),
+        "top_n_products": flat(
+            descending(total_by(rows, lambda r: (r["product_id"], r["product_name"])))
+        )[:10],
+        "top_n_customers": flat(
+            descending(
+                total_by(rows, lambda r: (r["customer_id"], r["first_name"], r["last_name"]))
+            )
+        )[:10],
+    }
+    per_order = total_by(rows, lambda r: r["order_id"])
+    mean = float(sum(per_order.values())) / len(per_order) if per_order else None
+    out["aov"] = [(None if mean is None else float(cents(mean)),)]
+
+    running, so_far = [], Decimal(0)
+    for d, amount in sorted(total_by(rows, day).items(), key=lambda e: none_first(e[0])):
+        so_far += amount
+        running.append((d, float(amount), float(so_far)))
+    out["running_total_sales"] = running
+
+    ranked = []
+    products = total_by(rows, lambda r: (r["category"], r["product_id"], r["product_name"]))
+    for (category, pid, name), amount in products.items():
+        rank = 1 + sum(k[0] == category and v > amount for k, v in products.items())
+        if rank <= 3:
+            ranked.append((category, pid, name, float(amount), rank))
+    out["ranked_products_in_category"] = sorted(
+        ranked, key=lambda r: none_first((r[0], r[4], r[1]))
+    )
+
+    growth, before = [], None
+    for year, m, amount in out["monthly_sales"]:
+        change = None if not before else float(cents((amount - before) / before * 100))
+        growth.append((year, m, amount, before, change))
+        before = amount
+    out["monthly_sales_with_lag"] = growth
+    return out

@@ -25,7 +25,7 @@ def _rows(table) -> list[tuple]:
 def differences(spark_df, con, sql: str) -> list[str]:
     """What differs: column names, types, row count or values (row order aside)."""
     ours = spark_df.toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return [f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"]
     found = []

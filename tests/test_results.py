@@ -1,0 +1,145 @@
+"""Results on literal tables: fixed edge cases, then random tables by brute force."""
+
+import random
+from datetime import date
+
+import brute
+import pytest
+from conftest import rows
+
+from tillstar import METRICS, build_fact, metric_from_tables, run_metrics
+from tillstar.plans import rollup_fact
+from tillstar.schemas import FACT_COLUMNS
+
+D = "2023-01-05 10:00:00"
+
+
+def order(oid, day=D, customer="c", total=9.0, status="completed"):
+    return (oid, customer, day, total, status)
+
+
+def result(tables, name, size=None):
+    return rows(metric_from_tables(tables, name, size))
+
+
+def test_fact_has_the_fixed_columns_and_keeps_padded_cancelled(make):
+    fact = build_fact(make([order("o", status=" Cancelled ")], [("o", "p", 2, 1.5)]))
+    assert fact.columns == FACT_COLUMNS
+    row = fact.first()
+    assert (row.status, float(row.item_total), row.category) == ("cancelled", 3.0, "cat")
+
+
+def test_orphans_drop_and_duplicate_dimension_keys_repeat(make):
+    tables = make(
+        [order("o1"), order("o2", customer="nobody"), (None, "c", D, 1.0, "a")],
+        [("o1", "p", 1, 2.0), ("o1", "ghost", 1, 5.0), ("nope", "p", 1, 7.0), ("o2", "p", 1, 1.0), (None, "p", 1, 1.0)],
+        products=[("p", "a", "x"), ("p", "b", "x")],
+        customers=[("c", "F", "L", "here")],
+    )
+    assert sorted(r.product_name for r in build_fact(tables).collect()) == ["a", "b"]
+    assert result(tables, "sales_by_category") == [("x", 4.0)]
+    assert result(tables, "aov") == [(4.0,)]
+    assert result(tables, "top_n_products") == [("p", "a", 2.0), ("p", "b", 2.0)]
+
+
+def test_order_value_uses_the_remaining_items(make):
+    tables = make([order("o", total=99.0)], [("o", "p", 1, 2.0), ("o", "p", None, 50.0), ("o", "q", 2, 0.5)])
+    assert result(tables, "aov") == [(3.0,)]
+
+
+def test_null_dates_form_the_first_group(make):
+    tables = make(
+        [order("a", "junk"), order("b", "2023-02-01 00:00:00"), order("c", "2023-01-31 00:00:00")],
+        [("a", "p", 1, 4.0), ("b", "p", 1, 2.0), ("c", "p", 1, 1.0)],
+    )
+    assert result(tables, "sales_by_date") == [(None, 4.0), (date(2023, 1, 31), 1.0), (date(2023, 2, 1), 2.0)]
+    assert [r[2] for r in result(tables, "running_total_sales")] == [4.0, 5.0, 7.0]
+    assert result(tables, "monthly_sales_with_lag") == [
+        (None, None, 4.0, None, None),
+        (2023, 1, 1.0, 4.0, -75.0),
+        (2023, 2, 2.0, 1.0, 100.0),
+    ]
+    assert result(tables, "quarterly_sales") == [(None, None, 4.0), (2023, 1, 3.0)]
+
+
+def test_lag_skips_months_without_sales_and_zero_month_gives_no_growth(make):
+    tables = make(
+        [order("a", "2023-01-01 00:00:00"), order("b", "2023-04-01 00:00:00"), order("c", "2023-05-01 00:00:00")],
+        [("a", "p", 1, 4.0), ("b", "p", 0, 2.0), ("c", "p", 1, 1.0)],
+    )
+    assert result(tables, "monthly_sales_with_lag") == [
+        (2023, 1, 4.0, None, None),
+        (2023, 4, 0.0, 4.0, -100.0),
+        (2023, 5, 1.0, 0.0, None),
+    ]
+
+
+def test_tie_at_the_end_of_a_top_list_goes_to_the_lower_id(make):
+    items = [("o", f"p{i:02}", 1, float(20 - i)) for i in range(9)]
+    items += [("o", "p98", 1, 5.0), ("o", "p97", 1, 5.0)]
+    top = result(make([order("o")], items), "top_n_products")
+    assert len(top) == 10 and top[-1][0] == "p97"
+
+
+def test_ties_share_a_rank_and_all_are_kept(make):
+    items = [("o", "p1", 1, 9.0), ("o", "p2", 1, 8.0), ("o", "p3", 1, 7.0), ("o", "p4", 1, 7.0), ("o", "p5", 1, 6.0)]
+    tables = make([order("o")], items)
+    ranked = result(tables, "ranked_products_in_category")
+    assert [(r[1], r[4]) for r in ranked] == [("p1", 1), ("p2", 2), ("p3", 3), ("p4", 3)]
+    assert [r[1] for r in result(tables, "ranked_products_in_category", size=1)] == ["p1"]
+    assert len(result(tables, "top_n_products", size=2)) == 2
+
+
+def test_no_sales(make):
+    tables = make([order("o", status="cancelled")], [("o", "p", 1, 1.0)])
+    for name in METRICS:
+        assert result(tables, name) == ([(None,)] if name == "aov" else [])
+
+
+def test_unknown_result_is_refused(make):
+    tables = make([order("o")], [("o", "p", 1, 1.0)])
+    with pytest.raises(ValueError, match="unknown results"):
+        metric_from_tables(tables, "sales_by_moon")
+    assert list(run_metrics(build_fact(tables), ["aov"])) == ["aov"]
+
+
+def random_tables(seed):
+    r = random.Random(seed)
+    customers = [(f"c{i}", f"F{i % 3}", f"L{i % 4}", r.choice(["North ", "south", None])) for i in range(12)]
+    customers += r.sample(customers, 2) + [(None, "x", "y", "z")]
+    products = [(f"p{i}", f" Name{i % 7}", r.choice(["A", "a ", "B", None])) for i in range(15)]
+    products += r.sample(products, 2)
+    days = ["2023-01-31 23:59:59", "2023-02-01 00:00:00", "2023-06-15 12:00:00", "2024-02-29 08:00:00", "bad", None]
+    statuses = ["completed", "pending", "cancelled", "Cancelled", None]
+    orders = [
+        (f"o{i}", r.choice(["c0"] * 8 + [c[0] for c in customers] + ["ghost"]), r.choice(days),
+         r.choice([10.0, 5.5, 0.0, -1.0, None, 7.0]), r.choice(statuses))
+        for i in range(60)
+    ]
+    orders += r.sample(orders, 3)
+    hot = "o1"  # a third of all items belong to one order
+    items = [
+        (hot if r.random() < 0.33 else r.choice([o[0] for o in orders] + ["none", None]),
+         r.choice([p[0] for p in products] + ["ghost", None]),
+         r.choice([1, 2, 3, -1, None]), r.choice([1.005, 2.675, 19.99, 0.285, 100.0, None]))
+        for i in range(300)
+    ]
+    return customers, products, orders, items
+
+
+@pytest.mark.parametrize("seed, broadcast", [(1, "10485760"), (2, "-1")])
+def test_random_tables_agree_with_brute_force_on_every_path(make, conf, seed, broadcast):
+    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+    customers, products, orders, items = random_tables(seed)
+    tables = make(orders, items, products, customers)
+    expected_fact = brute.fact(customers, products, orders, items)
+    expected = brute.results(expected_fact)
+    fact = build_fact(tables).cache()
+    assert fact.count() == len(expected_fact) > 0
+    rollups = {grain: rollup_fact(fact, grain) for grain in ("day", "product", "customer", "order")}
+    from_fact, from_rollups = run_metrics(fact), run_metrics(fact, rollups=rollups)
+    for name in METRICS:
+        assert rows(from_fact[name]) == expected[name], name
+        assert rows(from_rollups[name]) == expected[name], name
+        assert result(tables, name) == expected[name], name
+    fact.unpersist()
