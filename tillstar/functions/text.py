@@ -8,4 +8,4 @@ from pyspark.sql import functions as F
 
 def standardize(df: DataFrame, *columns: str) -> DataFrame:
     """Lower-case and trim spaces (spaces only: tabs and newlines stay)."""
-    return df.withColumns({c: F.lower(F.trim(F.col(c))) for c in columns})
+    return df.withColumns({c: F.expr(f"lower(trim({c}))") for c in columns})

@@ -23,8 +23,8 @@ def type_items(items: DataFrame) -> DataFrame:
     """quantity as int and price_per_unit as double; null where that fails."""
     return items.withColumns(
         {
-            "quantity": F.col("quantity").try_cast("int"),
-            "price_per_unit": F.col("price_per_unit").try_cast("double"),
+            "quantity": F.expr("try_cast(quantity as int)"),
+            "price_per_unit": F.expr("try_cast(price_per_unit as double)"),
         }
     )
 
@@ -32,7 +32,7 @@ def type_items(items: DataFrame) -> DataFrame:
 def drop_null_items(items: DataFrame) -> DataFrame:
     """Drop items without quantity or price. Written as filters, which a columnar
     scan can use to skip data."""
-    return items.filter(F.col("quantity").isNotNull() & F.col("price_per_unit").isNotNull())
+    return items.filter("quantity is not null and price_per_unit is not null")
 
 
 def add_item_total(items: DataFrame) -> DataFrame:

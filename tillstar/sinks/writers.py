@@ -51,14 +51,14 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by=()) -> str:
 def write_fact(fact: DataFrame, destination: str, fmt: str = "csv", by_month: bool = False) -> str:
     """Write the fact table in parallel, as many files as it has partitions.
 
-    ``by_month`` lays it out in a directory per year and month. Rows are first ranged
-    by month and order, so each task writes few directories and a month that holds
-    most of the sales is spread over many tasks.
+    ``by_month`` lays it out in a directory per year and month. Rows are first brought
+    together by month, in partitions that adaptive execution evens out: small months
+    share a task and a month that holds most of the sales is split over many.
     """
     layout = ()
     if by_month:
         layout = ("order_year", "order_month")
-        fact = fact.repartitionByRange(*layout, "order_id", "product_id")
+        fact = fact.hint("rebalance", *[F.col(c) for c in layout])
     return _write(fact, f"{destination.rstrip('/')}/{FACT_NAME}", fmt, layout)
 
 

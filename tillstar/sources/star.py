@@ -7,12 +7,11 @@ is spent on reading file footers to infer a schema.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.schemas import Tables
 
-# The stored columns this adapter reads, and the status codes.
+# The stored columns this adapter reads, and how they map to the contract.
 STAR_COLUMNS = {
     "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int",
@@ -23,72 +22,52 @@ STAR_COLUMNS = {
     ),
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double",
 }
-STATUS_CODES = {"F": "completed", "O": "pending", "P": "cancelled"}
+CUSTOMER_COLUMNS = [
+    "c_custkey as customer_id",
+    "split_part(c_name, '#', 1) as first_name",
+    "split_part(c_name, '#', 2) as last_name",
+    "cast(null as string) as email",
+    "n_name as country",
+]
+PRODUCT_COLUMNS = [
+    "p_partkey as product_id",
+    "p_name as product_name",
+    "p_type as category",
+    "p_brand as brand",
+]
+ORDER_COLUMNS = [
+    "o_orderkey as order_id",
+    "o_custkey as customer_id",
+    "o_orderdate as order_date",
+    "o_totalprice as total_amount",
+    "case o_orderstatus when 'F' then 'completed' when 'O' then 'pending'"
+    " when 'P' then 'cancelled' end as status",
+]
+ORDER_ITEM_COLUMNS = [
+    "cast(null as string) as order_item_id",
+    "l_orderkey as order_id",
+    "l_partkey as product_id",
+    "try_cast(l_quantity as int) as quantity",
+    "try_divide(l_extendedprice, l_quantity) as price_per_unit",
+]
 
 
 def _scan(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(STAR_COLUMNS[name]).parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
-def _status(code: Column) -> Column:
-    branches = F.lit(None).cast("string")
-    for stored, status in STATUS_CODES.items():
-        branches = F.when(code == stored, status).otherwise(branches)
-    return branches
-
-
 def star_customers(spark: SparkSession, path: str) -> DataFrame:
-    nation = _scan(spark, path, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
-    )
     # Left join: a customer with an unknown nation stays, without a country.
-    return (
-        _scan(spark, path, "customer")
-        .join(nation, "c_nationkey", "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-            F.lit(None).cast("string").alias("email"),
-            "country",
-        )
-    )
-
-
-def star_products(spark: SparkSession, path: str) -> DataFrame:
-    return _scan(spark, path, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-    )
-
-
-def star_orders(spark: SparkSession, path: str) -> DataFrame:
-    return _scan(spark, path, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("o_totalprice").alias("total_amount"),
-        _status(F.col("o_orderstatus")).alias("status"),
-    )
-
-
-def star_order_items(spark: SparkSession, path: str) -> DataFrame:
-    return _scan(spark, path, "lineitem").select(
-        F.lit(None).cast("string").alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").try_cast("int").alias("quantity"),
-        F.try_divide("l_extendedprice", "l_quantity").alias("price_per_unit"),
-    )
+    nation = _scan(spark, path, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    customer = _scan(spark, path, "customer").join(nation, "c_nationkey", "left")
+    return customer.selectExpr(*CUSTOMER_COLUMNS)
 
 
 def star_tables(spark: SparkSession, path: str) -> Tables:
     """The four contract tables, as views over the star schema in ``path``."""
     return Tables(
         customers=star_customers(spark, path),
-        products=star_products(spark, path),
-        orders=star_orders(spark, path),
-        order_items=star_order_items(spark, path),
+        products=_scan(spark, path, "part").selectExpr(*PRODUCT_COLUMNS),
+        orders=_scan(spark, path, "orders").selectExpr(*ORDER_COLUMNS),
+        order_items=_scan(spark, path, "lineitem").selectExpr(*ORDER_ITEM_COLUMNS),
     )
