@@ -194,6 +194,12 @@ def test_results_under_skew_equal_those_of_a_plain_sum(skewed, split_small_parti
     ]
 
 
+def test_country_lookup_is_read_only_where_it_is_needed(spark, long_plans):
+    tables = star_tables(spark, SF_DIR)
+    assert "nation" not in scans(plan(metric_from_tables(tables, "sales_by_date")))
+    assert "nation" in scans(plan(metric_from_tables(tables, "sales_by_country")))
+
+
 def test_star_scans_do_not_infer_schemas(spark):
     before = spark.sparkContext.statusTracker().getJobIdsForGroup()
     star_tables(spark, SF_DIR)
