@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from tillstar import METRICS, build_fact, metric_from_tables, run_batch, star_tables
+from tillstar import (
+    METRICS,
+    build_fact,
+    load_tables,
+    metric_from_tables,
+    run_batch,
+    star_tables,
+)
 from tillstar.functions import as_double, standardize
 from tillstar.operators import audit, cleaning, joins
 from tillstar.operators.aggregates import sort_columns, totals
@@ -103,6 +110,19 @@ def _sink_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, path, result.schema)
 
 
+def _fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store the four tables as CSV, load them as CSV, and build the fact from that."""
+    root = shared_path(spark, "csv")
+    for name, df in star_tables(spark, sf_dir)._asdict().items():
+        df.write.option("header", True).option("timestampNTZFormat", ORDER_DATE_FORMAT).csv(
+            f"{root}/{name}.csv"
+        )
+    fact = build_fact(load_tables(spark, root, "csv"))
+    # Without a time zone, as the given dates are.
+    fact = fact.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+    return as_double(fact, "item_total")
+
+
 def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the whole batch, read every stored result back, and sum it up."""
     tables = star_tables(spark, sf_dir)
@@ -158,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in METRICS:
         table_queries[name] = lambda t, name=name: metric_from_tables(t, name)
     return {name: _on_tables(build) for name, build in table_queries.items()} | {
+        "fact_from_csv": _fact_from_csv,
         "sink_fact_roundtrip": _sink_fact_roundtrip,
         "sink_results_roundtrip": _sink_results_roundtrip,
         "stored_results": _stored_results,
@@ -426,6 +447,12 @@ FROM clean_items i JOIN products p ON p.product_id = i.product_id"""),
 SELECT o.*, first_name, last_name, email, lower(trim(country, ' ')) AS country
 FROM sales_orders o JOIN customers c ON c.customer_id = o.customer_id"""),
         "fact_table": fact,
+        "fact_from_csv": _fact_sql("""
+SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
+                  CAST(product_id AS VARCHAR) AS product_id,
+                  CAST(order_id AS VARCHAR) AS order_id,
+                  CAST(item_total AS DOUBLE) AS item_total)
+FROM fact"""),
         "order_totals": _fact_sql(_total("order_id", "order_total", "1")),
         "result_with_index": _fact_sql(f"""
 SELECT CAST(row_number() OVER (ORDER BY country_total_sales DESC NULLS LAST,

@@ -13,7 +13,7 @@ from tillstar.operators.cleaning import (
     qualify_orders,
     type_items,
 )
-from tillstar.operators.joins import join_customers, join_orders_items, join_products
+from tillstar.operators.joins import join_customers, join_products
 from tillstar.schemas import FACT_NAME, Tables
 
 
@@ -75,7 +75,7 @@ def joined_rows(tables: Tables) -> DataFrame:
         tables.orders.select("order_id", "customer_id", "status", "total_amount"),
         tables.customers.select("customer_id"),
     )
-    return join_orders_items(orders, per_order)
+    return orders.join(per_order, "order_id", "inner")
 
 
 def cleaning_audit(tables: Tables) -> DataFrame:

@@ -59,14 +59,15 @@ def order_sales(tables: Tables, check_customers: bool = True, **options) -> Data
     """(order_id, customer_id, order_date, item_total) of the qualifying orders.
 
     The aggregate is already partitioned by order_id, so the join shuffles only the
-    orders. ``check_customers=False`` leaves customers to the caller.
+    orders; these stand left, as items have one row per order here.
+    ``check_customers=False`` leaves customers to the caller.
     """
     orders = qualify_orders(tables.orders, **options).select(
         "order_id", "customer_id", "order_date"
     )
     if check_customers:
         orders = join_customers(orders, tables.customers.select("customer_id"))
-    return join_orders_items(orders, items_per_order(tables))
+    return orders.join(items_per_order(tables), "order_id", "inner")
 
 
 def customer_sales(tables: Tables, **options) -> DataFrame:

@@ -1,7 +1,7 @@
 """Writers. Executors write the files; no rows pass through the driver.
 
-Every table becomes a directory of that name below the destination and replaces an
-earlier one.
+Every table becomes a directory ``<name>_<format>`` below the destination and replaces
+an earlier one.
 """
 
 from __future__ import annotations
@@ -33,9 +33,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def _write(df: DataFrame, path: str, fmt: str, partition_by=()) -> str:
+def _write(df: DataFrame, destination: str, name: str, fmt: str, partition_by=()) -> str:
     if fmt not in _FORMATS:
         raise ValueError(f"unknown sink format {fmt!r}; use one of {list(_FORMATS)}")
+    path = f"{destination.rstrip('/')}/{name}_{fmt}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -59,7 +60,7 @@ def write_fact(fact: DataFrame, destination: str, fmt: str = "csv", by_month: bo
     if by_month:
         layout = ("order_year", "order_month")
         fact = fact.hint("rebalance", *[F.col(c) for c in layout])
-    return _write(fact, f"{destination.rstrip('/')}/{FACT_NAME}", fmt, layout)
+    return _write(fact, destination, FACT_NAME, fmt, layout)
 
 
 def _plain_money(df: DataFrame) -> DataFrame:
@@ -90,4 +91,4 @@ def write_result(
         result = result.sortWithinPartitions(*keys)
     if fmt == "csv":
         result = _plain_money(result)
-    return _write(result, f"{destination.rstrip('/')}/{name}", fmt)
+    return _write(result, destination, name, fmt)
