@@ -53,6 +53,19 @@ def test_item_total_rounds_half_up_to_cents(spark, quantity, price, expected):
     assert out.item_total == Decimal(expected)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("price", [1e18, float("nan"), float("inf")])
+def test_item_total_that_is_no_amount_fails_loudly(spark, conf, price, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|not an amount of money"):
+        cleaning.clean_items(items(spark, (1, price))).collect()
+
+
+def test_item_total_of_missing_values_is_missing(spark):
+    out = cleaning.add_item_total(items(spark, (None, 1.0), (1, None)))
+    assert [r.item_total for r in out.collect()] == [None, None]
+
+
 def test_item_total_equals_round_then_cast(spark):
     df = spark.range(200_000).select(
         ((F.rand(7) * 1000).cast("decimal(10,3)").cast("double") * (1 + F.col("id") % 9)).alias("x")

@@ -127,9 +127,18 @@ def random_tables(seed):
     return customers, products, orders, items
 
 
-@pytest.mark.parametrize("seed, broadcast", [(1, "10485760"), (2, "-1")])
-def test_random_tables_agree_with_brute_force_on_every_path(make, conf, seed, broadcast):
-    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+@pytest.mark.parametrize(
+    "seed, broadcast, ansi, zone",
+    [(1, "10485760", "true", "UTC"), (2, "-1", "false", "America/Sao_Paulo")],
+)
+def test_random_tables_agree_with_brute_force_on_every_path(
+    make, conf, seed, broadcast, ansi, zone
+):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold=broadcast,
+        spark__sql__ansi__enabled=ansi,
+        spark__sql__session__timeZone=zone,
+    )
     customers, products, orders, items = random_tables(seed)
     tables = make(orders, items, products, customers)
     expected_fact = brute.fact(customers, products, orders, items)

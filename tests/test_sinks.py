@@ -34,6 +34,17 @@ def test_result_is_one_ordered_file_with_plain_money(spark, tables, tmp_path):
     assert lines[2:] == sorted(lines[2:]) and "E" not in "".join(lines[1:])
 
 
+def test_small_results_are_one_file_each_and_large_ones_are_not(spark, conf, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("id as k", "cast(id % 1000 as double) as v")
+    small = write_result(df.filter("k < 500"), "small", str(tmp_path), order=(("k", "desc"),))
+    assert text(small)[1:] == [f"{k},{k}.00" for k in range(499, -1, -1)]
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1m")
+    large = write_result(df, "large", str(tmp_path), order=(("k", "asc"),))
+    files = sorted(glob.glob(f"{large}/*.csv"))
+    keys = [int(line.split(",")[0]) for f in files for line in open(f).read().splitlines()[1:]]
+    assert len(files) > 1 and keys == list(range(400_000))
+
+
 def test_index_column(spark, tables, tmp_path):
     metric = METRICS["sales_by_country"]
     path = write_result(metric(build_fact(tables)), "r", str(tmp_path), order=metric.order, with_index=True)

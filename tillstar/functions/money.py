@@ -14,10 +14,15 @@ from tillstar.schemas import MONEY
 
 
 def item_total(quantity: Column, price: Column) -> Column:
-    """quantity x price in cents. The cast rounds half-up on the decimal text of
-    the double, exactly as ``round(x, 2)`` does, and saves that second conversion.
-    A product beyond 18 digits raises an error instead of losing the row."""
-    return (quantity * price).cast(MONEY)
+    """quantity x price in cents, null when either is missing.
+
+    The cast rounds half-up on the decimal text of the double, exactly as
+    ``round(x, 2)`` does, and saves that second conversion. A product that is no amount
+    (NaN, infinite, beyond 18 digits) raises an error: as null it would be left out of
+    every sum unnoticed."""
+    product = quantity * price
+    no_amount = F.raise_error(F.lit("quantity x price_per_unit is not an amount of money"))
+    return F.when(product.isNotNull(), F.coalesce(product.cast(MONEY), no_amount))
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:

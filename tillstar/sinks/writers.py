@@ -77,18 +77,19 @@ def write_result(
     order=(),
     with_index: bool = False,
 ) -> str:
-    """Write one result as a single file in the given order ``[(column, way), ...]``.
+    """Write one result in the given order ``[(column, way), ...]``.
 
-    Results are bounded by calendar, categories, countries or a list length, so one
-    task can hold them. ``with_index`` adds a 0-based first column ``row_index``.
+    Files follow each other in that order. Adaptive execution merges the partitions of a
+    small result, which then is one file; a large one is sorted and written in parallel.
+    ``with_index`` adds a 0-based first column ``row_index``, counted in one task: leave
+    it off for results that may be large.
     """
     keys = sort_columns(order)
     if with_index:
         result = with_row_index(result, keys or [F.lit(0)])
         keys = [F.col("row_index")]
-    result = result.repartition(1)
     if keys:
-        result = result.sortWithinPartitions(*keys)
+        result = result.orderBy(*keys)
     if fmt == "csv":
         result = _plain_money(result)
     return _write(result, destination, name, fmt)
