@@ -6,6 +6,8 @@ result, and ``oracle_sql`` the equivalent SQL over the same Parquet tables.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from tillstar import (
     METRICS,
     build_fact,

@@ -21,10 +21,9 @@ def totals(frame: DataFrame, keys: Mapping[str, str], measure: str = "item_total
     return frame.groupBy(*groups).agg(F.sum("item_total").alias(measure))
 
 
-def average_order_value(frame: DataFrame) -> DataFrame:
+def average_order_value(order_totals: DataFrame) -> DataFrame:
     """Mean of the order totals, as one row (null when there are no orders)."""
-    per_order = totals(frame, {"order_id": "order_id"}, "order_total")
-    return per_order.agg(
+    return order_totals.agg(
         mean_to_cents(F.sum("order_total"), F.count("order_total")).alias("average_order_value")
     )
 

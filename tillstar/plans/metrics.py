@@ -8,7 +8,7 @@ window results add one operator on top of such totals.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -29,8 +29,8 @@ class Metric:
     ``finish`` turns the exact totals into the result (default: emit as double)."""
 
     grain: str
-    keys: Mapping[str, str] = field(default_factory=dict)
-    measure: str = ""
+    keys: Mapping[str, str]
+    measure: str
     order: tuple[tuple[str, str], ...] = ()
     limit: int | None = None
     depth: int | None = None
@@ -38,8 +38,6 @@ class Metric:
 
     def rows(self, frame: DataFrame, size: int | None = None) -> DataFrame:
         """The result rows, in no particular order unless it is a top list."""
-        if not self.keys:
-            return self.finish(frame)
         sums = totals(frame, self.keys, self.measure)
         if self.depth is not None:
             return self.finish(sums, self.depth if size is None else size)
@@ -105,7 +103,12 @@ METRICS: dict[str, Metric] = {
         measure="monthly_sales",
         order=(("order_year", "asc"), ("order_month", "asc")),
     ),
-    "aov": Metric(grain="order", finish=average_order_value),
+    "aov": Metric(
+        grain="order",
+        keys={"order_id": "order_id"},
+        measure="order_total",
+        finish=average_order_value,
+    ),
     "sales_by_country": Metric(
         grain="customer",
         keys={"country": "country"},

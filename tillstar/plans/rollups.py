@@ -80,7 +80,7 @@ def customer_sales(tables: Tables, **options) -> DataFrame:
     customers = standardize_customers(tables.customers).select(
         "customer_id", "first_name", "last_name", "country"
     )
-    return join_customers(by_id, customers)
+    return customers.join(by_id, "customer_id", "inner")
 
 
 def product_sales(tables: Tables, **options) -> DataFrame:
@@ -95,7 +95,7 @@ def product_sales(tables: Tables, **options) -> DataFrame:
     products = standardize_products(tables.products).select(
         "product_id", "product_name", "category"
     )
-    return join_products(by_id, products)
+    return products.join(by_id, "product_id", "inner")
 
 
 # The smaller fact that serves each grain when there is no stored fact table. Sales per
