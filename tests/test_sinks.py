@@ -86,6 +86,13 @@ def test_batch_stores_every_result(spark, tables, tmp_path, fmt):
     assert (out.staged_fact == out.fact) == (fmt == "parquet")
 
 
+def test_batch_by_month(spark, tables, tmp_path):
+    out = run_batch(spark, tables, str(tmp_path), fmt="parquet", by_month=True)
+    assert glob.glob(f"{out.fact}/order_year=2023/order_month=*/*.parquet")
+    expected = run_metrics(build_fact(tables), ["monthly_sales"])["monthly_sales"]
+    assert rows(spark.read.parquet(out.results["monthly_sales"])) == rows(expected)
+
+
 def test_batch_from_csv_files(spark, tables, tmp_path):
     for name, df in tables._asdict().items():
         df.write.option("header", True).csv(str(tmp_path / "in" / f"{name}.csv"))

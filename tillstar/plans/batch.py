@@ -68,6 +68,7 @@ def run_batch(
     destination: str,
     source_fmt: str = "csv",
     fmt: str = "csv",
+    by_month: bool = False,
     **options,
 ) -> BatchOutput:
     """Evaluate the join once, store the fact table, and derive every result from it.
@@ -79,12 +80,12 @@ def run_batch(
     """
     tables = load_tables(spark, source, source_fmt) if isinstance(source, str) else source
     if fmt == "parquet":
-        staged = write_fact(build_fact(tables, **options), destination, fmt)
+        staged = write_fact(build_fact(tables, **options), destination, fmt, by_month)
         fact_path, fact = staged, spark.read.parquet(staged)
     else:
         staged = write_fact(build_fact(tables, **options), shared_path(spark, "fact"), "parquet")
         fact = spark.read.parquet(staged)
-        fact_path = write_fact(fact, destination, fmt)
+        fact_path = write_fact(fact, destination, fmt, by_month)
     rollups = {
         grain: rollup_fact(fact, grain).persist(StorageLevel.MEMORY_AND_DISK)
         for grain in _SHARED_GRAINS
