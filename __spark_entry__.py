@@ -152,7 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_products": lambda t: t.products,
         "scan_orders": lambda t: t.orders,
         "scan_order_items": lambda t: t.order_items,
-        "profile_schema": audit.profile_schema,
+        "profile_schema": audit.profile_columns,
         "profile_row_counts": audit.profile_row_counts,
         "orders_parsed": _orders_parsed,
         "items_typed": lambda t: cleaning.type_items(t.order_items),

@@ -3,7 +3,13 @@ import contextlib
 from conftest import rows
 
 from tillstar import build_fact
-from tillstar.operators.audit import cleaning_audit, profile_row_counts, profile_schema, sample
+from tillstar.operators.audit import (
+    cleaning_audit,
+    profile_columns,
+    profile_row_counts,
+    profile_schema,
+    sample,
+)
 
 D = "2023-01-05 10:00:00"
 
@@ -49,11 +55,15 @@ def test_row_counts_match_the_frames(make):
 
 
 def test_schema_profile(make):
-    profile = rows(profile_schema(tables(make)).filter("table_name = 'orders'").orderBy("position"))
-    assert profile[3:] == [
-        ("orders", 3, "total_amount", "double", True, 5),
-        ("orders", 4, "status", "string", True, 5),
+    t = tables(make)
+    schema = rows(profile_schema(t).filter("table_name = 'orders'").orderBy("position"))
+    assert schema[3:] == [
+        ("orders", 3, "total_amount", "double", True),
+        ("orders", 4, "status", "string", True),
     ]
+    counted = rows(profile_columns(t).filter("table_name = 'orders'").orderBy("position"))
+    assert [(r[2], r[5]) for r in counted][3:] == [("total_amount", 5), ("status", 5)]
+    assert profile_columns(t).count() == profile_schema(t).count() == 19
 
 
 def test_sample(make):

@@ -21,23 +21,31 @@ def _stack(one_row: DataFrame, rows: list[str], columns: str) -> DataFrame:
     return one_row.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as ({columns})")
 
 
+PROFILE = "table_name string, position int, column_name string, data_type string, nullable boolean"
+
+
 def profile_schema(tables: Tables) -> DataFrame:
-    """(table_name, position, column_name, data_type, nullable, non_null_rows) for
-    every column, with one scan of each table."""
-
-    def profile(name: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
-        rows = [
-            f"'{name}', {i}, '{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, n{i}"
-            for i, f in enumerate(df.schema.fields)
-        ]
-        return _stack(
-            counts, rows, "table_name, position, column_name, data_type, nullable, non_null_rows"
-        )
+    """(table_name, position, column_name, data_type, nullable) of every column, from the
+    schemas alone: no table is read."""
+    columns = [
+        (name, i, f.name, f.dataType.simpleString(), f.nullable)
+        for name, df in tables._asdict().items()
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return tables.orders.sparkSession.createDataFrame(columns, PROFILE)
 
-    return reduce(
-        DataFrame.unionByName, [profile(n, df) for n, df in tables._asdict().items()]
-    )
+
+def profile_columns(tables: Tables) -> DataFrame:
+    """The schema profile with the number of non-null rows of each column, in one scan of
+    each table."""
+
+    def counts(name: str, df: DataFrame) -> DataFrame:
+        one_row = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+        rows = [f"'{name}', {i}, n{i}" for i in range(len(df.columns))]
+        return _stack(one_row, rows, "table_name, position, non_null_rows")
+
+    counted = reduce(DataFrame.unionByName, [counts(n, df) for n, df in tables._asdict().items()])
+    return profile_schema(tables).join(counted, ["table_name", "position"])
 
 
 def profile_row_counts(tables: Tables) -> DataFrame:
