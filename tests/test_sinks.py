@@ -7,6 +7,7 @@ from conftest import rows
 import tillstar.plans.batch
 import tillstar.sinks.writers
 from tillstar import METRICS, build_fact, run_batch, run_metrics, write_outputs
+from tillstar.__main__ import main
 from tillstar.sinks import shared_path, write_fact, write_result
 
 D = "2023-01-05 10:00:00"
@@ -93,10 +94,11 @@ def test_batch_by_month(spark, tables, tmp_path):
     assert rows(spark.read.parquet(out.results["monthly_sales"])) == rows(expected)
 
 
-def test_batch_from_csv_files(spark, tables, tmp_path):
+def test_batch_from_csv_files_by_command(spark, tables, tmp_path):
     for name, df in tables._asdict().items():
         df.write.option("header", True).csv(str(tmp_path / "in" / f"{name}.csv"))
-    out = run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    out = main([str(tmp_path / "in"), str(tmp_path / "out")], spark)
+    assert out.fact == str(tmp_path / "out" / "fact_table_csv")
     expected = run_metrics(build_fact(tables), ["aov"])["aov"].first()[0]
     assert float(text(out.results["aov"])[1]) == expected
 

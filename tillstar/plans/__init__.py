@@ -1,6 +1,6 @@
 """Whole plans: the fact table, the rollups, the result registry and the batch run."""
 
-from tillstar.plans.batch import run_batch, write_outputs
+from tillstar.plans.batch import BatchOutput, run_batch, write_outputs
 from tillstar.plans.fact import build_fact
 from tillstar.plans.metrics import METRICS, metric_from_tables, run_metrics
 from tillstar.plans.rollups import (
@@ -11,6 +11,7 @@ from tillstar.plans.rollups import (
 )
 
 __all__ = [
+    "BatchOutput",
     "METRICS",
     "build_fact",
     "customer_sales",
