@@ -33,6 +33,15 @@ from tillstar.plans import order_sales
 from tillstar.schemas import ORDER_DATE_FORMAT, Tables
 from tillstar.sinks import shared_path, write_fact, write_result
 
+try:
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
+    from corpus_pipeline import run as _pipeline
+    from tillstar.llm import queries as _corpus
+except ModuleNotFoundError as missing:  # the sales queries work without that subpackage
+    if not (missing.name or "").startswith(("tillstar.llm", "corpus_pipeline")):
+        raise
+    _corpus = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 FLAGSHIP = "ranked_products_in_category"
 
@@ -147,6 +156,11 @@ def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and result; each takes (spark, sf_dir)."""
+    corpus = _corpus.queries() | {"pipeline": _pipeline} if _corpus else {}
+    return sales_queries() | corpus
+
+
+def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     table_queries: dict[str, Callable[[Tables], DataFrame]] = {
         "scan_customers": lambda t: t.customers,
         "scan_products": lambda t: t.products,
@@ -386,7 +400,14 @@ def _profile_schema_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Equivalent SQL for each query, over the given tables."""
+    """Equivalent SQL for each query that SQL can express, over the given tables."""
+    corpus = _corpus.oracle_sql() if _corpus else {}
+    if _corpus and _PIPELINE_SQL:
+        corpus["pipeline"] = _PIPELINE_SQL
+    return sales_sql() | corpus
+
+
+def sales_sql() -> dict[str, str]:
     priced = "* REPLACE (CAST(item_total AS DOUBLE) AS item_total)"
     fact = _fact_sql(f"SELECT {priced} FROM fact")
     sql = {

@@ -18,13 +18,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.sales_queries()) == set(registry.sales_sql())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.sales_queries()))
 def test_query_agrees_with_sql(spark, con, name):
     df = registry.queries()[name](spark, SF_DIR)
-    assert differences(df, con, registry.oracle_sql()[name]) == []
+    assert differences(df, con, registry.sales_sql()[name]) == []
 
 
 def test_flagship(spark):
