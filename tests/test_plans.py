@@ -13,7 +13,7 @@ from tillstar.operators.audit import cleaning_audit
 from tillstar.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 
 SF_DIR = "/root/testdata/sf0.001"
-LAZY = [n for n in registry.queries() if not n.startswith(("sink_", "stored_", "fact_from_csv"))]
+LAZY = [n for n in registry.sales_queries() if not n.startswith(("sink_", "stored_", "fact_from_csv"))]
 
 
 @pytest.fixture(scope="module")
@@ -104,7 +104,7 @@ def test_growth_is_sorted_once(stored):
 def test_no_query_needs_a_cross_join_python_or_a_forced_broadcast(spark, conf, broadcast):
     conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
     for name in LAZY:
-        text = plan(registry.queries()[name](spark, SF_DIR))
+        text = plan(registry.sales_queries()[name](spark, SF_DIR))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
             assert bad not in text, (name, bad)
         if broadcast == "-1":
