@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
+from tillstar.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +20,17 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(docs))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(_table(spark, sf_dir, "documents"))
+    return groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op3_simhash": op3_simhash,
     }
 
 
