@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,3 +60,11 @@ def small_batches(
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def worker_cache(name: str, make):
+    """A value that a Python worker makes once and keeps for its later tasks."""
+    kept = sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.llm.common import stored
+from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
 from tillstar.llm.simhash import near_duplicates
 
@@ -27,10 +29,29 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The word tokenizer of the installed vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = tokenize(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(stored(pieces, "pieces")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_simhash": op3_simhash,
+        "op4_best_fit_packing": op4_best_fit_packing,
     }
 
 
