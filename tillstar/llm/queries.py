@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import stored
+from tillstar.llm.mixing import PER_BLOCK, plan_copies
 from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
 from tillstar.llm.simhash import near_duplicates
@@ -47,11 +48,18 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
+def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return plan_copies(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op7_systematic_mixing": op7_systematic_mixing,
     }
 
 
@@ -100,7 +108,54 @@ FROM docs d LEFT JOIN spans s USING (row_no)
 GROUP BY d.row_no, d.doc_id"""
 
 
+def _mixing_sql() -> str:
+    def drawn(text: str) -> str:
+        return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+    crossed = "floor(shift + share * ({}))"
+    return f"""
+WITH docs AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         {drawn("coalesce(CAST(doc_id AS VARCHAR), '')")} AS spot
+  FROM documents
+), blocked AS (
+  SELECT *, spot % greatest(1, (SELECT CAST(ceil(count(*) / {PER_BLOCK}) AS BIGINT) FROM docs))
+            AS block
+  FROM docs
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
+), weighted AS (
+  SELECT *, 3 * source_size AS cap,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM sources
+), sums AS (
+  SELECT *, row_number() OVER o AS place,
+         CAST(sum(source_size) OVER () - sum(cap) OVER o + cap AS BIGINT) AS rest,
+         CAST(sum(weight) OVER () - sum(weight) OVER o + weight AS BIGINT) AS rest_weight
+  FROM weighted
+  WINDOW o AS (ORDER BY cap * (10 / weight), source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), level AS (
+  SELECT * FROM sums WHERE rest * weight <= cap * rest_weight ORDER BY place LIMIT 1
+), shares AS (
+  SELECT s.source, s.source_size,
+         CASE WHEN s.place < l.place THEN CAST(s.cap AS DOUBLE)
+              ELSE CAST(l.rest AS DOUBLE) * s.weight / l.rest_weight END AS target
+  FROM sums s, level l
+), ranked AS (
+  SELECT d.doc_id, d.size, s.source_size, s.target,
+         CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS share,
+         {drawn("'7:' || coalesce(d.source, '')")} / 4294967296.0::DOUBLE AS shift,
+         row_number() OVER (PARTITION BY d.source ORDER BY block, size, spot, doc_id) AS rank
+  FROM blocked d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST({crossed.format("rank")} - {crossed.format("rank - 1")} AS BIGINT) * size AS taken
+FROM ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": _secret_sql(),
+        "op7_systematic_mixing": _mixing_sql(),
     }
