@@ -11,6 +11,7 @@ from tillstar.llm.common import stored
 from tillstar.llm.mixing import PER_BLOCK, plan_copies
 from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
+from tillstar.llm.sharding import shard
 from tillstar.llm.simhash import near_duplicates
 
 
@@ -54,12 +55,25 @@ def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_copies(docs).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op7_systematic_mixing": op7_systematic_mixing,
+        "op10_differencing_shards": op10_differencing_shards,
     }
 
 
