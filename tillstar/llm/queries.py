@@ -13,6 +13,15 @@ from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
 from tillstar.llm.sharding import shard
 from tillstar.llm.simhash import near_duplicates
+from tillstar.llm.url_reputation import (
+    _RHO,
+    _RHO_RANGE,
+    LEAST_GOOD,
+    RULES as URL_RULES,
+    TWO_LABEL_SUFFIXES,
+    Z,
+    judge,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +33,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(docs))
 
 
+def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the quality that its id is labelled with."""
+    labels = _table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    return judge(_table(spark, sf_dir, "pages"), outcomes)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -70,6 +86,7 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_url_reputation": op2_url_reputation,
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op7_systematic_mixing": op7_systematic_mixing,
@@ -122,6 +139,80 @@ FROM docs d LEFT JOIN spans s USING (row_no)
 GROUP BY d.row_no, d.doc_id"""
 
 
+def _reputation_sql() -> str:
+    rules = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+
+    def case(value) -> str:
+        whens = " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+            f" THEN '{value(v, h, p)}'"
+            for v, h, p in rules
+        )
+        return f"CASE {whens} END"
+
+    def level(name: str, children: str, parent: str, key: str) -> str:
+        """The strength of a level, then its posterior means."""
+        low, high = _RHO_RANGE
+        return f"""
+{name}_in AS (
+  SELECT c.*, p.n AS pn, p.k AS pk, p.mean AS prior, p.{key} AS parent
+  FROM {children} c JOIN {parent} p ON c.{key} = p.{key}
+), {name}_sums AS (
+  SELECT count(*) AS g, count(DISTINCT parent) AS p, sum(n) AS n,
+         sum(n * (k / n - pk / pn) ** 2) AS b, sum(k * (1 - k / n)) AS w, sum(n * n / pn) AS s
+  FROM {name}_in WHERE n > 0
+), {name}_rho AS (
+  SELECT CASE WHEN g > p AND n > g AND b / (g - p) + ((n - s) / (g - p) - 1) * w / (n - g) > 0
+              THEN least(greatest((b / (g - p) - w / (n - g))
+                                  / (b / (g - p) + ((n - s) / (g - p) - 1) * w / (n - g)),
+                                  {low}), {high})
+              ELSE {_RHO} END::DOUBLE AS rho
+  FROM {name}_sums
+), {name} AS (
+  SELECT i.*, (1 - rho) / rho AS strength,
+         ((1 - rho) / rho * prior + k) / ((1 - rho) / rho + n) AS mean
+  FROM {name}_in i, {name}_rho
+)"""
+
+    two = "', '".join(TWO_LABEL_SUFFIXES)
+    parts = "string_split(host, '.')"
+    pair = f"array_to_string(list_slice({parts}, -2, -1), '.')"
+    return f"""
+WITH split AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), outcomes AS (
+  SELECT doc_id AS page_id, min(quality) AS good FROM labels
+  WHERE quality IS NOT NULL GROUP BY doc_id
+), by_host AS (
+  SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k
+  FROM split LEFT JOIN outcomes USING (page_id) GROUP BY host
+), hosts AS (
+  SELECT *, '' AS whole,
+         CASE WHEN {pair} IN ('{two}') THEN {pair} ELSE list_extract({parts}, -1) END AS suffix,
+         CASE WHEN {pair} IN ('{two}') THEN array_to_string(list_slice({parts}, -3, -1), '.')
+              ELSE {pair} END AS domain
+  FROM by_host
+), domains AS (
+  SELECT domain, suffix, '' AS whole, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix
+), suffixes AS (
+  SELECT suffix, '' AS whole, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix
+), everything AS (
+  SELECT '' AS whole, sum(n) AS n, sum(k) AS k, (sum(k) + 1) / (sum(n) + 2) AS mean FROM suffixes
+), {level("suffix_level", "suffixes", "everything", "whole")},
+{level("domain_level", "domains", "suffix_level", "suffix")},
+{level("host_level", "hosts", "domain_level", "domain")},
+reputation AS (
+  SELECT host, mean + {Z} * sqrt(mean * (1 - mean) / (strength + n + 1)) AS upper FROM host_level
+)
+SELECT page_id, host, path, {case(lambda v, h, p: h + p)} AS rule,
+       coalesce({case(lambda v, h, p: v)},
+                CASE WHEN upper < {LEAST_GOOD} THEN 'block' ELSE 'allow' END) AS verdict
+FROM split JOIN reputation USING (host)"""
+
+
 def _mixing_sql() -> str:
     def drawn(text: str) -> str:
         return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
@@ -171,5 +262,6 @@ FROM ranked"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": _secret_sql(),
+        "op2_url_reputation": _reputation_sql(),
         "op7_systematic_mixing": _mixing_sql(),
     }
