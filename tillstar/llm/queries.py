@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import stored
 from tillstar.llm.mixing import PER_BLOCK, plan_copies
+from tillstar.llm.nbsvm import THRESHOLD, fit, fold, score
 from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
 from tillstar.llm.sharding import shard
@@ -71,6 +72,17 @@ def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_copies(docs).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op9_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, _table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id",
+        (fold() == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -90,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op7_systematic_mixing": op7_systematic_mixing,
+        "op9_nb_svm": op9_nb_svm,
         "op10_differencing_shards": op10_differencing_shards,
     }
 
