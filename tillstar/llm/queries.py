@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import stored
+from tillstar.llm.decision_list import filter_quality, learn_rules, text_statistics
 from tillstar.llm.mixing import PER_BLOCK, plan_copies
 from tillstar.llm.nbsvm import THRESHOLD, fit, fold, score
 from tillstar.llm.packing import pack, tokenize
@@ -72,6 +73,21 @@ def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_copies(docs).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statistics = stored(text_statistics(_table(spark, sf_dir, "documents")), "statistics")
+    rules = learn_rules(statistics, _table(spark, sf_dir, "labels"))
+    return filter_quality(statistics, rules).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, _table(spark, sf_dir, "labels"))
@@ -102,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op7_systematic_mixing": op7_systematic_mixing,
+        "op8_decision_list": op8_decision_list,
         "op9_nb_svm": op9_nb_svm,
         "op10_differencing_shards": op10_differencing_shards,
     }
