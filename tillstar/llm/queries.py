@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import stored
 from tillstar.llm.decision_list import filter_quality, learn_rules, text_statistics
+from tillstar.llm.minhash import compare_with_next
 from tillstar.llm.mixing import PER_BLOCK, plan_copies
 from tillstar.llm.nbsvm import THRESHOLD, fit, fold, score
 from tillstar.llm.packing import pack, tokenize
@@ -67,6 +68,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_reputation": op2_url_reputation,
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op6_minhash": op6_minhash,
         "op7_systematic_mixing": op7_systematic_mixing,
         "op8_decision_list": op8_decision_list,
         "op9_nb_svm": op9_nb_svm,
