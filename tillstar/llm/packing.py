@@ -7,6 +7,7 @@ no gap piles up that later pieces seldom fill.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,36 +21,103 @@ from tillstar.llm.common import column_of, small_batches, worker_cache
 CAPACITY = 2048
 # Pieces that one task packs. A task ends with a few sequences not full.
 PER_TASK = 50_000
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 300_000
+
+
+# What the tokenizer takes apart before it merges, for ASCII text in lower case.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+_ENDS = ".,;:!?()*$%&#|"
+# Punctuation that is a piece of its own wherever this matches.
+_ALONE = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
+
+_TO_SPACES = bytes.maketrans(b"\n\t\r", b"   ")
 
 
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, word by word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words, and a word met before need not be tokenized again.
+    The tokenizer folds case, drops white space and never joins across it, so a text's ids
+    are those of its words, and a word met before need not be tokenized again. New words
+    are taken apart into the pieces that are merged by themselves; many new pieces are
+    tokenized in one call and told apart by the tokens that end a piece. What does not
+    come apart that simply is tokenized as it is.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        # For pieces of ASCII: the same merges without the steps before.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Lowercase()
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [
-            t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts
-        ]
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
-        new = [w for w in {w for words in split for w in words} if w not in known]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
+        self.earlier: dict[str, bytes] = {}
+
+    def _pieces(self, word: str) -> list[str]:
+        if "<|" in word:  # may be a special token
+            return [word]
+        if word.isascii():
+            return _PIECE.findall(word)
+        core = word.rstrip(_ENDS)
+        # A letter that ends in a mark in lower case would join what follows.
+        apart = core.isalpha() and core[-1].lower()[-1].isalpha() and len(core) < len(word)
+        return [core, word[len(core) :]] if apart else [word]
+
+    def _learn_together(self, tokenizer, pieces: list[str]) -> list[str]:
+        """Tokenize pieces that each end with one ending token; returns those left over."""
+        left = []
+        for at in range(0, len(pieces), 1000):
+            part = pieces[at : at + 1000]
+            ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part) or not len(ids) or ends[-1] != 4 * len(ids):
+                left += part
+                continue
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(part, ends.tolist()):
+                self.known[piece] = raw[begin:end]
+                begin = end
+        return left
+
+    def _learn(self, words: set[str]) -> None:
+        known, earlier = self.known, self.earlier
+        for word in words.intersection(earlier):
+            known[word] = earlier[word]
+        apart = {w: self._pieces(w) for w in words if w not in earlier}
+        pieces = {p for its in apart.values() for p in its if p not in known}
+        plain = [p for p in pieces if p.isascii() and "<|" not in p]
+        letters = [p for p in pieces if not p.isascii() and p.isalpha()]
+        rest = list(pieces.difference(plain, letters))
+        rest += self._learn_together(self.merges, plain)
+        rest += self._learn_together(self.tokenizer, letters)
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, its in zip(part, encoded):
                 known[word] = np.array(its.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        for word, its in apart.items():
+            if word not in known:
+                known[word] = b"".join([known[p] for p in its])
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        split = [
+            _ALONE.sub(rb" \1", t.lower()).translate(_TO_SPACES).decode().split(" ") for t in texts
+        ]
+        if len(self.known) > _KNOWN_WORDS:  # what is not used again goes the next time
+            self.earlier, self.known = self.known, {}
+        self._learn(set().union(*split).difference(self.known))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -83,7 +151,7 @@ def tokenize(
         end = np.array([end_id], "<u4").tobytes()
         place, step = TaskContext.get().partitionId() << 36, 4 * capacity
         for batch in small_batches(batches, most=4 << 20):
-            texts = [t or "" for t in column_of(batch, "text").to_pylist()]
+            texts = [t or b"" for t in column_of(batch, "text").cast(pa.binary()).to_pylist()]
             all_ids = [ids + end for ids in coder.encode(texts)]
             pieces = np.array([-(-len(ids) // step) for ids in all_ids])
             row = np.repeat(np.arange(len(pieces)), pieces)
