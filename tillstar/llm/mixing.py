@@ -74,29 +74,10 @@ def _drawn(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def plan_copies(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    most: int = MOST_COPIES,
-    seed: int = 7,
-    per_block: int = PER_BLOCK,
-) -> DataFrame:
-    """Add size, source_size, target and copies to every document.
-
-    The order within a source is by blocks of about ``per_block`` documents, dealt by
-    hash, and by size within a block, so that each block gives short and long documents
-    their share. Blocks are numbered through by a running sum of their counts; no task
-    sees more than a block, however large a source is. A source's taken words differ from
-    its target by a few documents per block. The same documents give the same copies.
-
-    Null texts have size 0, a null source is a source of its own, a source of size 0 has
-    no target and no copies. Repeated rows are documents of their own. The documents are
-    read twice. Columns of these names are replaced.
-    """
-    made = ["size", "source_size", "target", "copies"]
+def _planned(docs: DataFrame, weights, most: int, seed: int, per_block: int) -> DataFrame:
     source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(
-        F.struct(*docs.columns).alias("__row"),
+        F.struct("*").alias("__row"),
         "doc_id",
         source.alias("source"),
         word_count().alias("size"),
@@ -130,12 +111,42 @@ def plan_copies(
 
     rows = rows.withColumn("rank", rank)
     copies = crossed(F.col("rank")) - crossed(F.col("rank") - 1)
-    keep = [F.col(f"__row.`{c}`") for c in docs.columns if c not in made]
-    return rows.select(*keep, "size", "source_size", "target", copies.alias("copies"))
+    return rows.select("__row", "size", "source_size", "target", copies.alias("copies"))
+
+
+def plan_copies(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    most: int = MOST_COPIES,
+    seed: int = 7,
+    per_block: int = PER_BLOCK,
+) -> DataFrame:
+    """Add size, source_size, target and copies to every document.
 
+    The order within a source is by blocks of about ``per_block`` documents, dealt by
+    hash, and by size within a block, so that each block gives short and long documents
+    their share. Blocks are numbered through by a running sum of their counts; no task
+    sees more than a block, however large a source is. A source's taken words differ from
+    its target by a few documents per block. The same documents give the same copies.
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents, each as often as the mix takes it."""
-    planned = plan_copies(docs, **options).where("copies > 0")
+    Null texts have size 0, a null source is a source of its own, a source of size 0 has
+    no copies. Repeated rows are documents of their own. The documents are read twice.
+    Columns of these names are replaced.
+    """
+    planned = _planned(docs, weights, most, seed, per_block)
+    made = planned.columns[1:]
+    kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in made]
+    return planned.select(*kept, *made)
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    most: int = MOST_COPIES,
+    seed: int = 7,
+    per_block: int = PER_BLOCK,
+) -> DataFrame:
+    """The documents, each as often as the mix takes it, with their own columns."""
+    planned = _planned(docs, weights, most, seed, per_block).where("copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    return planned.withColumn("__copy", repeated).select(docs.columns)
+    return planned.select("__row", repeated).select("__row.*")

@@ -25,6 +25,7 @@ from tillstar.llm.url_reputation import (
     Z,
     judge,
 )
+from tillstar.llm.warc_index import write_and_read
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,12 +117,17 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_and_read(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_url_reputation": op2_url_reputation,
         "op3_simhash": op3_simhash,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_warc_index": op5_warc_index,
         "op6_minhash": op6_minhash,
         "op7_systematic_mixing": op7_systematic_mixing,
         "op8_decision_list": op8_decision_list,
@@ -249,6 +255,29 @@ SELECT page_id, host, path, {case(lambda v, h, p: h + p)} AS rule,
 FROM split JOIN reputation USING (host)"""
 
 
+def _warc_sql() -> str:
+    bits = "CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR)"
+    letter = (
+        "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',"
+        " list_sum([(2 ** (5 - j))::INT * substr(bits, 5 * i + j, 1)::INT"
+        " for j in [1, 2, 3, 4, 5]])::INT + 1, 1)"
+    )
+    return f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n,
+         {bits} AS bits
+  FROM pages
+), digests AS (
+  SELECT page_id, n, array_to_string([{letter} for i in range(0, 32)], '') AS digest FROM payloads
+), firsts AS (
+  SELECT digest, n, min(page_id) AS first FROM digests GROUP BY digest, n
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests JOIN firsts USING (digest, n)"""
+
+
 def _mixing_sql() -> str:
     def drawn(text: str) -> str:
         return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
@@ -299,5 +328,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": _secret_sql(),
         "op2_url_reputation": _reputation_sql(),
+        "op5_warc_index": _warc_sql(),
         "op7_systematic_mixing": _mixing_sql(),
     }
