@@ -21,14 +21,12 @@ from tillstar.llm.common import column_of, small_batches, worker_cache
 CAPACITY = 2048
 # Pieces that one task packs. A task ends with a few sequences not full.
 PER_TASK = 50_000
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS = 600_000
 
 
 # What the tokenizer takes apart before it merges, for ASCII text in lower case.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 _ENDS = ".,;:!?()*$%&#|"
-# Punctuation that is a piece of its own wherever this matches.
-_ALONE = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 
 _TO_SPACES = bytes.maketrans(b"\n\t\r", b"   ")
 
@@ -93,11 +91,14 @@ class WordIds:
         known, earlier = self.known, self.earlier
         for word in words.intersection(earlier):
             known[word] = earlier[word]
-        apart = {w: self._pieces(w) for w in words if w not in earlier}
-        pieces = {p for its in apart.values() for p in its if p not in known}
-        plain = [p for p in pieces if p.isascii() and "<|" not in p]
+        words = words.difference(earlier)
+        plain = [w for w in words if w.isalpha() and w.isascii()]
+        apart = {w: self._pieces(w) for w in words.difference(plain)}
+        pieces = {p for its in apart.values() for p in its}.difference(known, plain)
         letters = [p for p in pieces if not p.isascii() and p.isalpha()]
-        rest = list(pieces.difference(plain, letters))
+        marks = [p for p in pieces if p.isascii() and "<|" not in p]
+        plain += marks
+        rest = list(pieces.difference(marks, letters))
         rest += self._learn_together(self.merges, plain)
         rest += self._learn_together(self.tokenizer, letters)
         for at in range(0, len(rest), 10_000):
@@ -110,9 +111,7 @@ class WordIds:
                 known[word] = b"".join([known[p] for p in its])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [
-            _ALONE.sub(rb" \1", t.lower()).translate(_TO_SPACES).decode().split(" ") for t in texts
-        ]
+        split = [t.lower().translate(_TO_SPACES).decode().split(" ") for t in texts]
         if len(self.known) > _KNOWN_WORDS:  # what is not used again goes the next time
             self.earlier, self.known = self.known, {}
         self._learn(set().union(*split).difference(self.known))
