@@ -1,0 +1,97 @@
+import zlib
+
+import numpy as np
+import pytest
+from cases import crowded, documents, rows
+
+from tillstar.llm.common import stored
+from tillstar.llm.packing import WordIds, pack, place, tokenize
+from tillstar.llm.queries import packed, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+ODD = [
+    "", "  ", "İstanbul İ. Σίσυφος ΟΔΟΣ straße ﬁ", "it's IT'S don't '' 's 'S x'll don't’s",
+    "<|endoftext|> a<|startoftext|>b < |endoftext|", "\x00\x01 a\x1cb\x0bc\x0cd\x85e\xa0f",
+    "é É ́a a̸ b≯", "日本語 テスト 123 ٣٤ ²³", "hello,world. ... ?! naïve, été. “q”",
+    "A\rB\r\nC\tD", "x" * 5000, "3.14 a1b2", "Ǆ ǅ ŉ ẞ ſ K Å", "😀😀 a😀 .,. a., ),(",
+]
+
+
+def test_ids_by_word_are_the_ids_of_the_text(tokenizer, monkeypatch):
+    from tillstar.llm import packing
+
+    texts = [*ODD, *(r[1] or "" for r in rows())]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for most in (600_000, 3):
+        monkeypatch.setattr(packing, "_KNOWN_WORDS", most)
+        coder = WordIds(tokenizer_path())
+        for _ in range(2):
+            got = [np.frombuffer(coder.encode([t.encode()])[0], "<u4").tolist() for t in texts]
+            assert got == want
+    coder = WordIds(tokenizer_path())
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])] == want
+
+
+def test_pieces_and_places(spark, tokenizer):
+    got = packed(crowded(documents(spark))).collect()
+    want = []
+    for doc_id, text, *_ in rows():
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            crc = zlib.crc32(np.array(part, "<u4").tobytes())
+            want.append((doc_id, k // 2048, k, len(part), crc))
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(want, key=repr)
+    at = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == at.get(r.sequence_id, 0)
+        at[r.sequence_id] = r.offset + r.length
+    assert max(at.values()) <= 2048
+
+
+def test_the_sum_of_squares_is_smallest_at_every_step():
+    lengths, capacity = np.random.default_rng(3).integers(1, 13, 300), 12
+    sequence, offset = place(lengths, capacity)
+    fill = {}
+
+    def squares(levels):
+        gaps = [capacity - f for f in levels if f < capacity]
+        return sum(gaps.count(g) ** 2 for g in set(gaps))
+
+    for s, number, at in zip(lengths.tolist(), sequence.tolist(), offset.tolist()):
+        assert at == fill.get(number, 0)
+        options = [squares([*fill.values(), s])]
+        for other, f in fill.items():
+            if f + s <= capacity:
+                options.append(squares([*(v for k, v in fill.items() if k != other), f + s]))
+        fill[number] = at + s
+        assert fill[number] <= capacity and squares(fill.values()) == min(options)
+
+
+def test_packing_is_dense_and_the_same_over_several_tasks(spark):
+    lengths = np.random.default_rng(4).integers(1, 65, 3000)
+    df = spark.createDataFrame(
+        [(k, 0, int(n)) for k, n in enumerate(lengths)], "lot long, start long, length long"
+    )
+    for per_task in (5000, 1000):
+        out = pack(stored(df, "test"), capacity=64, per_task=per_task).collect()
+        fill = {}
+        for r in out:
+            fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+        assert max(fill.values()) <= 64 and sum(fill.values()) == lengths.sum()
+        assert len(fill) <= 1.06 * lengths.sum() / 64
+
+
+def test_empty_table_and_other_columns(spark):
+    assert packed(documents(spark, [])).count() == 0
+    pieces = tokenize(documents(spark), tokenizer_path(), capacity=7, keep=("doc_id", "source"))
+    got = pieces.where("doc_id = 8").collect()
+    assert [r.piece for r in got] == [0] and got[0].source == "src2"
+    assert len(got[0].ids) == 4 * got[0].length

@@ -1,0 +1,128 @@
+"""The stages on a small corpus against plain versions, and every query against its SQL."""
+
+import os
+
+import pytest
+from cases import crowded, documents, rows
+from compare import connect, differences
+from test_llm_pairs import classes, fingerprint, smallest
+from test_llm_quality import corpus
+from test_llm_secrets import brute
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from tillstar.llm import queries
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+@tables
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_query_agrees_with_sql(spark, con, name):
+    df = registry.queries()[name](spark, SF_DIR)
+    assert differences(df, con, registry.oracle_sql()[name]) == []
+
+
+@tables
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
+def test_queries_without_sql_return_every_row(spark, name):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    out = registry.queries()[name](spark, SF_DIR)
+    assert out.select("doc_id").distinct().count() == docs.count()
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
+    assert numbers == list(range(1, 11))
+    assert "pipeline" in registry.queries() and len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A corpus with junk, copies, near copies, secrets and awkward rows."""
+    root = str(tmp_path_factory.mktemp("corpus"))
+    given, labels = corpus()
+    given = [(k, t, "en", f"src{k % 4}", len(t)) for k, t, *_ in given]
+    clean = given[5][1]
+    given += [(500 + k, clean + " end" * (k % 2), "en", "src0", 999) for k in range(150)]
+    given += [
+        (700 + k, f"{given[10 + k][1]} token=abcdef{k:04} tail", "en", "src1", 999)
+        for k in range(10)
+        if (10 + k) % 8 > 1
+    ]
+    given += [(900 if k is None else 900 + k, *rest) for k, *rest in rows()[:5]]
+    documents(spark, given).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{root}/labels.parquet"
+    )
+    return root
+
+
+def stage(spark, docs, folder, name):
+    function = dict(corpus_pipeline.STAGES)[name]
+    return function(spark, docs, folder)
+
+
+def test_stages_against_plain_versions(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    junk = {k for k, q, _ in corpus()[1] if not q}
+
+    kept = stage(spark, docs, folder, "quality classifier")
+    kept_ids = {r.doc_id for r in kept.collect()}
+    assert kept.columns == docs.columns and not kept_ids & junk
+    assert {r.doc_id for r in docs.collect() if 500 <= r.doc_id < 900} <= kept_ids
+    assert set(range(400)) - junk <= kept_ids
+
+    one = stage(spark, kept, folder, "SimHash near-dedup")
+    texts = [(r.doc_id, r.text) for r in kept.collect()]
+    prints = [fingerprint(t) for _, t in texts]
+    root = classes(len(texts), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    assert {r.doc_id for r in one.collect()} == set(smallest([i for i, _ in texts], root))
+    assert one.columns == docs.columns and one.count() < kept.count()
+
+    masked = stage(spark, one, folder, "secret scans")
+    before = {r.doc_id: r for r in one.collect()}
+    after = {r.doc_id: r for r in masked.collect()}
+    assert before.keys() == after.keys() and masked.columns == docs.columns
+    hidden = 0
+    for k, r in after.items():
+        found = brute(before[k].text)
+        want = before[k].text
+        for kind, a, b in reversed(found):
+            want = want[:a] + f"[{kind}]" + want[b:]
+        assert r.text == want and r.n_chars == (len(want) if found else before[k].n_chars)
+        hidden += len(found)
+    assert hidden > 0
+
+    mixed = stage(spark, masked, folder, "mixing sources to target weights")
+    assert mixed.columns == docs.columns
+    assert {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in masked.collect()}
+    words = sum(len((r.text or "").split()) for r in masked.collect())
+    taken = sum(len((r.text or "").split()) for r in mixed.collect())
+    assert abs(taken - words) < 0.1 * words
+
+    packed = stage(spark, mixed, folder, "best-fit packing")
+    full = packed.groupBy("sequence_id").agg({"length": "sum"}).collect()
+    assert max(r[1] for r in full) <= 2048
+    assert packed.where("piece = 0").count() == mixed.count()
+
+
+def test_the_whole_run(spark, folder):
+    out = corpus_pipeline.run(spark, folder)
+    assert out.count() > 0 and "sequence_id" in out.columns
+
+
+@pytest.mark.parametrize("given", [[], None])
+def test_stages_take_empty_tables_and_more_columns(spark, folder, given):
+    docs = crowded(documents(spark, given))
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs_ = function(spark, docs, folder)
+        assert docs_.columns == docs.columns, name
+        assert docs_.count() == 0 if given == [] else docs_.count() > 0
+    corpus_pipeline.STAGES[-1][1](spark, docs, folder).count()

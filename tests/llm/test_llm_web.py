@@ -1,0 +1,188 @@
+import base64
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillstar.llm import url_reputation, warc_index
+from tillstar.llm.common import stored
+from tillstar.sinks import shared_path
+
+PAGES = "page_id long, url string, html string"
+
+
+def host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    rest = rest[end:]
+    return host, rest[: min((rest.find(c) for c in "?#" if c in rest), default=len(rest))]
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://EXAMPLE.com", "http://example.com/en/1",
+    "https://www.Example.com/en/1?x=/fr/#y", "http://a.www.example.com/en/", "http://x.net/es/a",
+    "http://net/fr/", "http://net.example.org/fr/", "http://examplenet/es/", "ftp://É.com/É",
+    "http://a.com?b=/c", "http://a.com#/c", "x://a://b/c", "http://example.com:80/en/1",
+    "http://foo.co.uk/", "http://a.b.co.uk/x\ny", "://h/p", "http://notexample.com/en/",
+]
+
+
+def brute_rule(host, path):
+    best = None
+    for verdict, rule_host, rule_path in url_reputation.RULES:
+        if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path):
+            if best is None or len(rule_host + rule_path) > len(best[0]):
+                best = (rule_host + rule_path, verdict)
+    return best
+
+
+def judged(spark, pages, outcomes):
+    return url_reputation.judge(
+        spark.createDataFrame(pages, PAGES), spark.createDataFrame(outcomes, "page_id long, good int")
+    )
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = [(k, u, None) for k, u in enumerate(URLS)] + [(3, URLS[3], None), (None, URLS[8], "")]
+    got = judged(spark, pages, []).collect()
+    want = []
+    for page_id, url, _ in pages:
+        host, path = host_path(url)
+        rule = brute_rule(host, path) or (None, "allow")
+        want.append((page_id, host, path, *rule))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_bad_hosts_are_blocked_and_new_hosts_follow_their_domain(spark):
+    pages, outcomes = [], []
+
+    def add(url, n, good=None):
+        for k in range(n):
+            pages.append((len(pages), f"{url}/{k}", None))
+            if good is not None:
+                outcomes.append((len(pages) - 1, int(k < good)))
+
+    for d in range(6):
+        for h in range(4):
+            add(f"http://h{h}.good{d}.org", 20, 19)
+            add(f"http://h{h}.bad{d}.org", 20, 1)
+    add("http://new.good1.org", 2)
+    add("http://new.bad1.org", 2)
+    add("http://few.good2.org", 2, 0)  # two bad pages are no proof
+    verdicts = {}
+    for r in judged(spark, pages, outcomes + [(5, None), (5, 1)]).collect():
+        verdicts.setdefault(r.host, set()).add(r.verdict)
+    for host, found in verdicts.items():
+        assert found == {"block" if "bad" in host else "allow"}, host
+
+
+def test_domains_and_suffixes(spark):
+    domain, suffix = url_reputation.domain_and_suffix()
+    hosts = ["a.b.example.com", "example.com", "com", "", "a.b.co.uk", "b.co.uk", "co.uk"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r) for r in df.select(domain, suffix).collect()]
+    assert got == [
+        ("example.com", "com"), ("example.com", "com"), ("com", "com"), ("", ""),
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"),
+    ]
+
+
+def test_reputation_is_native_and_takes_empty_tables(spark):
+    from conftest import plan
+
+    assert judged(spark, [], []).count() == 0
+    assert judged(spark, [], [(1, 1)]).count() == 0
+    text = plan(judged(spark, [(1, "http://a.org/", "x")], [(1, 0)]))
+    assert "Arrow" not in text and "Python" not in text and "Cartesian" not in text
+
+
+HTML = [
+    (1, "http://b.example.com/x", "<p>same</p>"),
+    (2, "http://a.example.com/x?q#f", "<p>same</p>"),
+    (3, None, None),
+    (4, "no scheme", ""),
+    (5, "http://c.org/line\r\nWARC-Type: revisit", "é" * 5000),
+    (6, "http://c.org/\r\n\r\n", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"),
+    (None, "http://b.example.com/x", "<p>same</p>"),
+    (None, None, "only here"),
+    (7, "http://b.example.com/x", "long " * 100_000),
+    (8, "http://b.example.com/x", "long " * 100_000),
+]
+
+
+def brute_records(pages):
+    first = {}
+    for page_id, _, html in pages:
+        if page_id is not None:
+            first[html or ""] = min(page_id, first.get(html or "", page_id))
+    out = []
+    for page_id, _, html in pages:
+        raw = (html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        refers = first.get(html or "")
+        kind = ("response", None) if refers == page_id else ("revisit", refers)
+        out.append((page_id, len(raw), digest, *kind))
+    return sorted(out, key=repr)
+
+
+def test_pages_come_back_from_the_archives(spark):
+    pages = [*HTML, HTML[0]]
+    df = spark.createDataFrame(pages, PAGES).withColumn("file", F.lit("own")).repartition(3)
+    got = warc_index.write_and_read(df)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_records(pages)
+
+
+def test_nothing_to_archive(spark):
+    assert warc_index.write_and_read(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_small_payloads_are_stored_again(spark):
+    df = spark.createDataFrame(HTML[:2], PAGES)
+    kinds = [r.record_type for r in warc_index.write_and_read(df, least_bytes=12).collect()]
+    assert kinds == ["response", "response"]
+
+
+@pytest.mark.parametrize("lines", [1, 2, 7, 1000])
+def test_lookups_by_binary_search(spark, conf, lines):
+    """Repeated keys run over blocks and files."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    urls = [f"http://h{k % 5}.org/{k % 7}" for k in range(60)]
+    pages = [(k // 4, urls[k // 4], f"payload {k}") for k in range(60)]
+    df = spark.createDataFrame(pages, PAGES).repartition(3)
+    root = shared_path(spark, "test-archives")
+    captures = warc_index.write_archives(df, root)
+    parts = warc_index.write_index(captures, root, block_lines=lines)
+    assert len(parts) > 1
+    wanted = stored(captures.where("page_id % 3 = 0"), "test-keys").select("surt", "page_id")
+    wanted = wanted.union(spark.createDataFrame([("org,none)/", 3), ("", None)], wanted.schema))
+    places = warc_index.lookup(wanted, root, parts)
+    got = warc_index.read_records(places, root, with_payload=True).collect()
+    want = sorted((p, h.encode()) for p, _, h in pages if p % 3 == 0)
+    assert sorted((r.page_id, bytes(r.payload)) for r in got) == want
+
+
+def test_sort_keys(spark):
+    df = spark.createDataFrame([(u,) for u in (*URLS[:6], "http://A.b.org/p?q#f")], "url string")
+    got = [r[0] for r in df.select(warc_index.sort_key()).collect()]
+    assert got == ["", "", "no scheme", ")", "com,example)", "com,example)/en/1", "org,b,a)/p?q"]
+
+
+def test_damaged_records_are_noticed():
+    import zlib
+
+    digest = base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
+    record = warc_index.warc_record(1, "http://a/", b"abc", digest, False, None)
+    assert warc_index.parse_record(record)["payload"] == b"abc"
+    packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+    damaged = packer.compress(zlib.decompress(record, 31).replace(b"abc", b"abd")) + packer.flush()
+    with pytest.raises(ValueError, match="damaged"):
+        warc_index.parse_record(damaged)
+
+
+def test_file_systems():
+    for root in ("/tmp/x", "file:/tmp/x", "file:///tmp/x"):
+        files, path = warc_index.filesystem(root)
+        assert files.type_name == "local" and path == "/tmp/x"

@@ -71,7 +71,7 @@ def domain_and_suffix() -> tuple[Column, Column]:
 def _strength(children: DataFrame) -> float:
     """Prior strength of a level from its groups (n, k) within their parents (pn, pk):
     the analysis-of-variance estimate of the intraclass correlation."""
-    rate, parent = F.col("k") / F.col("n"), F.col("pk") / F.col("pn")
+    rate, parent = F.try_divide("k", "n"), F.try_divide("pk", "pn")
     s = (
         children.where("n > 0")
         .groupBy("parent")
@@ -80,7 +80,7 @@ def _strength(children: DataFrame) -> float:
             F.sum("n").alias("n"),
             F.sum(F.col("n") * (rate - parent) ** 2).alias("between"),
             F.sum(F.col("k") * (1 - rate)).alias("within"),
-            F.sum(F.col("n") * F.col("n") / F.col("pn")).alias("squares"),
+            F.sum(F.try_divide(F.col("n") * F.col("n"), "pn")).alias("squares"),
         )
         .agg(
             F.count("*").alias("parents"),
