@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -30,7 +30,7 @@ from tillstar.operators import audit, cleaning, joins
 from tillstar.operators.aggregates import sort_columns, totals
 from tillstar.operators.windows import with_row_index
 from tillstar.plans import order_sales
-from tillstar.schemas import ORDER_DATE_FORMAT, Tables
+from tillstar.schemas import CSV_OPTIONS, ORDER_DATE_FORMAT, Tables
 from tillstar.sinks import shared_path, write_fact, write_result
 
 try:
@@ -63,6 +63,10 @@ def _priced(build: Callable[[Tables], DataFrame]):
     return lambda t: as_double(build(t), "item_total")
 
 
+def _plain_dates(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+
+
 def _orders_parsed(t: Tables) -> DataFrame:
     # The stored dates are timestamps: write them as text, then parse that text.
     as_text = t.orders.withColumn("order_date", F.date_format("order_date", ORDER_DATE_FORMAT))
@@ -91,6 +95,50 @@ def _standardized_text(t: Tables) -> DataFrame:
     )
 
 
+def dirty(t: Tables) -> Tables:
+    """The given tables as untidy text, spoiled by key: every cleaning rule has rows to
+    work on. The SQL below spoils the same rows."""
+
+    def text(column):
+        return F.col(column).cast("string")
+
+    order, product = F.col("order_id"), F.col("product_id")
+    items = t.order_items.withColumns(
+        {
+            "quantity": F.when(order % 11 == 0, None).when(order % 13 == 0, F.lit("many"))
+            .otherwise(text("quantity")),
+            "price_per_unit": F.when(product % 17 == 0, None).when(product % 19 == 0, F.lit("n/a"))
+            .otherwise(text("price_per_unit")),
+        }
+    )
+    total = F.col("total_amount")
+    orders = t.orders.withColumns(
+        {
+            "order_date": F.when(order % 9 == 0, F.lit("31.12.2020")).otherwise(
+                F.date_format("order_date", ORDER_DATE_FORMAT)
+            ),
+            "total_amount": F.when(order % 7 == 0, None).when(order % 7 == 1, F.lit(0.0))
+            .when(order % 7 == 2, -total).otherwise(total),
+            "status": F.when(order % 10 == 3, None).when(order % 10 == 4, F.lit(" Cancelled "))
+            .when(order % 10 == 5, F.lit("cancelled")).otherwise(F.col("status")),
+        }
+    )
+    customer = F.col("customer_id")
+    customers = t.customers.withColumns(
+        {
+            "first_name": F.when(customer % 5 == 0, F.concat(F.lit('  "'), "first_name", F.lit('", x\t')))
+            .otherwise(F.col("first_name")),
+            "country": F.when(customer % 3 == 0, F.concat(F.lit("  "), "country", F.lit(" ")))
+            .when(customer % 3 == 1, F.concat(F.lit("\t"), "country")).otherwise(F.col("country")),
+        }
+    )
+    padded = {c: F.concat(F.lit(" "), F.upper(c), F.lit(' 6" ')) for c in ("product_name", "category")}
+    products = t.products.withColumns(
+        {c: F.when(product % 4 == 0, p).otherwise(F.col(c)) for c, p in padded.items()}
+    )
+    return Tables(customers=customers, products=products, orders=orders, order_items=items)
+
+
 def _order_totals(t: Tables) -> DataFrame:
     return as_double(totals(order_sales(t), {"order_id": "order_id"}, "order_total"), "order_total")
 
@@ -101,13 +149,14 @@ def _result_with_index(t: Tables) -> DataFrame:
 
 
 def _read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", ORDER_DATE_FORMAT)
-        .csv(path)
-    )
+    reader = spark.read.schema(schema).option("enforceSchema", False)
+    return reader.options(**CSV_OPTIONS).csv(path)
+
+
+def _without_zone(fact: DataFrame) -> DataFrame:
+    """As the given dates are, with line totals as double."""
+    fact = fact.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+    return as_double(fact, "item_total")
 
 
 def _sink_fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,41 +166,80 @@ def _sink_fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sink_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = FLAGSHIP
-    result = metric_from_tables(star_tables(spark, sf_dir), name)
-    path = write_result(result, name, shared_path(spark, "result"), order=METRICS[name].order)
+    metric = METRICS[FLAGSHIP]
+    result = metric_from_tables(star_tables(spark, sf_dir), FLAGSHIP)
+    path = write_result(
+        result, FLAGSHIP, shared_path(spark, "result"), order=metric.order, cents=metric.cents
+    )
     return _read_back(spark, path, result.schema)
 
 
-def _fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store the four tables as CSV, load them as CSV, and build the fact from that."""
+def _sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded, tabbed and quoted cells, commas, fractions of a second and long fractions."""
+    t = star_tables(spark, sf_dir)
+    key = F.col("customer_id")
+    odd = dirty(t).customers.select(
+        "customer_id",
+        "first_name",
+        "country",
+        (key / 7).alias("ratio"),
+        F.expr("timestamp_ntz'2020-02-29 10:00:00' + make_dt_interval(0, 0, 0, customer_id / 8)").alias(
+            "at"
+        ),
+    )
+    path = write_result(odd, "odd", shared_path(spark, "text"))
+    return _read_back(spark, path, odd.schema)
+
+
+def _csv_copy(spark: SparkSession, tables: Tables) -> Tables:
+    """Store the four tables as CSV and load them from there."""
     root = shared_path(spark, "csv")
-    for name, df in star_tables(spark, sf_dir)._asdict().items():
-        df.write.option("header", True).option("timestampNTZFormat", ORDER_DATE_FORMAT).csv(
-            f"{root}/{name}.csv"
-        )
-    fact = build_fact(load_tables(spark, root, "csv"))
-    # Without a time zone, as the given dates are.
-    fact = fact.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
-    return as_double(fact, "item_total")
+    for name, df in tables._asdict().items():
+        df = df.withColumns({c: F.col(c).cast("string") for c, k in df.dtypes if "timestamp" in k})
+        df.write.options(**CSV_OPTIONS).csv(f"{root}/{name}.csv")
+    return load_tables(spark, root, "csv")
 
 
-def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the whole batch, read every stored result back, and sum it up."""
-    tables = star_tables(spark, sf_dir)
-    stored = run_batch(spark, tables, shared_path(spark, "batch"), fmt="parquet")
+def _fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _without_zone(build_fact(_csv_copy(spark, star_tables(spark, sf_dir))))
 
-    def summary(name: str, path: str) -> DataFrame:
-        result = spark.read.parquet(path)
-        doubles = [f.name for f in result.schema.fields if isinstance(f.dataType, DoubleType)]
-        cents = sum((F.coalesce(F.col(c).cast("decimal(38,2)"), F.lit(0)) for c in doubles), F.lit(0))
-        return result.agg(
+
+def _dirty_fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _without_zone(build_fact(_csv_copy(spark, dirty(star_tables(spark, sf_dir)))))
+
+
+def _stored_results(fmt: str, **options):
+    """Run the whole batch and read the rows of every stored result back, in long form."""
+
+    def rows(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+        index = [StructField("row_index", IntegerType())] if options.get("with_index") else []
+        schema = StructType(index + schema.fields)
+        result = (
+            spark.read.parquet(path) if fmt == "parquet" else _read_back(spark, path, schema)
+        )
+        values = [
+            F.coalesce(
+                (F.col(c).cast("decimal(38,2)") if kind == "double" else F.col(c)).cast("string"),
+                F.lit("null"),
+            )
+            for c, kind in result.dtypes
+            if c != "row_index"
+        ]
+        position = F.col("row_index") if index else F.lit(None).cast("int")
+        return result.select(
             F.lit(name).alias("result_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(cents).cast("double").alias("checksum"),
+            position.alias("row_index"),
+            F.concat_ws("|", *values).alias("row_values"),
         )
 
-    return reduce(DataFrame.unionByName, [summary(n, p) for n, p in stored.results.items()])
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = star_tables(spark, sf_dir)
+        stored = run_batch(spark, tables, shared_path(spark, "batch"), fmt=fmt, **options)
+        schemas = {n: metric_from_tables(tables, n).schema for n in stored.results}
+        parts = [rows(spark, n, p, schemas[n]) for n, p in stored.results.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    return query
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -193,13 +281,41 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_totals": _order_totals,
         "result_with_index": _result_with_index,
     }
+    table_queries["sample_rows"] = lambda t: audit.sample(metric_from_tables(t, "sales_by_country"))
+    spoiled: dict[str, Callable[[Tables], DataFrame]] = {
+        "dirty_items_typed": lambda t: cleaning.type_items(t.order_items),
+        "dirty_items_nonnull": lambda t: cleaning.drop_null_items(cleaning.type_items(t.order_items)),
+        "dirty_item_totals": _priced(lambda t: cleaning.clean_items(t.order_items)),
+        "dirty_orders_parsed": lambda t: _plain_dates(cleaning.parse_orders(t.orders)),
+        "dirty_orders_calendar": lambda t: _plain_dates(
+            cleaning.add_calendar(cleaning.parse_orders(t.orders))
+        ),
+        "dirty_standardized_text": _standardized_text,
+        "dirty_orders_not_cancelled": lambda t: cleaning.drop_cancelled(t.orders),
+        "dirty_orders_positive_total": lambda t: cleaning.keep_positive_totals(t.orders),
+        "dirty_orders_total_filled": lambda t: cleaning.fill_missing_totals(t.orders),
+        "dirty_cleaning_audit": audit.cleaning_audit,
+        "dirty_row_counts": audit.profile_row_counts,
+        "dirty_fact_table": lambda t: _without_zone(build_fact(t)),
+        "dirty_fact_status_first": lambda t: _without_zone(
+            build_fact(t, normalize_status_first=True)
+        ),
+        "dirty_ranked_products": lambda t: metric_from_tables(t, FLAGSHIP),
+        "dirty_monthly_with_lag": lambda t: metric_from_tables(t, "monthly_sales_with_lag"),
+    }
+    for name, build in spoiled.items():
+        table_queries[name] = lambda t, build=build: build(dirty(t))
     for name in METRICS:
         table_queries[name] = lambda t, name=name: metric_from_tables(t, name)
     return {name: _on_tables(build) for name, build in table_queries.items()} | {
         "fact_from_csv": _fact_from_csv,
         "sink_fact_roundtrip": _sink_fact_roundtrip,
         "sink_results_roundtrip": _sink_results_roundtrip,
-        "stored_results": _stored_results,
+        "sink_text_roundtrip": _sink_text_roundtrip,
+        "dirty_fact_from_csv": _dirty_fact_from_csv,
+        "stored_results": _stored_results("parquet"),
+        "stored_results_by_month": _stored_results("parquet", by_month=True),
+        "stored_results_csv": _stored_results("csv", with_index=True),
     }
 
 
@@ -233,9 +349,49 @@ WITH customers AS (
   FROM order_items
   WHERE quantity IS NOT NULL AND price_per_unit IS NOT NULL
 )"""
-_FACT_SQL = (
-    _TABLES_SQL
-    + """, joined AS (
+# The same tables, spoiled as dirty() does.
+_DIRTY_SQL = (
+    _TABLES_SQL.split("), clean_items AS (")[0]
+    .replace("customers AS", "tidy_customers AS")
+    .replace("products AS", "tidy_products AS")
+    .replace("sales_orders AS", "tidy_orders AS")
+    .replace("order_items AS", "tidy_items AS")
+    + """), customers AS (
+  SELECT * REPLACE (
+    CASE WHEN customer_id % 5 = 0 THEN '  "' || first_name || '", x' || chr(9)
+         ELSE first_name END AS first_name,
+    CASE customer_id % 3 WHEN 0 THEN '  ' || country || ' ' WHEN 1 THEN chr(9) || country
+                         ELSE country END AS country)
+  FROM tidy_customers
+), products AS (
+  SELECT * REPLACE (
+    CASE WHEN product_id % 4 = 0 THEN ' ' || upper(product_name) || ' 6" ' ELSE product_name END
+      AS product_name,
+    CASE WHEN product_id % 4 = 0 THEN ' ' || upper(category) || ' 6" ' ELSE category END
+      AS category)
+  FROM tidy_products
+), sales_orders AS (
+  SELECT * REPLACE (
+    CASE WHEN order_id % 9 <> 0 THEN order_date END AS order_date,
+    CASE order_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 0.0 WHEN 2 THEN -total_amount
+                      ELSE total_amount END AS total_amount,
+    CASE order_id % 10 WHEN 3 THEN NULL WHEN 4 THEN ' Cancelled ' WHEN 5 THEN 'cancelled'
+                       ELSE status END AS status)
+  FROM tidy_orders
+), order_items AS (
+  SELECT * REPLACE (
+    CASE WHEN order_id % 11 <> 0 AND order_id % 13 <> 0 THEN quantity END AS quantity,
+    CASE WHEN product_id % 17 <> 0 AND product_id % 19 <> 0 THEN price_per_unit END
+      AS price_per_unit)
+  FROM tidy_items
+), clean_items AS (
+  SELECT *, CAST(round(quantity * price_per_unit, 2) AS DECIMAL(18,2)) AS item_total
+  FROM order_items
+  WHERE quantity IS NOT NULL AND price_per_unit IS NOT NULL
+)"""
+)
+_JOINED_SQL = (
+    """, joined AS (
   SELECT o.customer_id, i.product_id, o.order_id, o.order_date, o.total_amount, o.status,
          i.order_item_id, i.quantity, i.price_per_unit, i.item_total,
          p.product_name, p.category, p.brand, c.first_name, c.last_name, c.email, c.country
@@ -261,12 +417,12 @@ _FACT_SQL = (
 )
 
 
-def _table_sql(select: str) -> str:
-    return f"{_TABLES_SQL}\n{select}"
+def _table_sql(select: str, dirty: bool = False) -> str:
+    return f"{_DIRTY_SQL if dirty else _TABLES_SQL}\n{select}"
 
 
-def _fact_sql(select: str) -> str:
-    return f"{_FACT_SQL}\n{select}"
+def _fact_sql(select: str, dirty: bool = False) -> str:
+    return _table_sql(f"{_JOINED_SQL}\n{select}", dirty)
 
 
 def _total(keys: str, measure: str, groups: str) -> str:
@@ -328,31 +484,46 @@ ORDER BY order_year ASC NULLS FIRST, order_month ASC NULLS FIRST""",
     + " ORDER BY 1 ASC NULLS FIRST, 2 ASC NULLS FIRST",
 }
 
-# Doubles of each result, for the checksum of the stored copy.
-_RESULT_DOUBLES = {
-    "sales_by_date": ["daily_total_sales"],
-    "sales_by_category": ["category_total_sales"],
-    "top_n_products": ["product_total_sales"],
-    "top_n_customers": ["customer_total_spent"],
-    "monthly_sales": ["monthly_sales"],
-    "aov": ["average_order_value"],
-    "sales_by_country": ["country_total_sales"],
-    "running_total_sales": ["daily_sales", "running_total_sales"],
-    "ranked_products_in_category": ["category_product_sales"],
-    "monthly_sales_with_lag": ["monthly_sales", "prev_month_sales", "mom_growth_percent"],
-    "quarterly_sales": ["quarterly_sales"],
-}
-
-
-def _stored_results_sql() -> str:
+# Columns of each result, for the long form of the stored copy: text as it is, doubles
+# with two places.
+_RESULT_COLUMNS = {
+    "sales_by_date": ("sale_date", "daily_total_sales*"),
+    "sales_by_category": ("category", "category_total_sales*"),
+    "top_n_products": ("product_id", "product_name", "product_total_sales*"),
+    "top_n_customers": ("customer_id", "first_name", "last_name", "customer_total_spent*"),
+    "monthly_sales": ("order_year", "order_month", "monthly_sales*"),
+    "aov": ("average_order_value*",),
+    "sales_by_country": ("country", "country_total_sales*"),
+    "running_total_sales": ("sale_date", "daily_sales*", "running_total_sales*"),
+    "ranked_products_in_category": (
+        "category", "product_id", "product_name", "category_product_sales*", "rank_in_category",
+    ),
+    "monthly_sales_with_lag": (
+        "order_year", "order_month", "monthly_sales*", "prev_month_sales*", "mom_growth_percent*",
+    ),
+    "quarterly_sales": ("order_year", "order_quarter", "quarterly_sales*"),
+}
+
+
+def _stored_results_sql(with_index: bool = False) -> str:
     parts = []
     for name, select in _RESULT_SQL.items():
-        cents = " + ".join(
-            f"coalesce(CAST({c} AS DECIMAL(30,2)), 0)" for c in _RESULT_DOUBLES[name]
-        )
+        values = [
+            f"coalesce(CAST(CAST({c[:-1]} AS DECIMAL(38,2)) AS VARCHAR), 'null')"
+            if c.endswith("*")
+            else f"coalesce(CAST({c} AS VARCHAR), 'null')"
+            for c in _RESULT_COLUMNS[name]
+        ]
+        order = select.rpartition("ORDER BY")[2].partition("LIMIT")[0] if "ORDER BY" in select else "1"
+        index = f"CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER)"
+        if order.strip().startswith("1"):
+            keys = ", ".join(f"{c} ASC NULLS FIRST" for c in _RESULT_COLUMNS[name][:2] if c[-1] != "*")
+            index = f"CAST(row_number() OVER ({'ORDER BY ' + keys if keys else ''}) - 1 AS INTEGER)"
+        if not with_index:
+            index = "CAST(NULL AS INTEGER)"
         parts.append(
-            f"SELECT '{name}' AS result_name, count(*) AS row_count,"
-            f" CAST(sum({cents}) AS DOUBLE) AS checksum FROM ({select})"
+            f"SELECT '{name}' AS result_name, {index} AS row_index,"
+            f" concat_ws('|', {', '.join(values)}) AS row_values FROM ({select})"
         )
     return _fact_sql("\nUNION ALL\n".join(parts))
 
@@ -399,6 +570,84 @@ def _profile_schema_sql() -> str:
     return _table_sql("\nUNION ALL\n".join(parts))
 
 
+_AUDIT_SQL = """
+SELECT 'null_items' AS step, count(*) AS rows_in,
+       count(*) FILTER (quantity IS NOT NULL AND price_per_unit IS NOT NULL) AS rows_out,
+       count(*) FILTER (quantity IS NULL OR price_per_unit IS NULL) AS dropped
+FROM order_items
+UNION ALL
+SELECT 'not_an_amount', count(*), count(item_total), count(*) - count(item_total) FROM clean_items
+UNION ALL
+SELECT 'cancelled_orders', count(*), count(*) FILTER (status <> 'cancelled'),
+       count(*) - count(*) FILTER (status <> 'cancelled')
+FROM joined
+UNION ALL
+SELECT 'non_positive_totals', count(*), count(*) FILTER (total_amount > 0),
+       count(*) - count(*) FILTER (total_amount > 0)
+FROM joined WHERE status <> 'cancelled'"""
+_COUNTS_SQL = """
+SELECT 'customers' AS table_name, count(*) AS row_count FROM customers
+UNION ALL SELECT 'products', count(*) FROM products
+UNION ALL SELECT 'orders', count(*) FROM sales_orders
+UNION ALL SELECT 'order_items', count(*) FROM order_items
+UNION ALL SELECT 'fact_table', count(*) FROM fact"""
+_TEXT_SQL = """
+SELECT 'product_name' AS field, product_id AS id, lower(trim(product_name, ' ')) AS value
+FROM products
+UNION ALL SELECT 'category', product_id, lower(trim(category, ' ')) FROM products
+UNION ALL SELECT 'brand', product_id, lower(trim(brand, ' ')) FROM products
+UNION ALL SELECT 'country', customer_id, lower(trim(country, ' ')) FROM customers
+UNION ALL SELECT 'status', order_id, lower(trim(status, ' ')) FROM sales_orders"""
+_CALENDAR_SQL = """
+SELECT *, CAST(year(order_date) AS INTEGER) AS order_year,
+       CAST(month(order_date) AS INTEGER) AS order_month,
+       CAST(dayofweek(order_date) + 1 AS INTEGER) AS order_day_of_week
+FROM sales_orders"""
+_KEYS_AS_TEXT = """* REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
+                  CAST(product_id AS VARCHAR) AS product_id,
+                  CAST(order_id AS VARCHAR) AS order_id,
+                  CAST(item_total AS DOUBLE) AS item_total)"""
+
+
+def _dirty_sql() -> dict[str, str]:
+    priced = "* REPLACE (CAST(item_total AS DOUBLE) AS item_total)"
+    # The stored dates, written as text: spoiled ones do not parse.
+    dates = """* REPLACE (CASE WHEN order_id % 9 = 0 THEN '31.12.2020'
+                 ELSE strftime(order_date, '%Y-%m-%d %H:%M:%S') END AS order_date)"""
+    status_first = _JOINED_SQL.replace(
+        "WHERE status <> 'cancelled'", "WHERE lower(trim(status, ' ')) <> 'cancelled'"
+    )
+    items = "quantity IS NOT NULL AND price_per_unit IS NOT NULL"
+    tables = {
+        "dirty_items_typed": "SELECT * FROM order_items",
+        "dirty_items_nonnull": f"SELECT * FROM order_items WHERE {items}",
+        "dirty_item_totals": f"SELECT {priced} FROM clean_items",
+        "dirty_orders_parsed": "SELECT * FROM sales_orders",
+        "dirty_orders_calendar": _CALENDAR_SQL,
+        "dirty_standardized_text": _TEXT_SQL,
+        "dirty_orders_not_cancelled": f"SELECT {dates} FROM sales_orders WHERE status <> 'cancelled'",
+        "dirty_orders_positive_total": f"SELECT {dates} FROM sales_orders WHERE total_amount > 0",
+        "dirty_orders_total_filled": f"SELECT {dates} FROM (SELECT * REPLACE"
+        " (coalesce(total_amount, 0) AS total_amount) FROM sales_orders)",
+        "dirty_fact_status_first": f"{status_first}\nSELECT {priced} FROM fact",
+        "sink_text_roundtrip": """
+SELECT customer_id, first_name, country, customer_id / 7 AS ratio,
+       TIMESTAMP '2020-02-29 10:00:00' + to_microseconds(customer_id * 125000) AS at
+FROM customers""",
+    }
+    facts = {
+        "dirty_cleaning_audit": _AUDIT_SQL,
+        "dirty_row_counts": _COUNTS_SQL,
+        "dirty_fact_table": f"SELECT {priced} FROM fact",
+        "dirty_fact_from_csv": f"SELECT {_KEYS_AS_TEXT} FROM fact",
+        "dirty_ranked_products": _RESULT_SQL[FLAGSHIP],
+        "dirty_monthly_with_lag": _RESULT_SQL["monthly_sales_with_lag"],
+    }
+    return {n: _table_sql(q, dirty=True) for n, q in tables.items()} | {
+        n: _fact_sql(q, dirty=True) for n, q in facts.items()
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """Equivalent SQL for each query that SQL can express, over the given tables."""
     corpus = _corpus.oracle_sql() if _corpus else {}
@@ -416,30 +665,15 @@ def sales_sql() -> dict[str, str]:
         "scan_orders": _table_sql("SELECT * FROM sales_orders"),
         "scan_order_items": _table_sql("SELECT * FROM order_items"),
         "profile_schema": _profile_schema_sql(),
-        "profile_row_counts": _fact_sql("""
-SELECT 'customers' AS table_name, count(*) AS row_count FROM customers
-UNION ALL SELECT 'products', count(*) FROM products
-UNION ALL SELECT 'orders', count(*) FROM sales_orders
-UNION ALL SELECT 'order_items', count(*) FROM order_items
-UNION ALL SELECT 'fact_table', count(*) FROM fact"""),
+        "profile_row_counts": _fact_sql(_COUNTS_SQL),
         "orders_parsed": _table_sql("SELECT * FROM sales_orders"),
         "items_typed": _table_sql("SELECT * FROM order_items"),
         "items_nonnull": _table_sql(
             "SELECT * FROM order_items WHERE quantity IS NOT NULL AND price_per_unit IS NOT NULL"
         ),
         "item_totals": _table_sql(f"SELECT {priced} FROM clean_items"),
-        "orders_calendar": _table_sql("""
-SELECT *, CAST(year(order_date) AS INTEGER) AS order_year,
-       CAST(month(order_date) AS INTEGER) AS order_month,
-       CAST(dayofweek(order_date) + 1 AS INTEGER) AS order_day_of_week
-FROM sales_orders"""),
-        "standardized_text": _table_sql("""
-SELECT 'product_name' AS field, product_id AS id, lower(trim(product_name, ' ')) AS value
-FROM products
-UNION ALL SELECT 'category', product_id, lower(trim(category, ' ')) FROM products
-UNION ALL SELECT 'brand', product_id, lower(trim(brand, ' ')) FROM products
-UNION ALL SELECT 'country', customer_id, lower(trim(country, ' ')) FROM customers
-UNION ALL SELECT 'status', order_id, lower(trim(status, ' ')) FROM sales_orders"""),
+        "orders_calendar": _table_sql(_CALENDAR_SQL),
+        "standardized_text": _table_sql(_TEXT_SQL),
         "orders_not_cancelled": _table_sql(
             "SELECT * FROM sales_orders WHERE status <> 'cancelled'"
         ),
@@ -447,19 +681,7 @@ UNION ALL SELECT 'status', order_id, lower(trim(status, ' ')) FROM sales_orders"
         "orders_total_filled": _table_sql(
             "SELECT * REPLACE (coalesce(total_amount, 0) AS total_amount) FROM sales_orders"
         ),
-        "cleaning_audit": _fact_sql("""
-SELECT 'null_items' AS step, count(*) AS rows_in,
-       count(*) FILTER (quantity IS NOT NULL AND price_per_unit IS NOT NULL) AS rows_out,
-       count(*) FILTER (quantity IS NULL OR price_per_unit IS NULL) AS dropped
-FROM order_items
-UNION ALL
-SELECT 'cancelled_orders', count(*), count(*) FILTER (status <> 'cancelled'),
-       count(*) - count(*) FILTER (status <> 'cancelled')
-FROM joined
-UNION ALL
-SELECT 'non_positive_totals', count(*), count(*) FILTER (total_amount > 0),
-       count(*) - count(*) FILTER (total_amount > 0)
-FROM joined WHERE status <> 'cancelled'"""),
+        "cleaning_audit": _fact_sql(_AUDIT_SQL),
         "join_orders_items": _table_sql(
             f"SELECT {priced} FROM sales_orders JOIN clean_items USING (order_id)"
         ),
@@ -472,12 +694,7 @@ FROM clean_items i JOIN products p ON p.product_id = i.product_id"""),
 SELECT o.*, first_name, last_name, email, lower(trim(country, ' ')) AS country
 FROM sales_orders o JOIN customers c ON c.customer_id = o.customer_id"""),
         "fact_table": fact,
-        "fact_from_csv": _fact_sql("""
-SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
-                  CAST(product_id AS VARCHAR) AS product_id,
-                  CAST(order_id AS VARCHAR) AS order_id,
-                  CAST(item_total AS DOUBLE) AS item_total)
-FROM fact"""),
+        "fact_from_csv": _fact_sql(f"SELECT {_KEYS_AS_TEXT} FROM fact"),
         "order_totals": _fact_sql(_total("order_id", "order_total", "1")),
         "result_with_index": _fact_sql(f"""
 SELECT CAST(row_number() OVER (ORDER BY country_total_sales DESC NULLS LAST,
@@ -485,6 +702,9 @@ SELECT CAST(row_number() OVER (ORDER BY country_total_sales DESC NULLS LAST,
 FROM ({_RESULT_SQL["sales_by_country"]})"""),
         "sink_fact_roundtrip": fact,
         "sink_results_roundtrip": _fact_sql(_RESULT_SQL[FLAGSHIP]),
+        "sample_rows": _fact_sql(f"{_RESULT_SQL['sales_by_country']} LIMIT 5"),
         "stored_results": _stored_results_sql(),
+        "stored_results_by_month": _stored_results_sql(),
+        "stored_results_csv": _stored_results_sql(with_index=True),
     }
-    return sql | {name: _fact_sql(select) for name, select in _RESULT_SQL.items()}
+    return sql | _dirty_sql() | {name: _fact_sql(select) for name, select in _RESULT_SQL.items()}

@@ -1,5 +1,4 @@
-import contextlib
-
+import pytest
 from conftest import rows
 
 from tillstar import build_fact
@@ -34,6 +33,7 @@ def tables(make):
 def test_audit_counts_at_the_grain_of_each_step(make):
     assert rows(cleaning_audit(tables(make))) == [
         ("null_items", 9, 8, 1),
+        ("not_an_amount", 8, 8, 0),
         ("cancelled_orders", 7, 5, 2),  # q repeats twice; the unknown customer is gone
         ("non_positive_totals", 5, 3, 2),
     ]
@@ -42,11 +42,22 @@ def test_audit_counts_at_the_grain_of_each_step(make):
 def test_audit_of_nothing(make):
     assert rows(cleaning_audit(make([("o", "c", D, 1.0, "a")], []))) == [
         ("null_items", 0, 0, 0),
+        ("not_an_amount", 0, 0, 0),
         ("cancelled_orders", 0, 0, 0),
         ("non_positive_totals", 0, 0, 0),
     ]
 
 
+def test_items_that_are_no_amounts_are_counted_and_named(make):
+    odd = [("o1", "nan", 1, float("nan")), ("o1", "inf", 2, float("inf")), ("o1", "big", 1, 1e18)]
+    t = make([("o1", "c", D, 9.0, "pending")], [("o1", "p", 1, 1.0), *odd])
+    assert rows(cleaning_audit(t))[1] == ("not_an_amount", 4, 1, 3)
+    for product, shown in (("nan", "1, NaN"), ("inf", "2, Infinity"), ("big", "1, 1.0E18")):
+        only = t._replace(order_items=t.order_items.where(f"product_id = '{product}'"))
+        with pytest.raises(Exception, match=f"not an amount of money: {shown}, o1, {product}"):
+            build_fact(only).collect()
+
+
 def test_row_counts_match_the_frames(make):
     t = tables(make)
     counts = dict(rows(profile_row_counts(t)))
@@ -68,4 +79,6 @@ def test_schema_profile(make):
 
 def test_sample(make):
     assert sample(tables(make).orders, 2).count() == 2
-    assert sample(tables(make).orders).count() == 5
+    orders = tables(make).orders
+    assert sample(orders).count() == 5
+    assert [r[0] for r in rows(sample(orders.orderBy("order_id", ascending=False), 2))] == ["o6", "o5"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tillstar import METRICS, Tables, build_fact, load_tables, metric_from_tables, star_tables
-from tillstar.operators.audit import cleaning_audit
+from tillstar.operators.audit import cleaning_audit, profile_row_counts
 from tillstar.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -77,6 +77,20 @@ def test_top_lists_and_rankings_are_cut_before_they_are_moved(stored):
     assert re.search(r"WindowGroupLimit .*Final[\s\S]*Exchange[\s\S]*WindowGroupLimit .*Partial", ranked)
 
 
+def test_a_ranking_is_cut_early_or_refused(stored, conf):
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    with pytest.raises(ValueError, match=setting):
+        metric_from_tables(stored, "ranked_products_in_category", size=1001)
+    conf(**{setting.replace(".", "__"): "1001"})
+    ranked = plan(metric_from_tables(stored, "ranked_products_in_category", size=1001))
+    assert re.search(r"WindowGroupLimit .*Final[\s\S]*Exchange[\s\S]*WindowGroupLimit .*Partial", ranked)
+
+
+def test_audit_and_counts_scan_the_items_once(stored):
+    for build in (cleaning_audit, profile_row_counts):
+        assert plan(build(stored)).count("order_items.parquet") == 1
+
+
 def exchanges(text, key):
     return len(re.findall(rf"Exchange hashpartitioning\({key}#", text))
 
@@ -113,6 +127,8 @@ def test_no_query_needs_a_cross_join_python_or_a_forced_broadcast(spark, conf, b
 
 def test_no_hints_collects_or_local_checkpoints_in_the_library():
     for path in (Path(registry.__file__).parent / "tillstar").rglob("*.py"):
+        if "llm" in path.parts:  # has tests of its own
+            continue
         source = path.read_text()
         for word in ("broadcast(", ".collect(", "toPandas", "localCheckpoint", "crossJoin", ".rdd"):
             assert word not in source, (path, word)
@@ -172,7 +188,9 @@ def test_hot_keys_of_the_fact_joins_are_split(spark, skewed, split_small_partiti
     try:
         assert fact.count() == 200_000
         final = fact._jdf.queryExecution().executedPlan().toString()
-        assert len(re.findall(r"SortMergeJoin\(skew=true\)", final.split("Initial Plan")[0])) >= 1
+        final = final.split("Initial Plan")[0]
+        for key in ("product_id", "order_id", "customer_id"):
+            assert re.search(rf"SortMergeJoin\(skew=true\) \[{key}#", final), key
     finally:
         fact.unpersist()
 
@@ -189,6 +207,7 @@ def test_results_under_skew_equal_those_of_a_plain_sum(skewed, split_small_parti
     assert top.product_id == "0"
     assert rows(cleaning_audit(skewed)) == [
         ("null_items", 200_000, 200_000, 0),
+        ("not_an_amount", 200_000, 200_000, 0),
         ("cancelled_orders", 200_000, 200_000, 0),
         ("non_positive_totals", 200_000, 200_000, 0),
     ]

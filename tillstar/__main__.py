@@ -12,6 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tillstar.plans import BatchOutput, run_batch
+from tillstar.sources import load_tables
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -21,6 +22,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source-format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--by-month", action="store_true", help="lay the fact table out by month")
+    parser.add_argument("--results", nargs="*", metavar="NAME", help="results to store (default: all)")
+    parser.add_argument(
+        "--size", nargs="*", default=[], metavar="NAME=N", help="length of a list, depth of a ranking"
+    )
+    parser.add_argument("--index", action="store_true", help="first column row_index in results")
+    parser.add_argument("--keep-staged", action="store_true", help="keep the Parquet fact of a CSV run")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks within CSV cells")
+    parser.add_argument("--normalize-status-first", action="store_true")
+    parser.add_argument("--null-totals", choices=["keep", "zero"], default="keep")
     return parser.parse_args(argv)
 
 
@@ -29,14 +39,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Ba
     args = parse_args(argv)
     session = spark or SparkSession.builder.appName("tillstar").getOrCreate()
     try:
-        return run_batch(
+        read = {"multi_line": args.multi_line} if args.source_format == "csv" else {}
+        out = run_batch(
             session,
-            args.source,
+            load_tables(session, args.source, args.source_format, **read),
             args.destination,
-            source_fmt=args.source_format,
             fmt=args.format,
             by_month=args.by_month,
+            names=args.results,
+            sizes={name: int(n) for name, n in (s.split("=", 1) for s in args.size)},
+            with_index=args.index,
+            keep_staged=args.keep_staged,
+            normalize_status_first=args.normalize_status_first,
+            null_totals=args.null_totals,
         )
+        for path in (out.fact, out.staged_fact, *out.results.values()):
+            if path:
+                print(path)
+        return out
     finally:
         if spark is None:
             session.stop()

@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from tillstar.schemas import MONEY
 
 
-def item_total(quantity: Column, price: Column) -> Column:
+def amount(quantity: Column, price: Column) -> Column:
+    """quantity x price in cents, null where that is no amount of money."""
+    return (quantity * price).try_cast(MONEY)
+
+
+def item_total(quantity: Column, price: Column, *where: Column) -> Column:
     """quantity x price in cents, null when either is missing.
 
     The cast rounds half-up on the decimal text of the double, exactly as
     ``round(x, 2)`` does, and saves that second conversion. A product that is no amount
-    (NaN, infinite, beyond 18 digits) raises an error: as null it would be left out of
-    every sum unnoticed."""
-    product = quantity * price
-    no_amount = F.raise_error(F.lit("quantity x price_per_unit is not an amount of money"))
-    return F.when(product.isNotNull(), F.coalesce(product.cast(MONEY), no_amount))
+    (NaN, infinite, beyond 18 digits) raises an error that shows the values and the
+    columns ``where``: as null it would be left out of every sum unnoticed."""
+    shown = [F.coalesce(c.cast("string"), F.lit("null")) for c in (quantity, price, *where)]
+    text = F.concat(F.lit("not an amount of money: "), F.concat_ws(", ", *shown))
+    known = quantity.isNotNull() & price.isNotNull()
+    return F.when(known, F.coalesce(amount(quantity, price), F.raise_error(text)))
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:

@@ -7,13 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.cleaning import (
-    CANCELLED,
-    drop_null_items,
-    qualify_orders,
-    type_items,
-)
-from tillstar.operators.joins import join_customers, join_products
+from tillstar.functions import amount
+from tillstar.operators.cleaning import CANCELLED, type_items
+from tillstar.operators.joins import join_customers
 from tillstar.schemas import FACT_NAME, Tables
 
 
@@ -55,12 +51,14 @@ def profile_row_counts(tables: Tables) -> DataFrame:
             F.lit(name).alias("table_name"), "row_count"
         )
         for name, df in tables._asdict().items()
+        if name != "order_items"
     ]
-    fact = joined_rows(tables._replace(orders=qualify_orders(tables.orders))).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")
+    both = _stack(
+        step_counts(tables),
+        ["'order_items', items", f"'{FACT_NAME}', positive"],
+        "table_name, row_count",
     )
-    counts.append(fact.select(F.lit(FACT_NAME).alias("table_name"), "row_count"))
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [*counts, both])
 
 
 def sample(df: DataFrame, n: int = 5) -> DataFrame:
@@ -68,50 +66,64 @@ def sample(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def joined_rows(tables: Tables) -> DataFrame:
-    """The orders, with the number ``n`` of valid items each one joins to.
+def step_counts(tables: Tables) -> DataFrame:
+    """One row: how many rows there are after each step, in one scan of the items.
 
-    Items are counted per order before the join, as sales are summed: ``sum(n)`` is the
-    row count of the joined table without building it."""
-    items = drop_null_items(type_items(tables.order_items)).select("order_id", "product_id")
-    per_order = (
-        join_products(items, tables.products.select("product_id"))
-        .groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+    ``items``, ``known`` (with quantity and price) and ``amounts`` (whose total is an
+    amount of money) count order items; ``joined``, ``not_cancelled`` and ``positive``
+    rows of the joined table. Items are counted per order and product, then per order,
+    before they are joined; the joined table is not built. A repeated product, order or
+    customer multiplies as it does in the joins.
+    """
+    quantity, price = F.col("quantity"), F.col("price_per_unit")
+    known = quantity.isNotNull() & price.isNotNull()
+    items = type_items(tables.order_items).groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count_if(known).alias("known"),
+        F.count_if(amount(quantity, price).isNotNull()).alias("amounts"),
+    )
+    products = tables.products.groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"))
+    items = items.join(products, "product_id", "left").groupBy("order_id").agg(
+        *[F.sum(c).alias(c) for c in ("items", "known", "amounts")],
+        F.sum(F.col("known") * F.coalesce(F.col("copies"), F.lit(0))).alias("rows"),
     )
     orders = join_customers(
         tables.orders.select("order_id", "customer_id", "status", "total_amount"),
         tables.customers.select("customer_id"),
     )
-    return orders.join(per_order, "order_id", "inner")
-
+    not_cancelled = F.col("status") != CANCELLED
+    orders = orders.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("joined"),
+        F.count_if(not_cancelled).alias("not_cancelled"),
+        F.count_if(not_cancelled & (F.col("total_amount") > 0)).alias("positive"),
+    )
+    both = items.join(orders, "order_id", "left")
 
-def cleaning_audit(tables: Tables) -> DataFrame:
-    """(step, rows_in, rows_out, dropped) of the three cleaning filters.
+    def total(column, times=None):
+        value = F.col(column) if times is None else F.col(column) * F.col(times)
+        return F.coalesce(F.sum(value), F.lit(0)).alias(column)
 
-    Null items are counted among the order items; the other two steps count rows of the
-    joined table, where a missing status or total counts as dropped.
-    """
-    valid = F.col("quantity").isNotNull() & F.col("price_per_unit").isNotNull()
-    items = type_items(tables.order_items).agg(
-        F.count(F.lit(1)).alias("a"), F.count_if(valid).alias("b")
+    return both.agg(
+        *[total(c) for c in ("items", "known", "amounts")],
+        *[total(c, "rows") for c in ("joined", "not_cancelled", "positive")],
     )
-    not_cancelled = F.col("status") != CANCELLED
-    positive = F.col("total_amount") > 0
 
-    def rows_where(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    joined = joined_rows(tables).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("a"),
-        rows_where(not_cancelled).alias("b"),
-        rows_where(not_cancelled & positive).alias("c"),
-    )
-    columns = "step, rows_in, rows_out, dropped"
-    return _stack(items, ["'null_items', a, b, a - b"], columns).unionByName(
-        _stack(
-            joined,
-            ["'cancelled_orders', a, b, a - b", "'non_positive_totals', b, c, b - c"],
-            columns,
-        )
+def cleaning_audit(tables: Tables) -> DataFrame:
+    """(step, rows_in, rows_out, dropped) of the cleaning filters.
+
+    Null items are counted among the order items, and so are items whose total is no
+    amount of money, which are not dropped but stop the job; the other two steps count
+    rows of the joined table, where a missing status or total counts as dropped.
+    """
+    steps = [
+        ("null_items", "items", "known"),
+        ("not_an_amount", "known", "amounts"),
+        ("cancelled_orders", "joined", "not_cancelled"),
+        ("non_positive_totals", "not_cancelled", "positive"),
+    ]
+    return _stack(
+        step_counts(tables),
+        [f"'{name}', {a}, {b}, {a} - {b}" for name, a, b in steps],
+        "step, rows_in, rows_out, dropped",
     )

@@ -36,7 +36,11 @@ def drop_null_items(items: DataFrame) -> DataFrame:
 
 
 def add_item_total(items: DataFrame) -> DataFrame:
-    return items.withColumn("item_total", item_total(F.col("quantity"), F.col("price_per_unit")))
+    """An item whose total is no amount stops the job; the error gives quantity, price,
+    order and product, as far as the items have them."""
+    where = [F.col(c) for c in ("order_id", "product_id") if c in items.columns]
+    total = item_total(F.col("quantity"), F.col("price_per_unit"), *where)
+    return items.withColumn("item_total", total)
 
 
 def clean_items(items: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tillstar.functions import as_double, percent_change
 
 
+_CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def running_total(daily: DataFrame) -> DataFrame:
     """(sale_date, daily_sales) with the sum of all days up to each one."""
     up_to_here = Window.orderBy(F.col("sale_date").asc_nulls_first()).rowsBetween(
@@ -27,7 +30,11 @@ def top_per_category(product_sales: DataFrame, depth: int) -> DataFrame:
 
     The rank filter lets Spark cut each task's rows to the best ``depth`` before the
     shuffle by category, so a category holding most products is not sorted in one task.
+    Spark does so up to a depth that is a setting; a larger depth is refused.
     """
+    most = int(product_sales.sparkSession.conf.get(_CUT_SETTING, "1000"))
+    if depth > most:
+        raise ValueError(f"set {_CUT_SETTING} to at least {depth} for a ranking of that depth")
     best_first = Window.partitionBy("category").orderBy(
         F.col("category_product_sales").desc_nulls_last()
     )

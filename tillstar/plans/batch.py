@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -12,32 +13,32 @@ from tillstar.plans.fact import build_fact
 from tillstar.plans.metrics import METRICS, run_metrics
 from tillstar.plans.rollups import rollup_fact
 from tillstar.schemas import FACT_NAME, Tables
-from tillstar.sinks import shared_path, write_fact, write_result
+from tillstar.sinks import remove_path, shared_path, write_fact, write_result
 from tillstar.sources import load_tables
 
-# Grains that more than one result reads.
-_SHARED_GRAINS = sorted(
-    g
-    for g in {m.grain for m in METRICS.values()}
-    if sum(m.grain == g for m in METRICS.values()) > 1
-)
+# Results written at a time: they are small, so that one alone leaves a cluster idle.
+_AT_ONCE = 4
 
 
 def write_results(
     results: Mapping[str, DataFrame], destination: str, fmt: str = "csv", with_index: bool = False
 ) -> dict[str, str]:
     """Write each result under its name, in its registered order; returns the paths."""
-    return {
-        name: write_result(
-            result,
+
+    def one(name: str) -> str:
+        metric = METRICS.get(name)
+        return write_result(
+            results[name],
             name,
             destination,
             fmt,
-            order=METRICS[name].order if name in METRICS else (),
+            order=metric.order if metric else (),
             with_index=with_index,
+            cents=metric.cents if metric else (),
         )
-        for name, result in results.items()
-    }
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        return dict(zip(results, pool.map(one, results)))
 
 
 def write_outputs(
@@ -47,18 +48,26 @@ def write_outputs(
     fmt: str = "csv",
     with_index: bool = False,
 ) -> dict[str, str]:
-    """Write the fact table and all results; returns the path of each by name."""
-    paths = {FACT_NAME: write_fact(fact, destination, fmt)}
-    return paths | write_results(results, destination, fmt, with_index)
+    """Write a fact table and results derived from it; returns the path of each by name.
+
+    The fact is kept while they are written, so that a lazy one is joined once and not
+    once per table.
+    """
+    fact = fact.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        paths = {FACT_NAME: write_fact(fact, destination, fmt)}
+        return paths | write_results(results, destination, fmt, with_index)
+    finally:
+        fact.unpersist()
 
 
 @dataclass(frozen=True)
 class BatchOutput:
-    """Where a run put its tables. ``staged_fact`` is the columnar fact the results
-    were computed from: the sink itself for Parquet, a staged copy for CSV."""
+    """Where a run put its tables. ``staged_fact`` is the columnar fact the results were
+    computed from: the sink itself for Parquet, a staged copy for CSV if it was kept."""
 
     fact: str
-    staged_fact: str
+    staged_fact: str | None
     results: dict[str, str]
 
 
@@ -69,30 +78,48 @@ def run_batch(
     source_fmt: str = "csv",
     fmt: str = "csv",
     by_month: bool = False,
+    names: Iterable[str] | None = None,
+    sizes: Mapping[str, int] | None = None,
+    with_index: bool = False,
+    keep_staged: bool = False,
     **options,
 ) -> BatchOutput:
     """Evaluate the join once, store the fact table, and derive every result from it.
 
+    ``names`` chooses results, ``sizes`` sets list lengths and the ranking depth,
+    ``with_index`` adds the row index, and further options go to ``build_fact``.
+
     The fact is written as Parquet first, which ends its lineage: a lost executor costs
-    a re-read of stored columns and not a second join. Results read from it only the
-    columns of their grain, through rollups that are computed once and kept while the
-    results are written. Errors propagate.
+    a re-read of stored columns and not a second join. With CSV output that copy lies in
+    the shared folder and is removed at the end, unless ``keep_staged``. Results read
+    from it only the columns of their grain, through rollups that are computed once and
+    kept while the results are written. Errors propagate.
     """
     tables = load_tables(spark, source, source_fmt) if isinstance(source, str) else source
-    if fmt == "parquet":
-        staged = write_fact(build_fact(tables, **options), destination, fmt, by_month)
-        fact_path, fact = staged, spark.read.parquet(staged)
+    names = list(METRICS) if names is None else list(names)
+    joined = build_fact(tables, **options)
+    staging = fmt != "parquet"
+    if staging:
+        staged = write_fact(joined, shared_path(spark, "fact"), "parquet")
     else:
-        staged = write_fact(build_fact(tables, **options), shared_path(spark, "fact"), "parquet")
-        fact = spark.read.parquet(staged)
-        fact_path = write_fact(fact, destination, fmt, by_month)
-    rollups = {
-        grain: rollup_fact(fact, grain).persist(StorageLevel.MEMORY_AND_DISK)
-        for grain in _SHARED_GRAINS
-    }
+        staged = write_fact(joined, destination, fmt, by_month)
     try:
-        results = write_results(run_metrics(fact, rollups=rollups), destination, fmt)
+        fact = spark.read.parquet(staged)
+        fact_path = write_fact(fact, destination, fmt, by_month) if staging else staged
+        grains = [METRICS[n].grain for n in names if n in METRICS]
+        rollups = {
+            grain: rollup_fact(fact, grain).persist(StorageLevel.MEMORY_AND_DISK)
+            for grain in sorted(set(grains))
+            if grains.count(grain) > 1
+        }
+        try:
+            results = run_metrics(fact, names, rollups, sizes)
+            paths = write_results(results, destination, fmt, with_index)
+        finally:
+            for rollup in rollups.values():
+                rollup.unpersist()
     finally:
-        for rollup in rollups.values():
-            rollup.unpersist()
-    return BatchOutput(fact=fact_path, staged_fact=staged, results=results)
+        if staging and not keep_staged:
+            remove_path(spark, staged.rsplit("/", 1)[0])
+    kept = staged if keep_staged or not staging else None
+    return BatchOutput(fact=fact_path, staged_fact=kept, results=paths)

@@ -20,11 +20,13 @@ def build_fact(
 ) -> DataFrame:
     """Join the cleaned tables. Lazy, no action.
 
-    Customers are joined to the orders first: that shuffle, where one is needed,
-    moves one row per order. Only the joins on order_id and product_id then move
-    rows at item grain.
+    Customers are joined to the orders, one row per order, and products to the items,
+    while these are still narrow: only then do both sides meet by order_id. With the
+    orders joined first, the shuffle by product_id would carry names, e-mail and country
+    of every item: 29 % more shuffled bytes on items with a third of the orders cancelled.
+    Items of cancelled orders pass one shuffle more, so it loses where most are cancelled.
     """
     orders = add_calendar(qualify_orders(tables.orders, normalize_status_first, null_totals))
     orders = join_customers(orders, standardize_customers(tables.customers))
-    items = join_orders_items(orders, clean_items(tables.order_items))
-    return join_products(items, standardize_products(tables.products)).select(*FACT_COLUMNS)
+    items = join_products(clean_items(tables.order_items), standardize_products(tables.products))
+    return join_orders_items(orders, items).select(*FACT_COLUMNS)

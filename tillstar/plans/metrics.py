@@ -35,6 +35,13 @@ class Metric:
     limit: int | None = None
     depth: int | None = None
     finish: Callable[..., DataFrame] | None = None
+    more_cents: tuple[str, ...] = ()
+
+    @property
+    def cents(self) -> tuple[str, ...]:
+        """The result's doubles: amounts and percents, all with two places."""
+        own = () if self.finish is average_order_value else (self.measure,)
+        return own + self.more_cents
 
     def rows(self, frame: DataFrame, size: int | None = None) -> DataFrame:
         """The result rows, in no particular order unless it is a top list."""
@@ -43,11 +50,10 @@ class Metric:
             return self.finish(sums, self.depth if size is None else size)
         if self.finish is not None:
             return self.finish(sums)
-        out = as_double(sums, self.measure)
-        if self.limit is not None:
+        if self.limit is not None:  # by the exact total: doubles tie above 9e13
             n = self.limit if size is None else size
-            return out.orderBy(*sort_columns(self.order)).limit(n)
-        return out
+            sums = sums.orderBy(*sort_columns(self.order)).limit(n)
+        return as_double(sums, self.measure)
 
     def __call__(self, frame: DataFrame, size: int | None = None) -> DataFrame:
         """The result in presentation order, from a fact table or a rollup."""
@@ -108,6 +114,7 @@ METRICS: dict[str, Metric] = {
         keys={"order_id": "order_id"},
         measure="order_total",
         finish=average_order_value,
+        more_cents=("average_order_value",),
     ),
     "sales_by_country": Metric(
         grain="customer",
@@ -121,6 +128,7 @@ METRICS: dict[str, Metric] = {
         measure="daily_sales",
         order=(("sale_date", "asc"),),
         finish=running_total,
+        more_cents=("running_total_sales",),
     ),
     "ranked_products_in_category": Metric(
         grain="product",
@@ -136,6 +144,7 @@ METRICS: dict[str, Metric] = {
         measure="monthly_sales",
         order=(("order_year", "asc"), ("order_month", "asc")),
         finish=month_over_month,
+        more_cents=("prev_month_sales", "mom_growth_percent"),
     ),
     "quarterly_sales": Metric(
         grain="day",

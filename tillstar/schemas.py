@@ -58,6 +58,13 @@ TABLE_SCHEMAS = {
     "order_items": ORDER_ITEMS,
 }
 
+# CSV as written and read here: quotes are doubled, white space is kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 # Text format of order_date, name and columns of the fact table.
 ORDER_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FACT_NAME = "fact_table"

@@ -1,5 +1,5 @@
 """Distributed writers for the fact table and the results."""
 
-from tillstar.sinks.writers import shared_path, write_fact, write_result
+from tillstar.sinks.writers import remove_path, shared_path, write_fact, write_result
 
-__all__ = ["shared_path", "write_fact", "write_result"]
+__all__ = ["remove_path", "shared_path", "write_fact", "write_result"]

@@ -6,44 +6,71 @@ an earlier one.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tillstar.operators.aggregates import sort_columns
 from tillstar.operators.windows import with_row_index
-from tillstar.schemas import FACT_NAME, ORDER_DATE_FORMAT
+from tillstar.schemas import CSV_OPTIONS, FACT_NAME
 
 _FORMATS = ("csv", "parquet")
 
 
+@functools.cache
+def _own_folder() -> str:
+    """A temporary folder for a local session, removed when the process ends."""
+    root = tempfile.mkdtemp(prefix="tillstar-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only a local session may do without that setting; it then gets a temporary one.
+    Only a session with the master ``local`` or ``local[...]`` may do without that
+    setting; it then gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        root = tempfile.mkdtemp(prefix="tillstar-")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table directory, wherever Spark can reach it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    """Timestamps as text, with fractions of a second where there are any: a format of
+    the writer would cut or pad them."""
+    times = [
+        f.name for f in df.schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))
+    ]
+    return df.withColumns({c: F.col(c).cast("string") for c in times})
+
+
 def _write(df: DataFrame, destination: str, name: str, fmt: str, partition_by=()) -> str:
     if fmt not in _FORMATS:
         raise ValueError(f"unknown sink format {fmt!r}; use one of {list(_FORMATS)}")
     path = f"{destination.rstrip('/')}/{name}_{fmt}"
-    writer = df.write.mode("overwrite")
+    writer = (_as_text(df) if fmt == "csv" else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("timestampFormat", ORDER_DATE_FORMAT).option(
-            "timestampNTZFormat", ORDER_DATE_FORMAT
-        ).csv(path)
+        writer.options(**CSV_OPTIONS).csv(path)
     else:
         writer.parquet(path)
     return path
@@ -63,12 +90,6 @@ def write_fact(fact: DataFrame, destination: str, fmt: str = "csv", by_month: bo
     return _write(fact, destination, FACT_NAME, fmt, layout)
 
 
-def _plain_money(df: DataFrame) -> DataFrame:
-    """Result doubles have two places; as decimals they print as plain digits."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({c: F.col(c).cast("decimal(38,2)") for c in doubles})
-
-
 def write_result(
     result: DataFrame,
     name: str,
@@ -76,13 +97,16 @@ def write_result(
     fmt: str = "csv",
     order=(),
     with_index: bool = False,
+    cents: Sequence[str] = (),
 ) -> str:
     """Write one result in the given order ``[(column, way), ...]``.
 
     Files follow each other in that order. Adaptive execution merges the partitions of a
     small result, which then is one file; a large one is sorted and written in parallel.
     ``with_index`` adds a 0-based first column ``row_index``, counted in one task: leave
-    it off for results that may be large.
+    it off for results that may be large. ``cents`` names doubles that have two places,
+    such as amounts of money: CSV shows them as plain digits. Other values are written
+    as they are.
     """
     keys = sort_columns(order)
     if with_index:
@@ -91,5 +115,5 @@ def write_result(
     if keys:
         result = result.orderBy(*keys)
     if fmt == "csv":
-        result = _plain_money(result)
+        result = result.withColumns({c: F.col(c).cast("decimal(38,2)") for c in cents})
     return _write(result, destination, name, fmt)

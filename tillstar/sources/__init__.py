@@ -12,12 +12,14 @@ from tillstar.sources.star import star_tables
 _READERS = {"csv": read_csv_table, "parquet": read_parquet_table}
 
 
-def load_tables(spark: SparkSession, path: str, fmt: str = "csv") -> Tables:
-    """Load ``<path>/<table>.<fmt>`` for all four tables (file or directory each)."""
+def load_tables(spark: SparkSession, path: str, fmt: str = "csv", **options) -> Tables:
+    """Load ``<path>/<table>.<fmt>`` for all four tables (file or directory each).
+
+    Options go to the reader of the format."""
     if fmt not in _READERS:
         raise ValueError(f"unknown source format {fmt!r}; use one of {sorted(_READERS)}")
     read = _READERS[fmt]
-    return Tables(**{name: read(spark, path, name) for name in TABLE_SCHEMAS})
+    return Tables(**{name: read(spark, path, name, **options) for name in TABLE_SCHEMAS})
 
 
 __all__ = ["load_tables", "read_csv_table", "read_parquet_table", "star_tables"]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.schemas import TABLE_SCHEMAS
+from tillstar.schemas import CSV_OPTIONS, TABLE_SCHEMAS
 
 
-def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_csv_table(
+    spark: SparkSession, path: str, table: str, escape: str = '"', multi_line: bool = False
+) -> DataFrame:
     """Scan ``<path>/<table>.csv``.
 
     CSV binds columns by position, so a file with swapped columns would be read
@@ -15,10 +17,14 @@ def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     the file it reads with the declared names and fail on a difference. Cells that
     do not fit their type become null, short rows are padded with nulls and extra
     cells are ignored (the permissive mode).
+
+    A quote within a quoted cell is doubled, as most writers do; ``escape="\\\\"`` reads
+    files that put a backslash before it. A line break within a cell ends the row unless
+    ``multi_line``, which reads each file in one task.
     """
     return (
         spark.read.schema(TABLE_SCHEMAS[table])
-        .option("header", True)
+        .options(**(CSV_OPTIONS | {"escape": escape, "multiLine": multi_line}))
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(f"{path.rstrip('/')}/{table}.csv")

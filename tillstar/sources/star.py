@@ -60,6 +60,7 @@ def _scan(spark: SparkSession, path: str, name: str) -> DataFrame:
 def star_customers(spark: SparkSession, path: str) -> DataFrame:
     """Left join: a customer with an unknown nation stays, without a country. The lookup
     has one row per key by construction, so Spark drops the join where no country is read.
+    Of several names for one nation key the smallest counts; customers do not multiply.
     """
     nation = _scan(spark, path, "nation").groupBy(F.col("n_nationkey").alias("c_nationkey"))
     customer = _scan(spark, path, "customer").join(
