@@ -17,7 +17,7 @@ from tillstar.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-PER_BLOCK = 2_000
+PER_BLOCK = 500
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
