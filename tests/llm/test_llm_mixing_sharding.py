@@ -45,7 +45,7 @@ def test_copies_follow_the_targets(spark):
         (k, "w " * (k % 50 + 1), None, f"s{min(k % 10, 6)}", None) for k in range(3000)
     ]
     docs = documents(spark, given)
-    out = plan_copies(docs, per_block=100).collect()
+    out = plan_copies(docs, per_split=100).collect()
     sizes = {r.doc_id: len(words(g[1])) for r, g in zip(sorted(out, key=lambda r: r.doc_id), given)}
     by = {}
     for r in out:
@@ -55,7 +55,7 @@ def test_copies_follow_the_targets(spark):
     assert {s: t[1] for s, t in by.items()} == pytest.approx(water({s: t[2] for s, t in by.items()}))
     for taken, target, _ in by.values():
         assert abs(taken - target) < 0.03 * target
-    assert sorted(out) == sorted(plan_copies(docs.repartition(7), per_block=100).collect())
+    assert sorted(out) == sorted(plan_copies(docs.repartition(7), per_split=100).collect())
 
 
 def test_awkward_rows_and_columns(spark):

@@ -17,7 +17,7 @@ from tillstar.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-PER_BLOCK = 500
+PER_SPLIT = 20_000
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -74,7 +74,7 @@ def _drawn(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def _planned(docs: DataFrame, weights, most: int, seed: int, per_block: int) -> DataFrame:
+def _planned(docs: DataFrame, weights, most: int, seed: int, per_split: int) -> DataFrame:
     source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(
         F.struct("*").alias("__row"),
@@ -84,25 +84,53 @@ def _planned(docs: DataFrame, weights, most: int, seed: int, per_block: int) ->
         _drawn(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("spot"),
         F.xxhash64("text").alias("text_hash"),
     )
-    blocks = max(1, -(-docs.count() // per_block))
-    rows = rows.withColumn("block", F.pmod("spot", F.lit(blocks)).cast("int"))
-    counts = rows.groupBy("source", "block").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    # Sizes that differ by a few hundredths share a class: the five digits after the
+    # leading one, in binary.
+    shift = F.greatest(F.length(F.bin("size")) - 6, F.lit(0))
+    splits = max(1, -(-docs.count() // per_split))
+    rows = rows.withColumn("shift", shift).withColumns(
+        {
+            "class": F.expr("shift * 32 + shiftright(size, shift)").cast("int"),
+            "split": F.pmod("spot", F.lit(splits)).cast("int"),
+        }
+    )
+    counts = rows.groupBy("source", "class", "split").agg(
+        F.count("*").alias("n"), F.sum("size").alias("w")
+    )
     counts = stored(counts, "blocks")
-    sizes = targets(counts.groupBy("source").agg(F.sum("w").alias("source_size")), weights, most)
-    earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    same = counts["source"].eqNullSafe(sizes["source"])
-    blocks_ = counts.join(sizes, same).select(
-        counts["source"].alias("of"), F.col("block").alias("in"), "before", "source_size", "target"
+    onto = (Window.unboundedPreceding, -1)
+    in_class = Window.partitionBy("source", "class").orderBy("split").rowsBetween(*onto)
+    in_source = Window.partitionBy("source").orderBy("class").rowsBetween(*onto)
+    classes = counts.groupBy("source", "class").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    sizes = targets(classes.groupBy("source").agg(F.sum("w").alias("source_size")), weights, most)
+    classes = stored(
+        classes.select("source", "class", F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("smaller")),
+        "classes",
+    )
+    places = counts.withColumn("earlier", F.coalesce(F.sum("n").over(in_class), F.lit(0)))
+    for other, keys in ((classes, ["source", "class"]), (sizes, ["source"])):
+        other = other.withColumnsRenamed({k: f"its_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"its_{k}")) for k in keys]
+        places = places.join(other, same).drop(*[f"its_{k}" for k in keys])
+    places = places.select(
+        F.col("source").alias("of"),
+        F.col("class").alias("in"),
+        F.col("split").alias("nth"),
+        (F.col("smaller") + F.col("earlier")).alias("before"),
+        "source_size",
+        "target",
     )
     rows = rows.join(
-        stored(blocks_, "shares"),
-        F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")),
+        stored(places, "shares"),
+        F.col("source").eqNullSafe(F.col("of"))
+        & (F.col("class") == F.col("in"))
+        & (F.col("split") == F.col("nth")),
+    )
+    inside = Window.partitionBy("source", "class", "split").orderBy(
+        "size", "spot", "doc_id", "text_hash"
     )
-    inside = Window.partitionBy("source", "block").orderBy("size", "spot", "doc_id", "text_hash")
     rank = F.col("before") + F.row_number().over(inside)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-
     name = F.coalesce(F.col("source"), F.lit(""))
     offset = _drawn(F.concat(F.lit(f"{seed}:"), name)) / F.lit(float(1 << 32))
 
@@ -119,21 +147,22 @@ def plan_copies(
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST_COPIES,
     seed: int = 7,
-    per_block: int = PER_BLOCK,
+    per_split: int = PER_SPLIT,
 ) -> DataFrame:
     """Add size, source_size, target and copies to every document.
 
-    The order within a source is by blocks of about ``per_block`` documents, dealt by
-    hash, and by size within a block, so that each block gives short and long documents
-    their share. Blocks are numbered through by a running sum of their counts; no task
-    sees more than a block, however large a source is. A source's taken words differ from
-    its target by a few documents per block. The same documents give the same copies.
+    Within a source documents go by classes of nearly equal size, so that short and long
+    ones get their share, and by a hash within a class. A class is split by that hash,
+    one part for ``per_split`` documents of the corpus; parts are numbered through by
+    running sums of their counts, first within a class, then over the classes of a
+    source. No task sees more than such a part, however large a source or a group of
+    copies is. The same documents give the same copies.
 
     Null texts have size 0, a null source is a source of its own, a source of size 0 has
     no copies. Repeated rows are documents of their own. The documents are read twice.
     Columns of these names are replaced.
     """
-    planned = _planned(docs, weights, most, seed, per_block)
+    planned = _planned(docs, weights, most, seed, per_split)
     made = planned.columns[1:]
     kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in made]
     return planned.select(*kept, *made)
@@ -144,9 +173,9 @@ def mix(
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST_COPIES,
     seed: int = 7,
-    per_block: int = PER_BLOCK,
+    per_split: int = PER_SPLIT,
 ) -> DataFrame:
     """The documents, each as often as the mix takes it, with their own columns."""
-    planned = _planned(docs, weights, most, seed, per_block).where("copies > 0")
+    planned = _planned(docs, weights, most, seed, per_split).where("copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
     return planned.select("__row", repeated).select("__row.*")

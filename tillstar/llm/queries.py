@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import stored
 from tillstar.llm.decision_list import filter_quality, learn_rules, text_statistics
 from tillstar.llm.minhash import compare_with_next
-from tillstar.llm.mixing import PER_BLOCK, plan_copies
+from tillstar.llm.mixing import PER_SPLIT, plan_copies
 from tillstar.llm.nbsvm import THRESHOLD, fit, fold, score
 from tillstar.llm.packing import pack, tokenize
 from tillstar.llm.secret_scan import RULES, scan_secrets, span_digests
@@ -290,8 +290,9 @@ WITH docs AS (
          {drawn("coalesce(CAST(doc_id AS VARCHAR), '')")} AS spot
   FROM documents
 ), blocked AS (
-  SELECT *, spot % greatest(1, (SELECT CAST(ceil(count(*) / {PER_BLOCK}) AS BIGINT) FROM docs))
-            AS block
+  SELECT *, greatest(length(bin(size)) - 6, 0) AS shift,
+         spot % greatest(1, (SELECT CAST(ceil(count(*) / {PER_SPLIT}) AS BIGINT) FROM docs))
+            AS split
   FROM docs
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
@@ -316,7 +317,7 @@ WITH docs AS (
   SELECT d.doc_id, d.size, s.source_size, s.target,
          CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS share,
          {drawn("'7:' || coalesce(d.source, '')")} / 4294967296.0::DOUBLE AS shift,
-         row_number() OVER (PARTITION BY d.source ORDER BY block, size, spot, doc_id) AS rank
+         row_number() OVER (PARTITION BY d.source ORDER BY shift * 32 + (size >> shift), split, size, spot, doc_id) AS rank
   FROM blocked d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source
 )
 SELECT doc_id, size, source_size, target,
