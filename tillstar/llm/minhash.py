@@ -24,7 +24,8 @@ WORDS = 5
 COMPONENTS = 128
 BANDS, BAND_ROWS = 25, 5
 SIMILAR = 0.8
-PER_PART = 2_000
+# Documents in a range of ids, and how many ranges there are at most.
+PER_PART, MOST_PARTS = 2_000, 10_000
 _SEED = 42
 _CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -170,11 +171,13 @@ def _part(bounds: list[int]) -> Column:
 def _in_order(docs: DataFrame, per_part: int) -> DataFrame:
     """Documents dealt by ranges of doc_id, each range followed by the next one's first.
 
-    The bounds are fixed before anything is dealt, one for ``per_part`` documents; the
-    first document of a range is found by its id, so no text waits for another task.
+    The bounds are fixed before anything is dealt, one for ``per_part`` documents but at
+    most MOST_PARTS, so that bounds and first rows stay small; a range is sorted on disk
+    and streamed, however long it is. The first document of a range is found by its id,
+    so no text waits for another task.
     """
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    parts = max(1, -(-docs.count() // per_part))
+    parts = min(max(1, -(-docs.count() // per_part)), MOST_PARTS)
     bounds = []
     if parts > 1:
         shares = [k / parts for k in range(1, parts)]
@@ -184,8 +187,8 @@ def _in_order(docs: DataFrame, per_part: int) -> DataFrame:
     rows = rows.withColumn("part", _part(bounds)).withColumn("tie", F.xxhash64("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     # One row per range, each with the range before it that has rows.
-    none = F.col("doc_id").isNotNull().alias("known")
-    first = rows.groupBy("part").agg(F.min(F.struct(none, "doc_id", "tie")).alias("f"))
+    known = F.col("doc_id").isNotNull().alias("known")
+    first = rows.groupBy("part").agg(F.min(F.struct(known, "doc_id", "tie")).alias("f"))
     first = stored(first.select("part", "f.doc_id", "f.tie"), "firsts")
     by_part = Window.orderBy("part")
     last = F.max("part").over(Window.partitionBy())
@@ -195,7 +198,7 @@ def _in_order(docs: DataFrame, per_part: int) -> DataFrame:
         F.coalesce(F.lag("part").over(by_part), last).alias("before"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("tie") == F.col("its_tie"))
-    # As many rows as there are ranges.
+    # At most MOST_PARTS rows.
     heads = rows.join(F.broadcast(first), same).groupBy("before").agg(
         F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tie").alias("tie")
     )
