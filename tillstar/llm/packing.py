@@ -21,7 +21,7 @@ from tillstar.llm.common import column_of, small_batches, worker_cache
 CAPACITY = 2048
 # Pieces that one task packs. A task ends with a few sequences not full.
 PER_TASK = 50_000
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 450_000
 
 
 # What the tokenizer takes apart before it merges, for ASCII text in lower case.
@@ -149,7 +149,7 @@ def tokenize(
         coder = worker_cache(f"word ids {tokenizer}", lambda: WordIds(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         place, step = TaskContext.get().partitionId() << 36, 4 * capacity
-        for batch in small_batches(batches, most=4 << 20):
+        for batch in small_batches(batches, most=2 << 20):
             texts = [t or b"" for t in column_of(batch, "text").cast(pa.binary()).to_pylist()]
             all_ids = [ids + end for ids in coder.encode(texts)]
             pieces = np.array([-(-len(ids) // step) for ids in all_ids])
