@@ -164,3 +164,24 @@ def test_dual_coordinate_descent_separates():
     assert ((margins > 0) == good).all()
     slope, shift = nbsvm.sigmoid(margins, good)
     assert slope > 0
+
+
+def test_long_texts_are_taken_in_chunks(monkeypatch):
+    from test_llm_pairs import fingerprint
+
+    from tillstar.llm import common, simhash
+
+    def small(raw, most=0):
+        return common.word_chunks(raw, 16)
+
+    whole = [nbsvm.indicators((r[1] or "").encode()).tolist() for r in rows()]
+    monkeypatch.setattr(nbsvm, "_CHUNK", 16)
+    monkeypatch.setattr(simhash, "word_chunks", small)
+    for (_, text, *_), features in zip(rows(), whole):
+        raw = (text or "").encode()[:20_000]
+        cut = raw.decode(errors="ignore")
+        assert [w for part in small(raw) for w in part] == raw.split()
+        if len(text or "") <= 20_000:
+            assert nbsvm.indicators(raw).tolist() == sorted(features)
+            assert simhash.fingerprint_of(raw) == fingerprint(cut)
+        assert decision_list.repeated_words(raw, 8) == decision_list.repeated_words(raw)

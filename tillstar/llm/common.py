@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from tillstar.sinks import shared_path
 
 # A word, everywhere in this package: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -58,6 +60,17 @@ def small_batches(
             start = end
 
 
+def word_chunks(raw: bytes, most: int = 4 << 20) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text, in lists from about ``most`` bytes each; no word is cut."""
+    at = 0
+    while at < len(raw):
+        end = at + most
+        blank = _SPACE.search(raw, end) if end < len(raw) else None
+        end = blank.start() if blank else len(raw)
+        yield raw[at:end].split()  # of bytes: at ASCII white space only
+        at = end
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

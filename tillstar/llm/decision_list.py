@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import column_of, small_batches
+from tillstar.llm.common import column_of, small_batches, word_chunks
 
 # Labelled documents that a list is learned from, at most.
 LEARN_ROWS = 20_000
@@ -30,30 +30,56 @@ _STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wo
 _MORE = ("n_chars", "n_upper", "n_twice", "n_lines")
 
 
+def _again(numbers: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    _, at, count = np.unique(numbers, return_inverse=True, return_counts=True)
+    return count[at] > 1
+
+
+def repeated_words(raw: bytes, most: int = 1 << 20) -> tuple[int, int, int]:
+    """(words, words in windows of three that occur again, words equal to the one before).
+
+    Windows of a text up to ``most`` bytes are kept as they are, those of a longer one as
+    numbers, which take a tenth of the memory.
+    """
+    if len(raw) <= most:
+        words = raw.split()
+        twice = sum(map(bytes.__eq__, words, words[1:]))
+        windows = list(zip(words, words[1:], words[2:]))
+        if len(set(windows)) == len(windows):
+            return len(words), 0, twice
+        number: dict = {}
+        again = _again(np.array([number.setdefault(w, len(number)) for w in windows]))
+    else:
+        number = {}
+        parts = [
+            np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+            for words in word_chunks(raw, most)
+        ]
+        words = np.concatenate(parts)
+        twice = int((words[1:] == words[:-1]).sum())
+        _, pairs = np.unique(words[:-1] * len(number) + words[1:], return_inverse=True)
+        again = _again(pairs[:-1] * len(number) + words[2:]) if len(words) > 2 else words[:0] > 0
+    inside = np.zeros(len(words), bool)
+    for k in range(3):
+        inside[k : k + len(again)] |= again
+    return len(words), int(inside.sum()), twice
+
+
 def statistics_of(text: str) -> tuple[int, ...]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, then code points,
     capitals A-Z, words equal to the one before, and lines with a word."""
-    words = text.encode("utf-8", "surrogatepass").split()
+    words, repeated, twice = repeated_words(text.encode("utf-8", "surrogatepass"))
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
-    triples = list(zip(words, words[1:], words[2:]))
-    repeated = 0
-    if len(set(triples)) < len(triples):
-        number: dict = {}
-        at = np.array([number.setdefault(t, len(number)) for t in triples])
-        again = np.bincount(at)[at] > 1
-        inside = np.zeros(len(words), bool)
-        for k in range(3):
-            inside[k : k + len(again)] |= again
-        repeated = int(inside.sum())
     return (
-        len(words),
+        words,
         len(text) - sum(map(text.count, _SPACES)),
         sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)),
         repeated,
         len(text),
         sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
-        sum(map(bytes.__eq__, words, words[1:])),
+        twice,
         len(lines),
     )
 

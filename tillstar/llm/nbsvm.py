@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import column_of, small_batches
+from tillstar.llm.common import column_of, small_batches, word_chunks
 
 # Labelled documents that the model is fitted on, at most.
 FIT_ROWS = 6000
@@ -25,31 +25,39 @@ FOLDS = 5
 THRESHOLD = 0.3
 _TRIGRAMS = 1 << 15
 _MARKS = 6
+_CHUNK = 4 << 20
 _FEATURES = _TRIGRAMS + (1 << (_MARKS + 1))
 
 
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    numbers = np.sort(numbers, kind="stable")
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])]
+
+
 def indicators(raw: bytes) -> np.ndarray:
     """The numbers of the n-grams that a UTF-8 text holds, ascending, as uint16."""
-    parts = []
-    data = np.frombuffer(raw, np.uint8)
-    if len(data) > 2:
-        code = data[:-2].astype(np.uint32) << np.uint32(16)
-        code |= data[1:-1].astype(np.uint32) << np.uint32(8)
-        code |= data[2:]
+    parts, data = [], np.frombuffer(raw, np.uint8)
+    for at in range(0, max(len(data) - 2, 0), _CHUNK):
+        some = data[at : at + _CHUNK + 2].astype(np.uint32)
+        code = (some[:-2] << np.uint32(16)) | (some[1:-1] << np.uint32(8)) | some[2:]
         code *= np.uint32(0x9E3779B1)
         code >>= np.uint32(17)
-        code = np.sort(code.astype(np.uint16), kind="stable")
-        parts.append(code[np.append(True, code[1:] != code[:-1])])
-    words = raw.split()
-    if len(words) > 1:
-        mark = np.fromiter(map(bytes.__eq__, words[1:], words), np.uint16, len(words) - 1)
-        run = np.zeros(len(mark), np.uint16)
-        for n in range(1, min(_MARKS, len(mark)) + 1):
+        parts.append(_distinct(code.astype(np.uint16)))
+    words, marks = [], np.zeros(0, np.uint16)
+    for more in word_chunks(raw, _CHUNK):
+        words = words[-1:] + more
+        new = np.fromiter(map(bytes.__eq__, words[1:], words), np.uint16, max(len(words) - 1, 0))
+        marks = np.concatenate([marks[-_MARKS + 1 :], new])
+        run = np.zeros(len(marks), np.uint16)
+        for n in range(1, min(_MARKS, len(marks)) + 1):
             # A leading one keeps runs of different lengths apart.
-            run = run[: len(mark) - n + 1] * np.uint16(2) + mark[n - 1 :]
+            run = run[: len(marks) - n + 1] * np.uint16(2) + marks[n - 1 :]
             seen = np.flatnonzero(np.bincount(run, minlength=1 << n))
             parts.append((_TRIGRAMS + (1 << n) + seen).astype(np.uint16))
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint16)
+    if not parts:
+        return np.zeros(0, np.uint16)
+    found = np.concatenate(parts)
+    return found if len(raw) <= _CHUNK else _distinct(found)
 
 
 def _indicator_rows(column: pa.Array) -> Iterator[np.ndarray]:

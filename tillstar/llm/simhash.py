@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import column_of, small_batches, stored
+from tillstar.llm.common import column_of, small_batches, stored, word_chunks
 from tillstar.llm.components import components
 
 WORDS = 4
@@ -37,24 +37,37 @@ _SEED = 42
 _FEW = 8
 
 
-def fingerprint_of(raw: bytes, words: int = WORDS) -> int:
-    """The unsigned 64-bit SimHash of a UTF-8 text; 0 if it has no word."""
-    tokens = raw.lower().split()  # of bytes: folds A-Z and splits at ASCII white space only
-    if not tokens:
-        return 0
+def _hashes(tokens: list[bytes], size: int) -> np.ndarray:
     line = b" ".join(tokens)
-    size = min(words, len(tokens))
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(tokens) - size + 1].tolist()
     hashed = xxhash.xxh64_intdigest
-    values = [hashed(line[a:b], _SEED) for a, b in zip(starts, ends[size - 1 :].tolist())]
-    n = len(values)
-    bits = np.zeros((-(-n // 255) * 255, 64), np.uint8)
-    view = np.array(values, "<u8").view(np.uint8).reshape(n, 8)
-    bits[:n] = np.unpackbits(view, axis=1, bitorder="little")
-    # Sums of 255 rows fit a byte.
-    counts = bits.reshape(-1, 255, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return np.array(
+        [hashed(line[a:b], _SEED) for a, b in zip(starts, ends[size - 1 :].tolist())], "<u8"
+    )
+
+
+def _bit_counts(values: np.ndarray) -> np.ndarray:
+    """How often each bit is set. Sums of 255 rows fit a byte."""
+    bits = np.zeros((-(-len(values) // 255) * 255, 64), np.uint8)
+    view = values.view(np.uint8).reshape(len(values), 8)
+    bits[: len(values)] = np.unpackbits(view, axis=1, bitorder="little")
+    return bits.reshape(-1, 255, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+
+
+def fingerprint_of(raw: bytes, words: int = WORDS) -> int:
+    """The unsigned 64-bit SimHash of a UTF-8 text; 0 if it has no word."""
+    counts, n, tokens = np.zeros(64, np.int64), 0, []
+    for more in word_chunks(raw.lower()):  # of bytes: folds A-Z only
+        tokens = tokens + more
+        if len(tokens) >= words:
+            values = _hashes(tokens, words)
+            counts += _bit_counts(values)
+            n += len(values)
+            tokens = tokens[len(tokens) - words + 1 :]
+    if not n and tokens:
+        counts, n = _bit_counts(_hashes(tokens, len(tokens))), 1
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
