@@ -5,7 +5,7 @@ import pytest
 from cases import crowded, documents, rows
 
 from tillstar.llm.common import stored
-from tillstar.llm.packing import WordIds, pack, place, tokenize
+from tillstar.llm.packing import WordIds, pack, place, sequences, tokenize
 from tillstar.llm.queries import packed, tokenizer_path
 
 
@@ -95,3 +95,19 @@ def test_empty_table_and_other_columns(spark):
     got = pieces.where("doc_id = 8").collect()
     assert [r.piece for r in got] == [0] and got[0].source == "src2"
     assert len(got[0].ids) == 4 * got[0].length
+
+
+def test_sequences_hold_the_ids_of_their_documents(spark, tokenizer):
+    pieces = stored(tokenize(documents(spark), tokenizer_path(), capacity=50), "test")
+    out = pack(pieces, capacity=50)
+    ids = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in sequences(out).collect()}
+    back = {}
+    for r in out.collect():
+        part = ids[r.sequence_id][r.offset : r.offset + r.length]
+        assert part.tobytes() == bytes(r.ids)
+        back.setdefault(r.lot, []).append((r.start, part.tolist()))
+    texts = [[i for _, part in sorted(parts) for i in part] for parts in back.values()]
+    want = [
+        [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0] for r in rows()
+    ]
+    assert sorted(texts) == sorted(want) and max(map(len, ids.values())) <= 50

@@ -248,3 +248,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK)
         return table.append_column("offset", pa.array(offset)).select(names)
 
     return pieces.withColumn("__block", block).groupBy("__block").applyInArrow(run, schema)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, length, ids): the pieces of each sequence put together by offset, for
+    packed pieces that kept their ids. A group holds one sequence, at most its capacity."""
+    parts = F.transform(
+        F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("ids")))), lambda p: p.ids
+    )
+    return packed.groupBy("sequence_id").agg(
+        F.sum("length").alias("length"), F.unhex(F.array_join(parts, "")).alias("ids")
+    )
