@@ -20,22 +20,19 @@ ODD = [
     "", "  ", "İstanbul İ. Σίσυφος ΟΔΟΣ straße ﬁ", "it's IT'S don't '' 's 'S x'll don't’s",
     "<|endoftext|> a<|startoftext|>b < |endoftext|", "\x00\x01 a\x1cb\x0bc\x0cd\x85e\xa0f",
     "é É ́a a̸ b≯", "日本語 テスト 123 ٣٤ ²³", "hello,world. ... ?! naïve, été. “q”",
-    "A\rB\r\nC\tD", "x" * 5000, "3.14 a1b2", "Ǆ ǅ ŉ ẞ ſ K Å", "😀😀 a😀 .,. a., ),(",
+    "A\rB\r\nC\tD", "a.. b", "a!. b", "a. b, c . d, ” . é. ”, <|endoftext|>. x, . ,", "x" * 5000, "3.14 a1b2", "Ǆ ǅ ŉ ẞ ſ K Å", "😀😀 a😀 .,. a., ),(",
 ]
 
 
-def test_ids_by_word_are_the_ids_of_the_text(tokenizer, monkeypatch):
-    from tillstar.llm import packing
-
+def test_ids_by_word_are_the_ids_of_the_text(tokenizer):
     texts = [*ODD, *(r[1] or "" for r in rows())]
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     for most in (600_000, 3):
-        monkeypatch.setattr(packing, "_KNOWN_WORDS", most)
-        coder = WordIds(tokenizer_path())
+        coder = WordIds(tokenizer_path(), most)
         for _ in range(2):
             got = [np.frombuffer(coder.encode([t.encode()])[0], "<u4").tolist() for t in texts]
             assert got == want
-    coder = WordIds(tokenizer_path())
+    coder = WordIds(tokenizer_path(), 100)
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])] == want
 
 

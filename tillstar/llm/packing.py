@@ -21,7 +21,9 @@ from tillstar.llm.common import column_of, small_batches, worker_cache
 CAPACITY = 2048
 # Pieces that one task packs. A task ends with a few sequences not full.
 PER_TASK = 50_000
-_KNOWN_WORDS = 450_000
+# Words of which a worker remembers the ids, about 150 bytes each; twice as many for a
+# while. Fewer take less memory and more time.
+KNOWN_WORDS = 300_000
 
 
 # What the tokenizer takes apart before it merges, for ASCII text in lower case.
@@ -29,6 +31,20 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASC
 _ENDS = ".,;:!?()*$%&#|"
 
 _TO_SPACES = bytes.maketrans(b"\n\t\r", b"   ")
+# a: ASCII letters and digits; full stop: itself and the comma; blank; !: all else.
+_CLASSES = bytes(
+    ord("a") if chr(c).isalnum() and c < 128 else ord(".") if c in b".," else 32 if c == 32 else ord("!")
+    for c in range(256)
+)
+
+
+def _apart(text: bytes) -> bytes:
+    """Full stops and commas between a letter and a blank as words of their own; the text
+    as it is if some follow other marks, with which they would be one piece."""
+    classes = text.translate(_CLASSES)
+    if b".. " in classes or b"!. " in classes:
+        return text
+    return text.replace(b". ", b" . ").replace(b", ", b" , ")
 
 
 class WordIds:
@@ -41,7 +57,7 @@ class WordIds:
     come apart that simply is tokenized as it is.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,6 +74,7 @@ class WordIds:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
+        self.most = most
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
 
@@ -111,8 +128,8 @@ class WordIds:
                 known[word] = b"".join([known[p] for p in its])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.lower().translate(_TO_SPACES).decode().split(" ") for t in texts]
-        if len(self.known) > _KNOWN_WORDS:  # what is not used again goes the next time
+        split = [_apart(t.lower().translate(_TO_SPACES)).decode().split(" ") for t in texts]
+        if len(self.known) > self.most:  # what is not used again goes the next time
             self.earlier, self.known = self.known, {}
         self._learn(set().union(*split).difference(self.known))
         ids = self.known.__getitem__
@@ -132,6 +149,7 @@ def tokenize(
     capacity: int = CAPACITY,
     end_id: int = 0,
     keep: tuple[str, ...] = ("doc_id",),
+    known_words: int = KNOWN_WORDS,
 ) -> DataFrame:
     """One row per piece: the kept columns, lot, piece, start, length, ids.
 
@@ -146,10 +164,11 @@ def tokenize(
     schema += ", lot long, piece int, start long, length long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_cache(f"word ids {tokenizer}", lambda: WordIds(tokenizer))
+        name = f"word ids {tokenizer} {known_words}"
+        coder = worker_cache(name, lambda: WordIds(tokenizer, known_words))
         end = np.array([end_id], "<u4").tobytes()
         place, step = TaskContext.get().partitionId() << 36, 4 * capacity
-        for batch in small_batches(batches, most=2 << 20):
+        for batch in small_batches(batches, most=4 << 20):
             texts = [t or b"" for t in column_of(batch, "text").cast(pa.binary()).to_pylist()]
             all_ids = [ids + end for ids in coder.encode(texts)]
             pieces = np.array([-(-len(ids) // step) for ids in all_ids])

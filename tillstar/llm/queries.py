@@ -58,15 +58,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = tokenize(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+def packed(docs: DataFrame, **options) -> DataFrame:
+    pieces = tokenize(docs, tokenizer_path(), **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(stored(pieces, "pieces")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(_table(spark, sf_dir, "documents"))
+    return packed(_table(spark, sf_dir, "documents"), known_words=900_000)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
