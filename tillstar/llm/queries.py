@@ -59,7 +59,7 @@ def tokenizer_path() -> str:
 
 
 def packed(docs: DataFrame, **options) -> DataFrame:
-    pieces = tokenize(docs, tokenizer_path(), **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = tokenize(docs, tokenizer_path(), with_ids=False, **options)
     return pack(stored(pieces, "pieces")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
