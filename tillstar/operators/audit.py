@@ -71,21 +71,19 @@ def step_counts(tables: Tables) -> DataFrame:
 
     ``items``, ``known`` (with quantity and price) and ``amounts`` (whose total is an
     amount of money) count order items; ``joined``, ``not_cancelled`` and ``positive``
-    rows of the joined table. Items are counted per order and product, then per order,
-    before they are joined; the joined table is not built. A repeated product, order or
-    customer multiplies as it does in the joins.
+    rows of the joined table. Items are counted per order before they meet the orders;
+    the joined table is not built. A repeated product, order or customer multiplies as it
+    does in the joins.
     """
     quantity, price = F.col("quantity"), F.col("price_per_unit")
     known = quantity.isNotNull() & price.isNotNull()
-    items = type_items(tables.order_items).groupBy("order_id", "product_id").agg(
+    products = tables.products.groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"))
+    items = type_items(tables.order_items).join(products, "product_id", "left")
+    items = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count_if(known).alias("known"),
         F.count_if(amount(quantity, price).isNotNull()).alias("amounts"),
-    )
-    products = tables.products.groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"))
-    items = items.join(products, "product_id", "left").groupBy("order_id").agg(
-        *[F.sum(c).alias(c) for c in ("items", "known", "amounts")],
-        F.sum(F.col("known") * F.coalesce(F.col("copies"), F.lit(0))).alias("rows"),
+        F.coalesce(F.sum(F.when(known, F.col("copies"))), F.lit(0)).alias("rows"),
     )
     orders = join_customers(
         tables.orders.select("order_id", "customer_id", "status", "total_amount"),
