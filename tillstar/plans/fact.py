@@ -23,7 +23,7 @@ def build_fact(
     Customers are joined to the orders, one row per order, and products to the items,
     while these are still narrow: only then do both sides meet by order_id. With the
     orders joined first, the shuffle by product_id would carry names, e-mail and country
-    of every item: 29 % more shuffled bytes on items with a third of the orders cancelled.
+    of every item (README has figures).
     Items of cancelled orders pass one shuffle more, so it loses where most are cancelled.
     """
     orders = add_calendar(qualify_orders(tables.orders, normalize_status_first, null_totals))
