@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document with its place in a sequence."""
+    """A row per piece of a document with its token ids and its place in a sequence."""
     return packed(docs)
 
 

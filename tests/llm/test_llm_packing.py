@@ -108,3 +108,18 @@ def test_sequences_hold_the_ids_of_their_documents(spark, tokenizer):
         [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0] for r in rows()
     ]
     assert sorted(texts) == sorted(want) and max(map(len, ids.values())) <= 50
+
+
+def test_packed_rows_carry_the_ids_of_every_document(spark, tokenizer):
+    out = packed(crowded(documents(spark))).cache()
+    want = []
+    for doc_id, text, *_ in rows():
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            want.append((doc_id, k, np.array(ids[k : k + 2048], "<u4").tobytes()))
+    got = [(r.doc_id, r.start, bytes(r.ids)) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    whole = {r.sequence_id: bytes(r.ids) for r in sequences(out).collect()}
+    for r in out.collect():
+        assert whole[r.sequence_id][4 * r.offset :][: 4 * r.length] == bytes(r.ids)
+        assert r.ids_crc32 == zlib.crc32(bytes(r.ids))

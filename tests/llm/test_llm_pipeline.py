@@ -126,3 +126,9 @@ def test_stages_take_empty_tables_and_more_columns(spark, folder, given):
         assert docs_.columns == docs.columns, name
         assert docs_.count() == 0 if given == [] else docs_.count() > 0
     corpus_pipeline.STAGES[-1][1](spark, docs, folder).count()
+
+
+def test_the_whole_run_ends_in_token_ids(spark, folder):
+    out = corpus_pipeline.run(spark, folder).collect()
+    assert all(len(r.ids) == 4 * r.length for r in out)
+    assert sum(bytes(r.ids).endswith(bytes(4)) for r in out) >= len({r.doc_id for r in out}) > 0

@@ -8,7 +8,6 @@ no gap piles up that later pieces seldom fill.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,22 +150,19 @@ def tokenize(
     end_id: int = 0,
     keep: tuple[str, ...] = ("doc_id",),
     known_words: int = KNOWN_WORDS,
-    with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: the kept columns, lot, piece, start, length, ids_crc32, ids.
+    """One row per piece: the kept columns, lot, piece, start, length, ids.
 
     A document is its token ids, then ``end_id``; every ``capacity`` tokens make a piece,
     and the last one may be shorter. A null or empty text is the end id alone. Every row
     is a document of its own, also if it or its id occurs again; ``lot`` is a number of
-    its own. ``tokenizer`` is the path of a tokenizer file, which executors read. Without
-    ``with_ids`` the ids stay in the task; their CRC-32 tells them apart.
+    its own. ``tokenizer`` is the path of a tokenizer file, which executors read. Ids are
+    little-endian 32-bit bytes.
     """
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep)
-    names = [*keep, "lot", "piece", "start", "length", "ids_crc32"]
-    schema += ", lot long, piece int, start long, length long, ids_crc32 long"
-    if with_ids:
-        names, schema = [*names, "ids"], schema + ", ids binary"
+    names = [*keep, "lot", "piece", "start", "length", "ids"]
+    schema += ", lot long, piece int, start long, length long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"word ids {tokenizer} {known_words}"
@@ -189,8 +185,7 @@ def tokenize(
                     pa.array(piece.astype(np.int32)),
                     pa.array(piece * capacity),
                     pa.array([len(x) // 4 for x in cut], pa.int64()),
-                    pa.array([zlib.crc32(x) for x in cut], pa.int64()),
-                    *([pa.array(cut, pa.binary())] if with_ids else []),
+                    pa.array(cut, pa.binary()),
                 ],
                 names=names,
             )

@@ -59,9 +59,19 @@ def tokenizer_path() -> str:
 
 
 def packed(docs: DataFrame, **options) -> DataFrame:
-    pieces = tokenize(docs, tokenizer_path(), with_ids=False, **options)
-    return pack(stored(pieces, "pieces")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    """A row per piece with its place and its token ids. Pieces are placed by length alone;
+    the ids join their places afterwards, and only the places are held for that."""
+    pieces = stored(tokenize(docs, tokenizer_path(), **options), "pieces")
+    places = pack(pieces.select("lot", "start", "length")).drop("length")
+    return pieces.join(places.hint("shuffle_hash"), ["lot", "start"]).select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+        "ids",
     )
 
 
