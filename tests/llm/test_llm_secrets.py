@@ -115,3 +115,65 @@ def test_other_columns_and_empty_tables(spark):
     assert sorted(out.columns) == sorted(docs.columns)
     assert out.where("size = 'own size'").count() == len(rows())
     assert span_digests(scan_secrets(documents(spark, []))).count() == 0
+
+
+BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+BODY = [("MIIEpAIBAAKCAQEA" + "aB3+/Zq9" * 6)[:64]] * 5 + ["Qx7/tail=="]
+HEADERS = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0F1E2D3C", ""]
+KEYS = {
+    "with END": "\n".join([BEGIN, *BODY, END]),
+    "headers": "\r\n".join([BEGIN, *HEADERS, *BODY, END]),
+    "written line ends": "\\n".join([BEGIN, *BODY, END]),
+    "one line": " ".join([BEGIN, *BODY, END]),
+    "short body": "\n".join([BEGIN, "MIIEshort", END]),
+    "no END": "\n".join([BEGIN, *BODY]),
+    "headers, no END": "\n".join([BEGIN, *HEADERS, *BODY]),
+    "written, no END": "\\n".join([BEGIN, *BODY]),
+    "indented, no END": "\n    ".join([BEGIN, *BODY]),
+}
+
+
+def test_a_private_key_is_masked_with_its_body(spark):
+    given = [(k, f"é {key}\n. rest", None, None, None) for k, key in enumerate(KEYS.values())]
+    given.append((50, f"{BEGIN} in prose: no key", None, None, None))
+    given.append((51, "\n".join([KEYS["no END"], "-----BEGIN X-----", KEYS["with END"]]), *[None] * 3))
+    got = {r.doc_id: r.text for r in scan_secrets(documents(spark, given), mask=True).collect()}
+    assert got.pop(50) == "[private_key] in prose: no key"
+    assert got.pop(51) == "[private_key]\n-----BEGIN X-----\n[private_key]"
+    assert got == {k: "é [private_key]\n. rest" for k in range(len(KEYS))}
+
+
+def test_private_keys_in_sql(spark):
+    import duckdb
+    from tillstar.llm.queries import oracle_sql
+
+    given = [(k, f"é {key}\n. rest", None, None, None) for k, key in enumerate(KEYS.values())]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [row[:2] for row in given])
+    want = con.execute(oracle_sql()["op1_secret_scan"]).fetchall()
+    got = span_digests(scan_secrets(documents(spark, given))).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_the_private_key_rule_needs_the_same_trigrams_and_linear_time():
+    import time
+
+    rule = re.compile({r.kind: r.pattern for r in RULES}["private_key"], re.ASCII)
+    marker = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", re.ASCII)
+    assert trigram_query(rule) == trigram_query(marker)
+    hard = [
+        f"{BEGIN}\n" + "A: " * 300_000,
+        f"{BEGIN}\n" + "Ab: x\n" * 200_000,
+        f"{BEGIN}\n" * 30_000,
+        BEGIN + " " * 1_000_000,
+        BEGIN + "\\n" * 500_000,
+        BEGIN + (" " + "a" * 50) * 20_000 + "-----",
+        BEGIN + " a-b" * 300_000 + "--",
+        BEGIN + "a" * 1_000_000,
+    ]
+    start = time.process_time()
+    for text in hard:
+        assert rule.match(text)
+        list(rule.finditer(text))
+    assert time.process_time() - start < 10

@@ -44,9 +44,20 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
 )
+# A PEM key up to its END line. Without one: header lines, the base64 lines that follow
+# (40 characters at least) and the base64 after the last. A line may also end in a written
+# \\n, as in JSON. No two ways lead to the same match, so the time is linear.
+_KEY = r"PRIVATE KEY-----"
+_BETWEEN = r"(?:[\x20\t\r\n\"'>]|\\[nr])[\x20\t\r\n\"'>]*(?:\\[nr][\x20\t\r\n\"'>]*)*"
+_HEADER = r"(?:\r?\n|(?:\\r)?\\n)[A-Z][A-Za-z-]{0,40}:\x20[^\r\n\\]{0,200}"
+_BASE64 = r"[A-Za-z0-9+/]"
+_TO_END = r"[^-]*(?:-[^-]+)*-----END (?:[A-Z]+ )?" + _KEY
+_LINES = (
+    f"(?:{_HEADER}){{0,4}}(?:{_BETWEEN}{_BASE64}{{40,}}={{0,2}})+(?:{_BETWEEN}{_BASE64}+={{0,2}})?"
+)
 # Published formats of well-known credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("private_key", f"-----BEGIN (?:[A-Z]+ )?{_KEY}(?:{_TO_END}|{_LINES})?"),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
