@@ -123,3 +123,20 @@ def test_packed_rows_carry_the_ids_of_every_document(spark, tokenizer):
     for r in out.collect():
         assert whole[r.sequence_id][4 * r.offset :][: 4 * r.length] == bytes(r.ids)
         assert r.ids_crc32 == zlib.crc32(bytes(r.ids))
+
+
+def test_query_and_pipeline_pack_with_the_same_settings(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+    from tillstar.llm import queries
+
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    settings, real = [], queries.tokenize
+
+    def noted(docs, *args, **options):
+        settings.append((args, options))
+        return real(docs, *args, **options)
+
+    monkeypatch.setattr(queries, "tokenize", noted)
+    queries.op4_best_fit_packing(spark, str(tmp_path))
+    corpus_pipeline.pack_sequences(spark, documents(spark), str(tmp_path))
+    assert len(settings) == 2 and settings[0] == settings[1]

@@ -58,10 +58,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def packed(docs: DataFrame, **options) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
     """A row per piece with its place and its token ids. Pieces are placed by length alone;
     the ids join their places afterwards, and only the places are held for that."""
-    pieces = stored(tokenize(docs, tokenizer_path(), **options), "pieces")
+    pieces = stored(tokenize(docs, tokenizer_path()), "pieces")
     places = pack(pieces.select("lot", "start", "length")).drop("length")
     return pieces.join(places.hint("shuffle_hash"), ["lot", "start"]).select(
         "doc_id",
@@ -76,7 +76,7 @@ def packed(docs: DataFrame, **options) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(_table(spark, sf_dir, "documents"), known_words=900_000)
+    return packed(_table(spark, sf_dir, "documents"))
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
