@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tillstar import METRICS, Tables, build_fact, load_tables, metric_from_tables, star_tables
-from tillstar.operators.audit import cleaning_audit, profile_row_counts
+from tillstar.operators.audit import cleaning_audit, profile_row_counts, step_counts
 from tillstar.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -195,6 +195,16 @@ def test_hot_keys_of_the_fact_joins_are_split(spark, skewed, split_small_partiti
         fact.unpersist()
 
 
+def test_a_hot_product_of_the_audit_is_split(skewed, split_small_partitions):
+    counts = step_counts(skewed).cache()
+    try:
+        assert counts.first()["items"] == 200_000
+        final = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert re.search(r"SortMergeJoin\(skew=true\) \[product_id#", final)
+    finally:
+        counts.unpersist()
+
+
 def test_results_under_skew_equal_those_of_a_plain_sum(skewed, split_small_partitions):
     total = skewed.order_items.selectExpr(
         "sum(cast(quantity * price_per_unit as decimal(18,2)))"
