@@ -71,6 +71,26 @@ def word_chunks(raw: bytes, most: int = 4 << 20) -> Iterator[list[bytes]]:
         at = end
 
 
+# A blank between two characters that are no white space, in any sense of that word.
+_LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+
+
+def parts_of(text: str, most: int = 1 << 20) -> Iterator[list[str]]:
+    """A text cut before every lone blank, in lists from about ``most`` characters each.
+
+    A part is a word with the blank before it. Where white space is longer, or is no
+    blank, parts stay together. Tokenizers that let a blank only begin a token, or follow
+    other white space, encode a text as they encode its parts.
+    """
+    at = 0
+    while at < len(text):
+        cut = _LONE_BLANK.search(text, at + most)
+        end = cut.start() if cut else len(text)
+        first, *more = _LONE_BLANK.split(text[at:end])
+        yield [first, *[" " + part for part in more]]
+        at = end
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

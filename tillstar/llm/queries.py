@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.llm import alignment, centroids, merge_replay
 from tillstar.llm.common import stored
 from tillstar.llm.decision_list import filter_quality, learn_rules, text_statistics
 from tillstar.llm.minhash import compare_with_next
@@ -131,6 +132,40 @@ def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    aligned = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.count_links(aligned).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = merge_replay.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return merge_replay.decode(coded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -143,6 +178,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decision_list": op8_decision_list,
         "op9_nb_svm": op9_nb_svm,
         "op10_differencing_shards": op10_differencing_shards,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_centroids": op12_centroids,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 
@@ -335,10 +373,61 @@ SELECT doc_id, size, source_size, target,
 FROM ranked"""
 
 
+def _centroids_sql() -> str:
+    """Every round is two tables: the nearest centroid of each vector, the moved centroids.
+    Vectors and centroids are cells, one row per component."""
+    k, width, scale = centroids.CENTROIDS, centroids.WIDTH, centroids.SCALE
+
+    def assigned(n: int) -> str:
+        return f"""
+near{n} AS MATERIALIZED (
+  SELECT r, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT x.r, m.c, CAST(sum((x.v - m.v) * (x.v - m.v)) AS BIGINT) AS d
+        FROM cells x JOIN centre{n} m ON x.i = m.i GROUP BY x.r, m.c)
+  GROUP BY r
+)"""
+
+    def moved(n: int) -> str:
+        return f"""
+centre{n + 1} AS MATERIALIZED (
+  SELECT m.c, m.i, CAST(coalesce((s - ((s % n) + n) % n) // n, m.v) AS BIGINT) AS v
+  FROM centre{n} m LEFT JOIN (
+    SELECT best.c AS c, i, sum(v) AS s, count(*) AS n
+    FROM near{n} JOIN cells USING (r) GROUP BY 1, 2) t ON m.c = t.c AND m.i = t.i
+)"""
+
+    rounds = ",".join(assigned(n) + "," + moved(n) for n in range(centroids.ROUNDS))
+    last = centroids.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+    AND len(embedding) = {width}
+), cells AS MATERIALIZED (
+  SELECT r, unnest(range({width})) AS i, unnest(v) AS v FROM kept
+), first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id) NULLS LAST, v) - 1 AS c
+  FROM kept
+), centre0 AS MATERIALIZED (
+  SELECT c, i, v FROM first JOIN cells USING (r) WHERE c < {k}
+),{rounds},{assigned(last)},
+digests AS (
+  SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+  FROM centre{last} GROUP BY c
+)
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{last} JOIN kept USING (r) JOIN digests ON best.c = digests.c"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": _secret_sql(),
         "op2_url_reputation": _reputation_sql(),
         "op5_warc_index": _warc_sql(),
         "op7_systematic_mixing": _mixing_sql(),
+        "op12_centroids": _centroids_sql(),
     }
