@@ -71,23 +71,31 @@ def word_chunks(raw: bytes, most: int = 4 << 20) -> Iterator[list[bytes]]:
         at = end
 
 
-# A blank between two characters that are no white space, in any sense of that word.
+# Letters and marks whose kind no edition of Unicode changes.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+MARKS = "!#$%&()*+,\\-./:;<=>?@\\[\\]\\\\^_{|}~\"`"
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+_PART = re.compile(
+    rf" ?[{LETTERS}]++(?=[{MARKS}\n]| \S|\Z)| ?[{MARKS}]++(?=[{LETTERS}\n]| \S|\Z)"
+    rf"|\n(?=[{LETTERS}{MARKS}])|.+?(?=(?<=\S) \S|\Z)",
+    re.DOTALL,
+)
 
 
 def parts_of(text: str, most: int = 1 << 20) -> Iterator[list[str]]:
-    """A text cut before every lone blank, in lists from about ``most`` characters each.
+    """A text taken apart, in lists from about ``most`` characters each.
 
-    A part is a word with the blank before it. Where white space is longer, or is no
-    blank, parts stay together. Tokenizers that let a blank only begin a token, or follow
-    other white space, encode a text as they encode its parts.
+    A cut lies before a blank between two characters that are no white space; between
+    letters, marks and a line break where two of these kinds meet, Latin letters and ASCII
+    marks without the apostrophe only. What else there is stays together up to the next
+    such blank. Tokens that hold no two kinds, and a blank only at their beginning or
+    after other white space, do not reach over a cut.
     """
     at = 0
     while at < len(text):
         cut = _LONE_BLANK.search(text, at + most)
         end = cut.start() if cut else len(text)
-        first, *more = _LONE_BLANK.split(text[at:end])
-        yield [first, *[" " + part for part in more]]
+        yield _PART.findall(text[at:end])
         at = end
 
 

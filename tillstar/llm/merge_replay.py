@@ -17,13 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import column_of, parts_of, small_batches, worker_cache
 
-# Parts of texts of which a worker remembers the ids; twice as many for a while.
+# Parts of texts of which a worker remembers the ids, about 200 bytes each; twice as many
+# for a while.
 KNOWN_PARTS = 300_000
 _SHIFT = 20
 _GONE = -2
@@ -71,8 +73,8 @@ class MergeReplay:
             for a, part in zip(starts, np.split(position, starts[1:]))
         }
 
-    def replay(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word; empty ones have none.
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes of 32-bit numbers; empty ones have none.
 
         Within a word the lowest rank goes first, of equal ones the leftmost. One sweep
         over a rank does the same for all words as long as it brings up no lower rank. A
@@ -83,7 +85,7 @@ class MergeReplay:
         filled = ends[lengths > 0]
         data = np.frombuffer(b"".join(words), np.uint8)
         if not len(data):
-            return [np.zeros(0, np.int32) for _ in words]
+            return [b"" for _ in words]
         start = self.single[data]
         after = np.arange(1, len(data) + 1, dtype=np.int32)
         after[filled - 1] = -1
@@ -94,15 +96,6 @@ class MergeReplay:
         heap = list(index)
         heapq.heapify(heap)
         merged_to, again = self.pairs.get, []
-
-        def note(rank: int, position: int) -> None:
-            there = index.get(rank)
-            if there is None:
-                index[rank] = array("i", [position])
-                heapq.heappush(heap, rank)
-            else:
-                there.append(position)
-
         while heap:
             rank = heapq.heappop(heap)
             todo = np.sort(np.frombuffer(index.pop(rank), np.int32))
@@ -114,29 +107,32 @@ class MergeReplay:
                     symbol[left] = rank
                     following = after[left] = after[right]
                     after[right] = _GONE
+                    previous = before[left]
+                    touched = []
                     if following >= 0:
                         before[following] = left
-                        new = merged_to(rank << _SHIFT | symbol[following])
-                        if new is not None:
-                            note(new, left)
-                            if new < rank:
-                                again.append(left)
-                    previous = before[left]
+                        touched.append((merged_to(rank << _SHIFT | symbol[following]), left))
                     if previous >= 0:
-                        new = merged_to(symbol[previous] << _SHIFT | rank)
-                        if new is not None:
-                            note(new, previous)
-                            if new < rank:
-                                again.append(left)
+                        touched.append((merged_to(symbol[previous] << _SHIFT | rank), previous))
+                    for new, position in touched:
+                        if new is None:
+                            continue
+                        if new in index:
+                            index[new].append(position)
+                        else:
+                            index[new] = array("i", [position])
+                            heapq.heappush(heap, new)
+                        if new < rank:
+                            again.append(left)
         alive = np.frombuffer(after, np.int32) != _GONE
-        ids = np.frombuffer(symbol, np.int32)[alive]
-        count = np.concatenate([[0], np.cumsum(alive)])
-        out = np.split(ids, count[ends[:-1]])
+        ids = np.frombuffer(symbol, np.int32)[alive].tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(alive)])[np.concatenate([[0], ends])]).tolist()
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
         for word in np.unique(np.searchsorted(ends, again, side="right")).tolist():
             out[word] = self._alone(words[word])
         return out
 
-    def _alone(self, word: bytes) -> np.ndarray:
+    def _alone(self, word: bytes) -> bytes:
         """One word, merge by merge."""
         symbol: list = self.single[np.frombuffer(word, np.uint8)].tolist()
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
@@ -163,7 +159,7 @@ class MergeReplay:
                 before[after[left]] = left
             note(left)
             note(before[left])
-        return np.array([s for s in symbol if s is not None], np.int32)
+        return np.array([s for s in symbol if s is not None], np.int32).tobytes()
 
 
 def newer_characters() -> set[str]:
@@ -209,9 +205,9 @@ class Coder:
         parts = parts.difference(earlier)
         words = {p: self.words(p) for p in parts}
         own = list(set().union(*words.values()))
-        ids = dict(zip(own, (x.tobytes() for x in self.replay.replay([w.encode() for w in own]))))
+        ids = dict(zip(own, self.replay.replay([w.encode() for w in own])))
         for part, its in words.items():
-            known[part] = b"".join([ids[w] for w in its])
+            known[part] = ids[its[0]] if len(its) == 1 else b"".join([ids[w] for w in its])
 
     def encode(self, parts: list[list[str]]) -> list[bytes]:
         """32-bit ids of lists of parts."""
@@ -241,8 +237,7 @@ def encode(
 
     ``ranks`` is the path of a ranks file, which executors read. Every match of
     ``pattern`` is encoded by itself; names of special tokens are text like any other.
-    A pattern's matches may hold a blank that follows no white space only at their
-    beginning: texts are taken apart there. A null or empty text has no ids. Each row is
+    Its matches must not reach over the places at which ``parts_of`` cuts. A null or empty text has no ids. Each row is
     encoded by itself, so repeated rows and null ids need no care; other columns pass
     through, one called ``into`` is replaced. A worker holds a few megabytes of text, or
     the longest one, its ids and the parts that it remembers.
@@ -284,15 +279,34 @@ def decode(docs: DataFrame, ranks: str, ids: str = "ids", into: str = "decoded")
     docs = docs.drop(into).withColumn(into, F.lit(None).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> dict[int, bytes]:
-            return {rank: token for token, rank in read_ranks(ranks).items()}
-
-        token = worker_cache(f"tokens {ranks}", make).__getitem__
+        def make() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The bytes of all tokens, where each begins, how long it is (-1: no token)."""
+            token_of = {rank: token for token, rank in read_ranks(ranks).items()}
+            tokens = [token_of.get(rank) for rank in range(max(token_of) + 1)]
+            length = np.array([-1 if t is None else len(t) for t in tokens])
+            start = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
+            return np.frombuffer(b"".join(t or b"" for t in tokens), np.uint8), start, length
+
+        data, start, length = worker_cache(f"tokens {ranks}", make)
         for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                found = [b"".join(map(token, x.as_py() or ())) for x in column_of(part, ids)]
+            row = 0
+            while row < batch.num_rows:  # about a million ids at a time, or one row
+                column = column_of(batch, ids).slice(row)
+                size = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+                n = max(1, int(np.searchsorted(np.cumsum(size), 1 << 20, side="right")))
+                values = column.slice(0, n).flatten().to_numpy(zero_copy_only=False)
+                of = length[values]
+                if len(of) and of.min() < 0:
+                    raise ValueError(f"no token has the id {values[of.argmin()]}")
+                ends = np.cumsum(of)
+                raw = data[np.repeat(start[values] - ends + of, of) + np.arange(of.sum())]
+                cuts = np.append(0, ends)[np.append(0, np.cumsum(size[:n]))]
+                found = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), n, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(raw)]
+                )
+                part = batch.slice(row, n)
                 at = part.schema.get_field_index(into)
-                yield part.set_column(at, part.schema.field(at), pa.array(found, pa.binary()))
+                yield part.set_column(at, part.schema.field(at), found.cast(pa.binary()))
+                row += n
 
     return docs.mapInArrow(run, docs.schema)
