@@ -2,9 +2,8 @@
 
 The places where a token ends, counted in bytes, are dictionaries from end to index, one
 per tokenizer. Ends that both have, a hash-set intersection, cut the two id lists into
-groups; within a group, tokens whose bytes overlap are linked. Texts are taken apart before
-every lone blank, where both tokenizers begin a token, so that a part met before need not
-be aligned again, and a block of documents is a list of its different parts and, for every
+groups; within a group, tokens whose bytes overlap are linked. Texts are taken apart where
+both tokenizers begin a token, so that a part met before need not be aligned again, and a block of documents is a list of its different parts and, for every
 document, their numbers. How many documents hold a pair of ids linked is summed up per
 block before anything is shuffled.
 """
@@ -14,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +20,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import column_of, parts_of, small_batches, stored, worker_cache
+from tillstar.llm.common import (
+    LETTERS,
+    MARKS,
+    column_of,
+    parts_of,
+    small_batches,
+    stored,
+    worker_cache,
+)
 
 # Text of a block of documents; a longer document is a block of its own.
 BLOCK = 8 << 20
 # Parts of which a worker remembers the alignment, about 400 bytes each; twice as many for
 # a while.
-KNOWN_PARTS = 150_000
+KNOWN_PARTS = 120_000
 _PIECE = 1 << 20
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
+_WORD, _BARE = re.compile(r" \S+"), re.compile(r"\S+")
 _B_BITS = (1 << 32) - 1
 
 
@@ -53,27 +60,29 @@ def piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
-def groups_and_links(
-    a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]
-) -> tuple[list[tuple[slice, slice]], list[tuple[int, int]]]:
-    """Slices of two id lists between common ends, and the linked positions (i, j)."""
-    a_at = {end: k for k, end in enumerate(a_ends, 1)}
-    b_at = {end: k for k, end in enumerate(b_ends, 1)}
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        groups.append((slice(i, a_at[end]), slice(j, b_at[end])))
-        while i < a_at[end] and j < b_at[end]:
-            links.append((i, j))
-            here = a_ends[i], b_ends[j]
-            i += here[0] <= here[1]
-            j += here[1] <= here[0]
-    return groups, links
+def common_ends(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int]]:
+    """Up to where each group reaches in both id lists."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return [a_at[end] for end in common], [b_at[end] for end in common]
+
+
+def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all tokens whose bytes overlap, ascending: what token i reaches over in
+    the other list, which lies within its group."""
+    if not len(a_ends):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = np.searchsorted(b_ends, np.append(0, a_ends[:-1]), side="right")
+    n = np.searchsorted(b_ends, a_ends) - low + 1
+    i = np.repeat(np.arange(len(n)), n)
+    return i, np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 class Aligner:
-    """Alignments of parts of texts: (ids of A, ids of B, groups, groups as text, linked
-    id pairs as 64-bit numbers), or None if a tokenizer does not give the part's bytes
-    back. Parts met before are remembered."""
+    """Alignments of parts of texts: (number of A's tokens, of B's, of groups, groups as
+    text, linked id pairs as 64-bit numbers), or None if a tokenizer does not give the
+    part's bytes back. Parts met before are remembered."""
 
     def __init__(self, a_path: str, b_path: str, most: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -83,34 +92,60 @@ class Aligner:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings are text like any other
         self.b = SentencePieceProcessor(model_file=b_path)
+        pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.a_tokens = byte_level_tokens(self.a.get_vocab())
-        self.b_tokens = [
-            piece_bytes(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())
-        ]
+        self.b_tokens = [piece_bytes(p) for p in pieces]
+        self.a_size = np.array([len(t) for t in self.a_tokens])
+        self.b_size = np.array([len(t) for t in self.b_tokens])
+        self.text = [str(k) for k in range(max(len(self.a_size), len(self.b_size)))]
+        # A part without a blank is encoded after a line break, which no piece holds, and
+        # the blank that the model puts before that.
+        self.lead = self.b.encode("\n")
+        # Texts are not cut where a piece may reach over. Control pieces are no text.
+        two = re.compile(f"[{LETTERS}][{MARKS}]|[{MARKS}][{LETTERS}]|\n|[^▁]▁")
+        self.whole_only = any(
+            two.search(piece)
+            for k, piece in enumerate(pieces)
+            if not (self.b.is_control(k) or self.b.is_unknown(k) or self.b.is_byte(k))
+        )
         self.most = most
         self.known: dict[str, tuple | None] = {}
         self.earlier: dict[str, tuple | None] = {}
 
-    def _aligned(self, part: str, a: list[int], b: list[int]) -> tuple | None:
-        a_bytes = [self.a_tokens[k] for k in a]
-        b_bytes = [self.b_tokens[k] for k in b]
-        raw = part.encode()
-        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+    def align(self, parts: list[str]) -> tuple | None:
+        """The alignment of parts that follow each other, the first with the blank before a
+        text or within it: None, or one alignment per part if tokens end with the parts."""
+        text = "".join(parts)
+        raw = text.encode()
+        a = self.a.encode(text, add_special_tokens=False).ids
+        if text[0] == " ":
+            b = self.b.encode(text[1:])
+        else:
+            b = self.b.encode("\n" + text)[len(self.lead) :]
+        back = [b"".join(map(t.__getitem__, ids)) for t, ids in ((self.a_tokens, a), (self.b_tokens, b))]
+        if back[0] != raw or back[1] != raw:
             return None
-        groups, links = groups_and_links(
-            a, b, list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
-        )
-        text = ";".join(
-            ",".join(map(str, a[s])) + "|" + ",".join(map(str, b[t])) for s, t in groups
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cuts = np.cumsum([len(p.encode()) for p in parts])
+        in_a, in_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
+        if (a_ends[in_a] != cuts).any() or (b_ends[in_b] != cuts).any():
+            return None
+        i, j = links(a_ends, b_ends)
+        pairs = (np.array(a)[i] << 32 | np.array(b)[j]).tobytes()
+        a_to, b_to = common_ends(a_ends.tolist(), b_ends.tolist())
+        a_text = list(map(self.text.__getitem__, a))
+        b_text = list(map(self.text.__getitem__, b))
+        groups, at = [], (0, 0)
+        for to in zip(a_to, b_to):
+            groups.append(",".join(a_text[at[0] : to[0]]) + "|" + ",".join(b_text[at[1] : to[1]]))
+            at = to
+        n_a, n_b = np.diff(in_a, prepend=-1).tolist(), np.diff(in_b, prepend=-1).tolist()
+        group = (np.searchsorted(a_to, in_a + 1) + 1).tolist()
+        link = (8 * np.searchsorted(i, in_a, side="right")).tolist()
+        return tuple(
+            (x, y, h - g, groups[g] if h == g + 1 else ";".join(groups[g:h]), pairs[p:q])
+            for x, y, g, h, p, q in zip(n_a, n_b, [0, *group], group, [0, *link], link)
         )
-        pairs = np.array([a[i] << 32 | b[j] for i, j in links], np.int64).tobytes()
-        return len(a), len(b), len(groups), text, pairs
-
-    def align(self, parts: list[str]) -> list[tuple | None]:
-        """Each part begins with the blank that the second tokenizer puts there itself."""
-        first = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        second = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return [self._aligned(*x) for x in zip(parts, first, second)]
 
     def learn(self, parts: set[str]) -> None:
         if len(self.known) > self.most:  # what is not used again goes the next time
@@ -118,10 +153,24 @@ class Aligner:
         parts = parts.difference(self.known)
         for part in parts.intersection(self.earlier):
             self.known[part] = self.earlier[part]
-        new = list(parts.difference(self.earlier))
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            self.known.update(zip(some, self.align(some)))
+        new = parts.difference(self.earlier)
+        # What holds no white space but a blank before it makes a text together, in which
+        # these are parts; what has no blank either is kept apart by line breaks.
+        words = [p for p in new if _WORD.fullmatch(p)]
+        rest = new.difference(words)
+        bare = [p for p in rest if _BARE.fullmatch(p)]
+        rest = list(rest.difference(bare))
+        for some, lead in ((words, []), (bare, ["\n"])):
+            for at in range(0, len(some), 2000):
+                run = some[at : at + 2000]
+                found = self.align([p for part in run for p in (*lead, part)])
+                if found is None:
+                    rest += run
+                else:
+                    self.known.update(zip(run, found[len(lead) :: 1 + len(lead)]))
+        for part in rest:
+            found = self.align([part])
+            self.known[part] = found and found[0]
 
 
 class Block:
@@ -136,6 +185,9 @@ class Block:
         broken: set[int] = set()
         waiting, size = [], 0
         for row, text in enumerate(texts):
+            if text and aligner.whole_only:
+                broken.add(row)
+                continue
             for parts in parts_of(" " + text) if text else ():
                 waiting.append((row, parts))
                 size += len(parts)
@@ -145,9 +197,9 @@ class Block:
         self._take(waiting, broken)
         for row in broken:  # a part does not come back: neither does the text, or as a whole
             whole = " " + texts[row]
-            record = aligner.align([whole])[0]
-            self.rows[row] = [] if record is None else [np.array([self._number(whole, record)])]
-            self.groups[row] = [] if record is None else [record[3]]
+            found = aligner.align([whole])
+            self.rows[row] = [] if found is None else [np.array([self._number(whole, found[0])])]
+            self.groups[row] = [] if found is None else [found[0][3]]
 
     def _number(self, part: str, record: tuple) -> int:
         number = self.number.setdefault(part, len(self.records))
@@ -157,9 +209,10 @@ class Block:
 
     def _take(self, waiting: list[tuple[int, list[str]]], broken: set[int]) -> None:
         aligner, number = self.aligner, self.number
-        aligner.learn(set().union(*[parts for _, parts in waiting]))
+        different = set().union(*[parts for _, parts in waiting])
+        aligner.learn(different)
         record_of = aligner.known
-        for part in set().union(*[parts for _, parts in waiting]).difference(number):
+        for part in different.difference(number):
             if record_of[part] is not None:
                 self._number(part, record_of[part])
         for row, parts in waiting:
@@ -197,8 +250,8 @@ class Block:
             "n_links": n_links,
             "groups": [";".join(g) for g in self.groups],
             "parts": [row.astype(np.int32).tobytes() for row in rows],
-            "pairs": [different.tolist(), *rest],
-            "holders": [holders.tolist(), *rest],
+            "pairs": [different, *rest],
+            "holders": [holders, *rest],
             "part_pairs": [place.astype(np.int32).tobytes(), *rest],
             "part_ends": [ends.astype(np.int64).tobytes(), *rest],
         }
@@ -250,9 +303,12 @@ def align(
             columns = [pa.array(found[name], kind) for name, kind in _COLUMNS.items()]
             lots = pa.array(np.full(batch.num_rows, lot))
             lot += 1
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [column_of(batch, "doc_id"), lots, *columns], names=["doc_id", "lot", *_COLUMNS]
             )
+            step = -(-batch.num_rows // 8)  # the groups' text is several times the documents'
+            for row in range(0, batch.num_rows, step):
+                yield out.slice(row, step)
 
     return rows.mapInArrow(run, f"doc_id {ids}, {_SCHEMA}")
 
