@@ -28,10 +28,12 @@ from tillstar import (
 from tillstar.functions import as_double, standardize
 from tillstar.operators import audit, cleaning, joins
 from tillstar.operators.aggregates import sort_columns, totals
-from tillstar.operators.windows import with_row_index
-from tillstar.plans import order_sales
+from tillstar.operators.ranges import with_row_index
+from tillstar.operators.rejects import all_rejected_cells
+from tillstar.plans import daily_category_change, order_sales, running_total_from_tables
 from tillstar.schemas import CSV_OPTIONS, ORDER_DATE_FORMAT, Tables
-from tillstar.sinks import shared_path, write_fact, write_result
+from tillstar.sinks import shared_path, write_bucketed_fact, write_fact, write_result
+from tillstar.sources import load_raw_tables
 
 try:
     from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
@@ -44,6 +46,8 @@ except ModuleNotFoundError as missing:  # the sales queries work without that su
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 FLAGSHIP = "ranked_products_in_category"
+# Deeper than Spark cuts a ranking before it shuffles.
+DEEP = 5000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -191,13 +195,13 @@ def _sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, path, odd.schema)
 
 
-def _csv_copy(spark: SparkSession, tables: Tables) -> Tables:
+def _csv_copy(spark: SparkSession, tables: Tables, load=load_tables) -> Tables:
     """Store the four tables as CSV and load them from there."""
     root = shared_path(spark, "csv")
     for name, df in tables._asdict().items():
         df = df.withColumns({c: F.col(c).cast("string") for c, k in df.dtypes if "timestamp" in k})
         df.write.options(**CSV_OPTIONS).csv(f"{root}/{name}.csv")
-    return load_tables(spark, root, "csv")
+    return load(spark, root)
 
 
 def _fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +212,30 @@ def _dirty_fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(build_fact(_csv_copy(spark, dirty(star_tables(spark, sf_dir)))))
 
 
+def _rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cleaning turns into null in the spoiled tables, read from CSV."""
+    return all_rejected_cells(_csv_copy(spark, dirty(star_tables(spark, sf_dir)), load_raw_tables))
+
+
+def _batch_counts(which: str, spoil: bool = False):
+    """The audit or the row counts that the batch takes while it writes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = star_tables(spark, sf_dir)
+        tables = dirty(tables) if spoil else tables
+        out = run_batch(spark, tables, shared_path(spark, "batch"), fmt="parquet", names=["aov"], counted=True)
+        return getattr(out, which)
+
+    return query
+
+
+def _aov_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "bucketed")
+    name = "fact_" + path.rsplit("-", 1)[1]
+    fact = write_bucketed_fact(build_fact(star_tables(spark, sf_dir)), name, path, buckets=8)
+    return METRICS["aov"](fact)
+
+
 def _stored_results(fmt: str, **options):
     """Run the whole batch and read the rows of every stored result back, in long form."""
 
@@ -281,6 +309,12 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_totals": _order_totals,
         "result_with_index": _result_with_index,
     }
+    table_queries |= {
+        "running_total_by_order": running_total_from_tables,
+        "daily_category_change": lambda t: daily_category_change(build_fact(t)),
+        "ranked_products_deep": lambda t: metric_from_tables(t, FLAGSHIP, size=DEEP),
+        "sample_by_hash": lambda t: audit.sample_by_hash(t.orders, ["order_id"], 100),
+    }
     table_queries["sample_rows"] = lambda t: audit.sample(metric_from_tables(t, "sales_by_country"))
     spoiled: dict[str, Callable[[Tables], DataFrame]] = {
         "dirty_items_typed": lambda t: cleaning.type_items(t.order_items),
@@ -302,6 +336,8 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "dirty_ranked_products": lambda t: metric_from_tables(t, FLAGSHIP),
         "dirty_monthly_with_lag": lambda t: metric_from_tables(t, "monthly_sales_with_lag"),
+        "dirty_daily_category_change": lambda t: daily_category_change(build_fact(t)),
+        "dirty_running_total_by_order": lambda t: _plain_dates(running_total_from_tables(t)),
     }
     for name, build in spoiled.items():
         table_queries[name] = lambda t, build=build: build(dirty(t))
@@ -313,6 +349,12 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_results_roundtrip": _sink_results_roundtrip,
         "sink_text_roundtrip": _sink_text_roundtrip,
         "dirty_fact_from_csv": _dirty_fact_from_csv,
+        "rejected_cells": _rejected_cells,
+        "batch_audit": _batch_counts("audit"),
+        "batch_row_counts": _batch_counts("row_counts"),
+        "dirty_batch_audit": _batch_counts("audit", spoil=True),
+        "dirty_batch_row_counts": _batch_counts("row_counts", spoil=True),
+        "aov_bucketed": _aov_bucketed,
         "stored_results": _stored_results("parquet"),
         "stored_results_by_month": _stored_results("parquet", by_month=True),
         "stored_results_csv": _stored_results("csv", with_index=True),
@@ -608,6 +650,32 @@ _KEYS_AS_TEXT = """* REPLACE (CAST(customer_id AS VARCHAR) AS customer_id,
                   CAST(order_id AS VARCHAR) AS order_id,
                   CAST(item_total AS DOUBLE) AS item_total)"""
 
+_RUNNING_SQL = """
+SELECT order_id, order_date, CAST(total AS DOUBLE) AS order_total,
+       CAST(sum(total) OVER (ORDER BY order_date ASC NULLS FIRST, order_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total
+FROM (SELECT order_id, order_date, sum(item_total) AS total FROM fact GROUP BY 1, 2)"""
+_DAILY_SQL = """
+SELECT category, sale_date, daily_sales, prev_sales,
+       CAST(round(CAST((daily_sales - prev_sales) / nullif(prev_sales, 0) * 100 AS DECIMAL(30,12)), 2)
+            AS DOUBLE) AS change_percent
+FROM (SELECT *, lag(daily_sales) OVER (PARTITION BY category ORDER BY sale_date ASC NULLS FIRST)
+                AS prev_sales
+      FROM (SELECT category, CAST(order_date AS DATE) AS sale_date,
+                   CAST(sum(item_total) AS DOUBLE) AS daily_sales
+            FROM fact GROUP BY 1, 2))"""
+# Text that does not fit its column, written where dirty() spoils it.
+_REJECTED_SQL = """
+SELECT 'order_items' AS table_name, CAST(order_id AS VARCHAR) AS row_key,
+       'quantity' AS column_name, 'many' AS raw_text, 'not_an_integer' AS reason
+FROM order_items WHERE order_id % 11 <> 0 AND order_id % 13 = 0
+UNION ALL
+SELECT 'order_items', CAST(order_id AS VARCHAR), 'price_per_unit', 'n/a', 'not_a_number'
+FROM order_items WHERE product_id % 17 <> 0 AND product_id % 19 = 0
+UNION ALL
+SELECT 'orders', CAST(order_id AS VARCHAR), 'order_date', '31.12.2020', 'not_a_date'
+FROM sales_orders WHERE order_id % 9 = 0"""
+
 
 def _dirty_sql() -> dict[str, str]:
     priced = "* REPLACE (CAST(item_total AS DOUBLE) AS item_total)"
@@ -629,6 +697,7 @@ def _dirty_sql() -> dict[str, str]:
         "dirty_orders_positive_total": f"SELECT {dates} FROM sales_orders WHERE total_amount > 0",
         "dirty_orders_total_filled": f"SELECT {dates} FROM (SELECT * REPLACE"
         " (coalesce(total_amount, 0) AS total_amount) FROM sales_orders)",
+        "rejected_cells": _REJECTED_SQL,
         "dirty_fact_status_first": f"{status_first}\nSELECT {priced} FROM fact",
         "sink_text_roundtrip": """
 SELECT customer_id, first_name, country, customer_id / 7 AS ratio,
@@ -638,6 +707,10 @@ FROM customers""",
     facts = {
         "dirty_cleaning_audit": _AUDIT_SQL,
         "dirty_row_counts": _COUNTS_SQL,
+        "dirty_batch_audit": _AUDIT_SQL,
+        "dirty_batch_row_counts": _COUNTS_SQL,
+        "dirty_running_total_by_order": _RUNNING_SQL,
+        "dirty_daily_category_change": _DAILY_SQL,
         "dirty_fact_table": f"SELECT {priced} FROM fact",
         "dirty_fact_from_csv": f"SELECT {_KEYS_AS_TEXT} FROM fact",
         "dirty_ranked_products": _RESULT_SQL[FLAGSHIP],
@@ -700,6 +773,17 @@ FROM sales_orders o JOIN customers c ON c.customer_id = o.customer_id"""),
 SELECT CAST(row_number() OVER (ORDER BY country_total_sales DESC NULLS LAST,
                                country ASC NULLS FIRST) - 1 AS INTEGER) AS row_index, *
 FROM ({_RESULT_SQL["sales_by_country"]})"""),
+        "running_total_by_order": _fact_sql(_RUNNING_SQL),
+        "daily_category_change": _fact_sql(_DAILY_SQL),
+        "ranked_products_deep": _fact_sql(
+            _RESULT_SQL[FLAGSHIP].replace("rank_in_category <= 3", f"rank_in_category <= {DEEP}")
+        ),
+        "sample_by_hash": _table_sql(
+            "SELECT * FROM sales_orders ORDER BY md5('|' || order_id) LIMIT 100"
+        ),
+        "batch_audit": _fact_sql(_AUDIT_SQL),
+        "batch_row_counts": _fact_sql(_COUNTS_SQL),
+        "aov_bucketed": _fact_sql(_RESULT_SQL["aov"]),
         "sink_fact_roundtrip": fact,
         "sink_results_roundtrip": _fact_sql(_RESULT_SQL[FLAGSHIP]),
         "sample_rows": _fact_sql(f"{_RESULT_SQL['sales_by_country']} LIMIT 5"),

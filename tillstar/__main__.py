@@ -27,6 +27,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         "--size", nargs="*", default=[], metavar="NAME=N", help="length of a list, depth of a ranking"
     )
     parser.add_argument("--index", action="store_true", help="first column row_index in results")
+    parser.add_argument("--counted", action="store_true", help="count rows while writing; print the audit")
     parser.add_argument("--keep-staged", action="store_true", help="keep the Parquet fact of a CSV run")
     parser.add_argument("--multi-line", action="store_true", help="line breaks within CSV cells")
     parser.add_argument("--normalize-status-first", action="store_true")
@@ -50,12 +51,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Ba
             sizes={name: int(n) for name, n in (s.split("=", 1) for s in args.size)},
             with_index=args.index,
             keep_staged=args.keep_staged,
+            counted=args.counted,
             normalize_status_first=args.normalize_status_first,
             null_totals=args.null_totals,
         )
         for path in (out.fact, out.staged_fact, *out.results.values()):
             if path:
                 print(path)
+        for table in (out.audit, out.row_counts) if args.counted else ():
+            for row in table.toLocalIterator():
+                print(*row, sep="\t")
         return out
     finally:
         if spark is None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -66,6 +67,17 @@ def sample(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
+def sample_by_hash(df: DataFrame, keys: Sequence[str], n: int = 5, seed: str = "") -> DataFrame:
+    """The n rows with the smallest hash of their key, in that order: a random sample that
+    is the same on every run, for every partitioning, and of a table's parts put together.
+
+    Every task keeps its n smallest. Null keys count as the text ``null``; of repeated keys
+    the rows that are smaller in the frame's columns come first.
+    """
+    text = F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    return df.orderBy(F.md5(text), *df.columns).limit(n)
+
+
 # Shares into which the items of a product are dealt where they meet its copies.
 SHARES = 4
 
@@ -116,6 +128,15 @@ def step_counts(tables: Tables) -> DataFrame:
     )
 
 
+# Each cleaning step with the counts before and after it.
+STEPS = [
+    ("null_items", "items", "known"),
+    ("not_an_amount", "known", "amounts"),
+    ("cancelled_orders", "joined", "not_cancelled"),
+    ("non_positive_totals", "not_cancelled", "positive"),
+]
+
+
 def cleaning_audit(tables: Tables) -> DataFrame:
     """(step, rows_in, rows_out, dropped) of the cleaning filters.
 
@@ -123,14 +144,8 @@ def cleaning_audit(tables: Tables) -> DataFrame:
     amount of money, which are not dropped but stop the job; the other two steps count
     rows of the joined table, where a missing status or total counts as dropped.
     """
-    steps = [
-        ("null_items", "items", "known"),
-        ("not_an_amount", "known", "amounts"),
-        ("cancelled_orders", "joined", "not_cancelled"),
-        ("non_positive_totals", "not_cancelled", "positive"),
-    ]
     return _stack(
         step_counts(tables),
-        [f"'{name}', {a}, {b}, {a} - {b}" for name, a, b in steps],
+        [f"'{name}', {a}, {b}, {a} - {b}" for name, a, b in STEPS],
         "step, rows_in, rows_out, dropped",
     )

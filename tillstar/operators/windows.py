@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import as_double, percent_change
-
+from tillstar.operators.ranges import ranked_by_counting
 
 _CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -30,11 +30,15 @@ def top_per_category(product_sales: DataFrame, depth: int) -> DataFrame:
 
     The rank filter lets Spark cut each task's rows to the best ``depth`` before the
     shuffle by category, so a category holding most products is not sorted in one task.
-    Spark does so up to a depth that is a setting; a larger depth is refused.
+    Spark does so up to a depth that is a setting; a larger depth is ranked by counting,
+    over ranges of the totals.
     """
     most = int(product_sales.sparkSession.conf.get(_CUT_SETTING, "1000"))
     if depth > most:
-        raise ValueError(f"set {_CUT_SETTING} to at least {depth} for a ranking of that depth")
+        ranked = ranked_by_counting(
+            product_sales, ("category",), "category_product_sales", "rank_in_category", depth
+        )
+        return as_double(ranked, "category_product_sales")
     best_first = Window.partitionBy("category").orderBy(
         F.col("category_product_sales").desc_nulls_last()
     )
@@ -55,10 +59,3 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
             percent_change(F.col("monthly_sales"), F.col("prev_month_sales")),
         )
     )
-
-
-def with_row_index(result: DataFrame, order, name: str = "row_index") -> DataFrame:
-    """Prefix a 0-based position in the given order. One partition: for the bounded
-    result tables only, never for the fact table."""
-    position = (F.row_number().over(Window.orderBy(*order)) - 1).alias(name)
-    return result.select(position, "*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar.schemas import CSV_OPTIONS, TABLE_SCHEMAS
 
@@ -29,3 +30,20 @@ def read_csv_table(
         .option("mode", "PERMISSIVE")
         .csv(f"{path.rstrip('/')}/{table}.csv")
     )
+
+
+def read_raw_csv_table(
+    spark: SparkSession, path: str, table: str, escape: str = '"', multi_line: bool = False
+) -> DataFrame:
+    """The same scan with every cell as the text that it is, and the lines that have too
+    few or too many cells in ``_corrupt_record``: what ``rejected_cells`` looks at."""
+    names = [*TABLE_SCHEMAS[table].fieldNames(), "_corrupt_record"]
+    return (
+        spark.read.schema(StructType([StructField(n, StringType()) for n in names]))
+        .options(**(CSV_OPTIONS | {"escape": escape, "multiLine": multi_line}))
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("columnPruning", False)  # or cells that are not read are not counted
+        .csv(f"{path.rstrip('/')}/{table}.csv")
+    )
