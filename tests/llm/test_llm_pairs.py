@@ -69,6 +69,60 @@ def test_links_connect_what_is_near_however_small_the_tasks(spark, chunk, flips)
     assert got == want
 
 
+def test_a_hot_key_of_far_fingerprints_is_taken_apart(spark):
+    """All share one key; the rest of their bits is random, with near ones among them."""
+    random_ = np.random.default_rng(5)
+    n, bits = 20_000, simhash.key_masks(20_000)[0]
+    prints = random_.integers(0, 1 << 64, n, np.uint64) & np.uint64(~bits % 2**64)
+    free = [b for b in range(64) if not bits >> b & 1]
+    for k in range(0, 2000, 2):
+        flips = random_.choice(free, random_.integers(1, 7), replace=False)
+        prints[k] = prints[k + 1] ^ np.uint64(sum(1 << int(b) for b in flips))
+    prints = np.unique(prints)
+    df = spark.createDataFrame([(simhash._signed(int(p)),) for p in prints], "fingerprint long")
+    got = {r.node % 2**64: r.root for r in components(simhash.links(df)).collect()}
+    near = set()
+    for at in range(0, len(prints), 500):
+        i, j = np.nonzero(np.bitwise_count(prints[at : at + 500, None] ^ prints[None]) <= 4)
+        near |= {(int(prints[a + at]), int(prints[b])) for a, b in zip(i, j) if a + at != b}
+    assert len(near) > 1000 and set(got) == {a for a, _ in near}
+    assert all(got[a] == got[b] for a, b in near)
+    groups = {}
+    for node, root in got.items():
+        groups.setdefault(root, set()).add(node)
+    linked = {}
+    for a, b in near:
+        linked.setdefault(a, set()).add(b)
+    for members in groups.values():  # no more than what is connected
+        seen, todo = set(), [next(iter(members))]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += linked[x]
+        assert seen == members
+
+
+def test_finer_keys_lose_no_link():
+    r = random.Random(6)
+    for mask in (0, (1 << 21) - 1, (1 << 55) - 1, (1 << 58) - 1, (1 << 62) - 1):
+        finer = simhash.finer_masks(mask, 4)
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(200):
+            changed = sum(1 << b for b in r.sample(free, min(4, len(free))))
+            assert any(not f & changed for f in finer) or len(free) <= 4
+        assert all(f & mask == mask and (f != mask or len(free) <= 4) for f in finer)
+
+
+def test_of_rows_that_differ_elsewhere_the_same_one_stays(spark):
+    given = [(1, "one two three four", "en", s, 18) for s in "abcdef"] + [(2, None, None, "z", None)] * 3
+    kept = set()
+    for parts in (1, 2, 5):
+        docs = documents(spark, given[::-1] if parts == 2 else given).repartition(parts)
+        kept.add(tuple(sorted(map(repr, simhash.keep_one(docs, simhash.near_duplicates(docs)).collect()))))
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
 def test_more_rows_take_longer_keys_and_keep_every_link():
     for rows_ in (10, 3 << 20, 1 << 40):
         masks = simhash.key_masks(rows_)

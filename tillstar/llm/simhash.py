@@ -150,24 +150,36 @@ def _groups(values: np.ndarray, table: np.ndarray, max_bits: int) -> np.ndarray:
 
 def _linker(max_bits: int, pivots: np.ndarray):
     """Of rows sorted by key and chunk: links as (a, b), a > b; and, where a key has a
-    hub, the fingerprints that do not reach it as (a, null) with the key."""
-    names = ["a", "b", "mask_no", "key"]
-
-    def segment(values, mask_no, key, hub):
+    hub, what has an open fingerprint in it and does not reach the hub, as (a, null) with
+    the key."""
+    names = ["a", "b", "mask", "key"]
+
+    def segment(values, is_open, mask, key, hub):
+        values, at = np.unique(values, return_inverse=True)
+        open_ = np.zeros(len(values), bool)
+        np.logical_or.at(open_, at, is_open)
         number = _groups(values, pivot_table(values, pivots), max_bits)
-        for one in range(1, number.max() + 1):
-            members = values[number == one].view(np.int64)
+        order = np.argsort(number, kind="stable")
+        cuts = np.flatnonzero(np.diff(number[order], prepend=0))
+        rests, lows, away = [], [], []
+        for rows in np.split(order, cuts[1:]):
+            members = values[rows].view(np.int64)
             low = members.min()
-            rest = members[members != low]
-            yield rest, np.full(len(rest), low), np.zeros(len(rest), bool), mask_no, key
-            if hub is not None and hub not in members:
-                yield members, members, np.ones(len(members), bool), mask_no, key
+            rests.append(members[members != low])
+            lows.append(np.full(len(members) - 1, low))
+            if hub is not None and open_[rows].any() and hub not in members:
+                away.append(members)
+        rest = np.concatenate(rests)
+        yield rest, np.concatenate(lows), np.zeros(len(rest), bool), mask, key
+        if away:
+            others = np.concatenate(away)
+            yield others, others, np.ones(len(others), bool), mask, key
 
     def block(df):
         """Whole segments."""
-        mask_no, key, chunk, fp, hub = df
+        mask, key, chunk, fp, is_open, hub = df
         new = np.ones(len(fp), bool)
-        new[1:] = (mask_no[1:] != mask_no[:-1]) | (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
+        new[1:] = (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
         starts = np.append(np.flatnonzero(new), len(fp))
         sizes = np.diff(starts)
         of = np.cumsum(new) - 1
@@ -189,14 +201,13 @@ def _linker(max_bits: int, pivots: np.ndarray):
             rows = slice(starts[k], starts[k + 1])
             at = starts[k]
             its_hub = hub[0][at] if hub[1][at] else None
-            yield from segment(
-                np.unique(values[rows]), mask_no[at], key[at], its_hub
-            )
+            yield from segment(values[rows], is_open[rows], mask[at], key[at], its_hub)
 
     def arrays(batch):
         hub = column_of(batch, "hub")
         return [
-            *(column_of(batch, n).to_numpy() for n in ("mask_no", "key", "chunk", "fingerprint")),
+            *(column_of(batch, n).to_numpy() for n in ("mask", "key", "chunk", "fingerprint")),
+            column_of(batch, "open").to_numpy(zero_copy_only=False),
             (hub.fill_null(0).to_numpy(), hub.is_valid().to_numpy(zero_copy_only=False)),
         ]
 
@@ -212,14 +223,11 @@ def _linker(max_bits: int, pivots: np.ndarray):
         ]
 
     def out(parts):
-        for a, b, alone, mask_no, key in parts:
+        for a, b, alone, mask, key in parts:
             if len(a):
-                where = [pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int64())]
-                if mask_no is not None:
-                    where = [
-                        pa.array(np.full(len(a), mask_no, np.int32)),
-                        pa.array(np.full(len(a), key, np.int64)),
-                    ]
+                where = [pa.nulls(len(a), pa.int64())] * 2
+                if mask is not None:
+                    where = [pa.array(np.full(len(a), x, np.int64)) for x in (mask, key)]
                 columns = [pa.array(a), pa.array(b, mask=alone), *where]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -229,8 +237,8 @@ def _linker(max_bits: int, pivots: np.ndarray):
             if not batch.num_rows:
                 continue
             df = arrays(batch) if rest is None else join(rest, arrays(batch))
-            mask_no, key, chunk = df[:3]
-            last = (mask_no == mask_no[-1]) & (key == key[-1]) & (chunk == chunk[-1])
+            mask, key, chunk = df[:3]
+            last = (mask == mask[-1]) & (key == key[-1]) & (chunk == chunk[-1])
             end = int(np.argmax(last))
             yield from out(block(cut(df, 0, end))) if end else ()
             rest = cut(df, end, len(key))
@@ -240,27 +248,56 @@ def _linker(max_bits: int, pivots: np.ndarray):
     return run
 
 
+_KEY = ["mask", "key"]
+
+
 def _compared(rows: DataFrame, max_bits: int, pivots: np.ndarray) -> DataFrame:
-    place = ["mask_no", "key", "chunk"]
-    rows = rows.select(*place, "fingerprint", "hub").repartition(*place)
+    place = [*_KEY, "chunk"]
+    rows = rows.select(*place, "fingerprint", "open", "hub").repartition(*place)
     return rows.sortWithinPartitions(*place, "fingerprint").mapInArrow(
-        _linker(max_bits, pivots), "a long, b long, mask_no int, key long"
+        _linker(max_bits, pivots), "a long, b long, mask long, key long"
     )
 
 
 def _keyed(distinct: DataFrame, masks: list[int]) -> DataFrame:
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("mask_no"),
-                F.col("fingerprint").bitwiseAND(F.lit(_signed(m))).alias("key"),
-            )
-            for k, m in enumerate(masks)
-        ]
-    )
-    return distinct.select("fingerprint", F.explode(keys).alias("k")).select(
-        "k.mask_no", "k.key", "fingerprint"
-    )
+    mask = F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask")
+    rows = distinct.select("fingerprint", F.lit(True).alias("open"), mask)
+    return rows.withColumn("key", F.col("fingerprint").bitwiseAND(F.col("mask")))
+
+
+def finer_masks(mask: int, max_bits: int, more: int = 2) -> list[int]:
+    """Masks that hold a mask and all but ``max_bits`` of max_bits + more blocks of the bits
+    it leaves free: what differs in no more bits shares the key of at least one of them."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    count = min(max_bits + more, len(free))
+    more = count - max_bits
+    if more < 1:  # whatever shares the key is near
+        return [mask]
+    edges = [len(free) * k // count for k in range(count + 1)]
+    blocks = [sum(1 << b for b in free[a:e]) for a, e in zip(edges, edges[1:])]
+    return sorted({mask | sum(choice) for choice in itertools.combinations(blocks, more)})
+
+
+def _finer(rows: DataFrame, away: DataFrame, max_bits: int) -> DataFrame:
+    """The keys' rows under finer keys, open where they did not reach the hub. Finer keys
+    without an open row are left out."""
+    spark = rows.sparkSession
+    # As many rows as there are masks, whatever the data.
+    masks = [r.mask for r in away.select("mask").distinct().toLocalIterator()]
+    pairs = [(m, _signed(f)) for m in masks for f in finer_masks(m & (1 << 64) - 1, max_bits)]
+    finer = F.broadcast(spark.createDataFrame(pairs, "mask long, finer long"))
+
+    def under(df: DataFrame) -> DataFrame:
+        key = F.col("fingerprint").bitwiseAND(F.col("finer")).alias("key")
+        return df.join(finer, "mask").select(F.col("finer").alias("mask"), key, "fingerprint").distinct()
+
+    opened = stored(under(away.withColumnRenamed("a", "fingerprint")), "open")
+    hot = away.select(*_KEY).distinct()
+    every = under(rows.join(hot, _KEY, "left_semi"))
+    every = every.join(opened.select(*_KEY).distinct(), _KEY, "left_semi")
+    flags = opened.withColumn("open", F.lit(True))
+    every = every.join(flags, [*_KEY, "fingerprint"], "left")
+    return every.withColumn("open", F.coalesce("open", F.lit(False)))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, pivots: int = PIVOTS, chunk: int = CHUNK):
@@ -268,35 +305,35 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, pivots: int = PIVOTS, c
 
     A key with more than ``chunk`` fingerprints is split over tasks. Its lowest
     fingerprint, the hub, joins every part; whatever reaches the hub is connected
-    through it. The others, few where so many fingerprints share a key, are then
-    compared with every part.
+    through it. Where others remain, the key's fingerprints go under finer keys, which
+    again lose no link, and only finer keys with one of the others in them are compared.
+    That ends: each time a third of the bits that a key leaves free is fixed, and a key
+    that leaves b bits free has at most 2^b fingerprints.
     """
-    keyed = _keyed(distinct, key_masks(distinct.count(), max_bits))
     refs = references(pivots)
+    rows = _keyed(distinct, key_masks(distinct.count(), max_bits))
     n = F.count("*")
-    hot = (
-        keyed.groupBy("mask_no", "key")
-        .agg(F.ceil(n / chunk).cast("int").alias("parts"), F.min("fingerprint").alias("hub"))
-        .where("parts > 1")
-    )
-    hot = stored(hot, "hot-keys")
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
-    )
-    rows = keyed.join(hot, ["mask_no", "key"], "left").withColumn("chunk", part)
-    every = hot.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    hubs = every.withColumn("fingerprint", F.col("hub"))
-    columns = ["mask_no", "key", "chunk", "fingerprint", "hub"]
-    first = rows.select(columns).union(hubs.select(columns))
-    found = stored(_compared(first, max_bits, refs), "compared")
-    out = found.where("b is not null").select("a", "b")
-    if hot.isEmpty():
-        return out
-    others = found.where("b is null").select("mask_no", "key", F.col("a").alias("fingerprint"))
-    others = others.join(every, ["mask_no", "key"]).withColumn("hub", F.lit(None).cast("long"))
-    members = rows.where("hub is not null").withColumn("hub", F.lit(None).cast("long"))
-    again = members.select(columns).union(others.select(columns))
-    return out.union(_compared(again, max_bits, refs).select("a", "b"))
+    out = None
+    while True:
+        hot = rows.groupBy(*_KEY).agg(
+            F.ceil(n / chunk).cast("int").alias("parts"), F.min("fingerprint").alias("hub")
+        )
+        hot = stored(hot.where("parts > 1"), "hot-keys")
+        part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
+        )
+        dealt = rows.join(hot, _KEY, "left").withColumn("chunk", part)
+        every = hot.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        hubs = every.withColumns({"fingerprint": F.col("hub"), "open": F.lit(False)})
+        columns = [*_KEY, "chunk", "fingerprint", "open", "hub"]
+        dealt = dealt.select(columns).union(hubs.select(columns))
+        found = stored(_compared(dealt, max_bits, refs), "compared")
+        linked = found.where("b is not null").select("a", "b")
+        out = linked if out is None else out.union(linked)
+        away = found.where("b is null")
+        if hot.isEmpty() or away.isEmpty():
+            return out
+        rows = stored(_finer(rows, away, max_bits), "finer")
 
 
 def _first() -> Column:
@@ -333,7 +370,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BIT
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents without near-duplicates: of each group its first row."""
+    """The documents without near-duplicates: of each group its first row.
+
+    Of rows that agree in doc_id and text, but not in other columns, the one with the
+    smallest hash of all columns stays, whatever the partitions.
+    """
     first = groups.select(
         F.col("first.doc_id").alias("__doc_id"), F.col("first.text_hash").alias("__text_hash")
     ).distinct()
@@ -347,4 +388,5 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
         "left_semi",
     )
     # Repeated rows share both columns: one of them stays.
-    return rows.groupBy("doc_id", "text_hash").agg(F.first("__row").alias("__row")).select("__row.*")
+    one = F.min_by("__row", F.xxhash64("__row")).alias("__row")
+    return rows.groupBy("doc_id", "text_hash").agg(one).select("__row.*")
