@@ -3,6 +3,7 @@ import zlib
 import pytest
 from cases import crowded, documents, rows, words
 
+from tillstar.llm import mixing
 from tillstar.llm.mixing import mix, plan_copies, targets
 from tillstar.llm.sharding import differencing, shard, write_shards
 
@@ -104,3 +105,62 @@ def test_no_documents_and_files(spark, tmp_path):
     assert shard(documents(spark, [])).count() == 0
     write_shards(documents(spark), str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == len(rows())
+
+
+def test_rows_without_an_id_are_dealt_evenly(spark):
+    """Null and repeated ids with different texts, most of them in one class of sizes."""
+    docs = spark.range(4000).selectExpr(
+        "if(id % 3 = 0, null, 7L) AS doc_id", "concat('word', id) AS text",
+        "if(id % 2 = 0, null, 'one') AS source",
+    )
+    planned = mixing._planned(docs, ["doc_id"], (5, 2, 1), 3, 7, 200)
+    text = planned._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in text.split("Window")[0]  # nothing after the parts carries texts
+    numbered = plan_copies(docs, per_split=200, keep=["doc_id"])
+    assert numbered.count() == 4000 and numbered.columns[0] == "doc_id"
+    for shuffled in (docs, docs.repartition(5)):
+        copies = plan_copies(shuffled, per_split=200)
+        taken = {r.text: r.copies for r in copies.collect()}
+        assert taken == {r.text: r.copies for r in plan_copies(docs, per_split=200).collect()}
+    spots = docs.select(mixing._drawn(mixing.F.concat_ws(":", mixing.F.lit(""), mixing.F.md5("text"))).alias("s"))
+    sizes = [r["count"] for r in spots.selectExpr("s % 20 AS part").groupBy("part").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2 * 200
+
+
+def test_lots_of_rows_without_an_id_are_even(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) AS doc_id", "concat('t', id) AS text")
+    out = shard(docs, per_lot=100)
+    slots = {}
+    for r in out.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    lots = docs.selectExpr("pmod(xxhash64(doc_id, crc32(cast(text as binary)), cast(length(text) + 1 as long)), 40) AS lot")
+    sizes = [r["count"] for r in lots.groupBy("lot").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 2 * 100
+
+
+def _plain_differencing(sizes, shards):
+    """Partial partitions as plain lists, the two of largest spread combined again and
+    again; returns the sums in descending order."""
+    partial = [sorted([size] + [0] * (shards - 1), reverse=True) for size in sizes]
+    while len(partial) > 1:
+        partial.sort(key=lambda p: p[0] - p[-1])
+        one, two = partial.pop(), partial.pop()
+        partial.append(sorted((a + b for a, b in zip(one, reversed(two))), reverse=True))
+    return partial[0]
+
+
+@pytest.mark.parametrize("shards", [2, 3, 16])
+def test_differencing_equals_a_plain_version(shards):
+    import random
+
+    draw = random.Random(shards)
+    for n in (1, 5, 40, 300):
+        # Different spreads at every step, so that no tie has two outcomes.
+        sizes = {k: draw.randrange(1, 1 << 40) for k in range(n)}
+        where = differencing(sizes, shards)
+        sums = [0] * shards
+        for bundle, part in where.items():
+            sums[part] += sizes[bundle]
+        assert set(where) == set(sizes)
+        assert sorted(sums, reverse=True) == _plain_differencing(list(sizes.values()), shards)

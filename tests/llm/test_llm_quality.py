@@ -185,3 +185,45 @@ def test_long_texts_are_taken_in_chunks(monkeypatch):
             assert nbsvm.indicators(raw).tolist() == sorted(features)
             assert simhash.fingerprint_of(raw) == fingerprint(cut)
         assert decision_list.repeated_words(raw, 8) == decision_list.repeated_words(raw)
+
+
+def test_the_classifier_equals_a_plain_one():
+    """Ratios from plain counts; weights against a plain solver of the same problem, run
+    until primal and dual objective meet."""
+    import math
+
+    draw = np.random.default_rng(11)
+    used = np.array([5, 77, 300, 4096, nbsvm._TRIGRAMS + 3, nbsvm._FEATURES - 1, 9, 10, 11, 12])
+    chance = np.where(np.arange(10) % 2, 0.6, 0.35)
+    good = draw.random(120) < 0.4
+    rows = [
+        np.sort(used[draw.random(10) < np.where(label, chance, 1 - chance)]).astype(np.uint16)
+        for label in good
+    ]
+    ratios = nbsvm.count_ratios(rows, good)
+    total = [sum(len(r) for r, g in zip(rows, good) if g == label) + nbsvm._FEATURES for label in (0, 1)]
+    for f in used.tolist():
+        held = [1 + sum(f in r for r, g in zip(rows, good) if g == label) for label in (0, 1)]
+        assert math.isclose(ratios[f], math.log(held[1] / total[1] / (held[0] / total[0])))
+    x = np.zeros((len(rows), len(used) + 1))
+    for k, r in enumerate(rows):
+        value = np.array([ratios[f] if f in r else 0.0 for f in used])
+        x[k, :-1] = value / (np.sqrt((value**2).sum()) or 1)
+        x[k, -1] = 1  # the bias, as a feature that all rows have
+    y = np.where(good, 1.0, -1.0)
+
+    def primal(w):
+        return 0.5 * w @ w + np.maximum(0, 1 - y * (x @ w)).sum()
+
+    alpha, w = np.zeros(len(y)), np.zeros(x.shape[1])
+    for _ in range(3000):
+        for k in range(len(y)):
+            new = min(max(alpha[k] - (y[k] * (x[k] @ w) - 1) / (x[k] @ x[k]), 0), 1)
+            w += (new - alpha[k]) * y[k] * x[k]
+            alpha[k] = new
+    assert primal(w) - (alpha.sum() - 0.5 * w @ w) < 1e-6 * primal(w)
+    weights, bias = nbsvm.descend(rows, good, ratios, passes=2000)
+    ours = np.append(weights[used], bias)
+    assert primal(ours) < 1.001 * primal(w)
+    assert np.abs(x @ ours - x @ w).max() < 0.1
+    assert not np.delete(weights, used).any()

@@ -74,70 +74,61 @@ def _drawn(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def _planned(docs: DataFrame, weights, most: int, seed: int, per_split: int) -> DataFrame:
+def _meet(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join one row per key; null keys meet as well."""
+    other = other.withColumnsRenamed({k: f"__its_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__its_{k}")) for k in keys]
+    return rows.join(other, same, how).drop(*[f"__its_{k}" for k in keys])
+
+
+def _planned(docs: DataFrame, keep, weights, most: int, seed: int, per_split: int) -> DataFrame:
+    """The kept columns as ``__row``, with size, source_size, target and copies."""
     source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
+    # Rows without an id, or with the same, are told apart by their text.
+    name = F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.md5("text"), F.lit(""))
+    )
     rows = docs.select(
-        F.struct("*").alias("__row"),
+        F.struct(*keep).alias("__row"),
         "doc_id",
         source.alias("source"),
         word_count().alias("size"),
-        _drawn(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("spot"),
-        F.xxhash64("text").alias("text_hash"),
+        _drawn(name).alias("spot"),
     )
     # Sizes that differ by a few hundredths share a class: the five digits after the
     # leading one, in binary.
     shift = F.greatest(F.length(F.bin("size")) - 6, F.lit(0))
-    splits = max(1, -(-docs.count() // per_split))
-    rows = rows.withColumn("shift", shift).withColumns(
-        {
-            "class": F.expr("shift * 32 + shiftright(size, shift)").cast("int"),
-            "split": F.pmod("spot", F.lit(splits)).cast("int"),
-        }
+    rows = rows.withColumn("shift", shift).withColumn(
+        "class", F.expr("shift * 32 + shiftright(size, shift)").cast("int")
     )
-    counts = rows.groupBy("source", "class", "split").agg(
-        F.count("*").alias("n"), F.sum("size").alias("w")
+    by_class = ["source", "class"]
+    classes = rows.groupBy(*by_class).agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    classes = stored(
+        classes.withColumn("splits", F.ceil(F.col("n") / per_split).cast("long")), "classes"
     )
-    counts = stored(counts, "blocks")
     onto = (Window.unboundedPreceding, -1)
-    in_class = Window.partitionBy("source", "class").orderBy("split").rowsBetween(*onto)
     in_source = Window.partitionBy("source").orderBy("class").rowsBetween(*onto)
-    classes = counts.groupBy("source", "class").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    smaller = F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("smaller")
     sizes = targets(classes.groupBy("source").agg(F.sum("w").alias("source_size")), weights, most)
-    classes = stored(
-        classes.select("source", "class", F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("smaller")),
-        "classes",
-    )
-    places = counts.withColumn("earlier", F.coalesce(F.sum("n").over(in_class), F.lit(0)))
-    for other, keys in ((classes, ["source", "class"]), (sizes, ["source"])):
-        other = other.withColumnsRenamed({k: f"its_{k}" for k in keys})
-        same = [F.col(k).eqNullSafe(F.col(f"its_{k}")) for k in keys]
-        places = places.join(other, same).drop(*[f"its_{k}" for k in keys])
-    places = places.select(
-        F.col("source").alias("of"),
-        F.col("class").alias("in"),
-        F.col("split").alias("nth"),
-        (F.col("smaller") + F.col("earlier")).alias("before"),
-        "source_size",
-        "target",
-    )
-    rows = rows.join(
-        stored(places, "shares"),
-        F.col("source").eqNullSafe(F.col("of"))
-        & (F.col("class") == F.col("in"))
-        & (F.col("split") == F.col("nth")),
-    )
-    inside = Window.partitionBy("source", "class", "split").orderBy(
-        "size", "spot", "doc_id", "text_hash"
-    )
-    rank = F.col("before") + F.row_number().over(inside)
+    places = classes.select(*by_class, "splits", smaller)
+    places = stored(_meet(places, sizes, ["source"]), "places")
+    rows = _meet(rows, places, by_class).withColumn("split", F.pmod("spot", "splits").cast("int"))
+    # Only the parts of a class that is split need to be counted one by one.
+    counts = rows.where("splits > 1").groupBy(*by_class, "split").agg(F.count("*").alias("n"))
+    in_class = Window.partitionBy(*by_class).orderBy("split").rowsBetween(*onto)
+    earlier = F.coalesce(F.sum("n").over(in_class), F.lit(0)).alias("earlier")
+    parts = stored(counts.select(*by_class, "split", earlier), "parts")
+    rows = _meet(rows, parts, [*by_class, "split"], "left")
+    before = F.col("smaller") + F.coalesce(F.col("earlier"), F.lit(0))
+    inside = Window.partitionBy(*by_class, "split").orderBy("size", "spot", "doc_id")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    name = F.coalesce(F.col("source"), F.lit(""))
-    offset = _drawn(F.concat(F.lit(f"{seed}:"), name)) / F.lit(float(1 << 32))
+    label = F.coalesce(F.col("source"), F.lit(""))
+    offset = _drawn(F.concat(F.lit(f"{seed}:"), label)) / F.lit(float(1 << 32))
 
     def crossed(place):
         return F.floor(offset + share * place)
 
-    rows = rows.withColumn("rank", rank)
+    rows = rows.withColumn("rank", before + F.row_number().over(inside))
     copies = crossed(F.col("rank")) - crossed(F.col("rank") - 1)
     return rows.select("__row", "size", "source_size", "target", copies.alias("copies"))
 
@@ -148,24 +139,27 @@ def plan_copies(
     most: int = MOST_COPIES,
     seed: int = 7,
     per_split: int = PER_SPLIT,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add size, source_size, target and copies to every document.
 
     Within a source documents go by classes of nearly equal size, so that short and long
-    ones get their share, and by a hash within a class. A class is split by that hash,
-    one part for ``per_split`` documents of the corpus; parts are numbered through by
-    running sums of their counts, first within a class, then over the classes of a
-    source. No task sees more than such a part, however large a source or a group of
-    copies is. The same documents give the same copies.
-
-    Null texts have size 0, a null source is a source of its own, a source of size 0 has
-    no copies. Repeated rows are documents of their own. The documents are read twice.
-    Columns of these names are replaced.
+    ones get their share, and by a hash of id and text within a class. A class is split by
+    that hash, one part for ``per_split`` documents that it has; parts are numbered through
+    by running sums of their counts, first within a class, then over the classes of a
+    source. No task sees more than such a part, however large a source, a group of copies
+    or the number of rows without an id is; rows that agree in id and text fall in one
+    part. The same documents give the same copies.
+
+    ``keep`` names the columns to keep, all by default: only these are shuffled. Null texts
+    have size 0, a null source is a source of its own, a source of size 0 has no copies.
+    Repeated rows are documents of their own. The documents are read three times. Columns
+    of these names are replaced.
     """
-    planned = _planned(docs, weights, most, seed, per_split)
-    made = planned.columns[1:]
-    kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in made]
-    return planned.select(*kept, *made)
+    made = ["size", "source_size", "target", "copies"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    planned = _planned(docs, keep or ["doc_id"], weights, most, seed, per_split)
+    return planned.select(*[F.col("__row")[c].alias(c) for c in keep], *made)
 
 
 def mix(
@@ -176,6 +170,6 @@ def mix(
     per_split: int = PER_SPLIT,
 ) -> DataFrame:
     """The documents, each as often as the mix takes it, with their own columns."""
-    planned = _planned(docs, weights, most, seed, per_split).where("copies > 0")
+    planned = _planned(docs, docs.columns, weights, most, seed, per_split).where("copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
     return planned.select("__row", repeated).select("__row.*")

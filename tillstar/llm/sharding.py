@@ -55,9 +55,9 @@ def shard(
     ``size`` is the bytes of the text plus one; a null text counts as an empty one and
     falls in its group. Sizes of shards are as near as bundles allow: a group larger than
     a shard's share keeps its shard above it. Slots number the rows of a shard from 0
-    without gaps; they are counted in lots of about ``per_lot`` rows dealt by id, so that
-    neither a shard nor a large group is numbered in one task. Repeated rows and null ids
-    have slots of their own.
+    without gaps; they are counted in lots of about ``per_lot`` rows dealt by id and text, so
+    that no shard, large group or rows without an id are numbered in one task; rows that
+    agree in both fall in one lot. Repeated rows and null ids have slots of their own.
     """
     spark = docs.sparkSession
     text = text_or_empty()
@@ -75,7 +75,7 @@ def shard(
     places = spark.createDataFrame(sorted(shard_of.items()), "bundle int, shard int")
     lots = max(1, -(-sum(weights["n"]) // per_lot))
     rows = rows.join(F.broadcast(places), "bundle").withColumn(
-        "lot", F.pmod(F.xxhash64("doc_id"), F.lit(lots)).cast("int")
+        "lot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(lots)).cast("int")
     )
     counts = rows.groupBy("shard", "lot").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
