@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,7 +70,7 @@ def packed(docs: DataFrame) -> DataFrame:
         "piece",
         "start",
         "length",
-        F.crc32("ids").alias("ids_crc32"),
+        "ids_crc32",
         "sequence_id",
         "offset",
         "ids",
@@ -87,7 +88,8 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    return plan_copies(docs).select("doc_id", "size", "source_size", "target", taken)
+    planned = plan_copies(docs, keep=["doc_id"])
+    return planned.select("doc_id", "size", "source_size", "target", taken)
 
 
 def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,14 +193,20 @@ def _secret_sql() -> str:
         return "'" + pattern.replace("'", "''") + "'"
 
     def spans(k: int, rule) -> str:
-        pattern = quoted(rule.pattern)
-        value = f"regexp_extract(m[i], {pattern}, {rule.group})" if rule.group else "m[i]"
+        plain = re.sub(r"(?<=[*+?}])\+", "", rule.pattern)  # only saves time
+        lead, group = "0", rule.group
+        if rule.not_after:  # the character before is matched, too
+            plain, group = f"(^|[^{rule.not_after}]){plain}", group + 1 if group else 0
+            lead = f"length(regexp_extract(m[i], {quoted(plain)}, 1))"
+        pattern = quoted(plain)
+        value = f"regexp_extract(m[i], {pattern}, {group})" if group else "m[i]"
         before = (
             "coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)"
             " + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
         )
         return f"""
-SELECT doc_id, row_no, {k} AS place, '{rule.kind}' AS kind, start, start + length(m[i]) AS stop
+SELECT doc_id, row_no, {k} AS place, '{rule.kind}' AS kind, start + {lead} AS start,
+       start + length(m[i]) AS stop
 FROM (SELECT *, CAST({before} AS BIGINT) AS start
       FROM (SELECT doc_id, row_no, m, gaps, unnest(range(1, len(m) + 1)) AS i
             FROM (SELECT doc_id, row_no, regexp_extract_all(body, {pattern}) AS m,
@@ -335,13 +343,14 @@ def _mixing_sql() -> str:
 WITH docs AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-         {drawn("coalesce(CAST(doc_id AS VARCHAR), '')")} AS spot
+         {drawn("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')")} AS spot
   FROM documents
+), classed AS (
+  SELECT *, greatest(length(bin(size)) - 6, 0) AS shift FROM docs
 ), blocked AS (
-  SELECT *, greatest(length(bin(size)) - 6, 0) AS shift,
-         spot % greatest(1, (SELECT CAST(ceil(count(*) / {PER_SPLIT}) AS BIGINT) FROM docs))
-            AS split
-  FROM docs
+  SELECT *, spot % CAST(ceil(count(*) OVER (PARTITION BY source, shift, size >> shift)
+                             / {PER_SPLIT}) AS BIGINT) AS split
+  FROM classed
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
 ), weighted AS (

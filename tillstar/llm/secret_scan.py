@@ -26,12 +26,18 @@ from tillstar.llm.trigrams import ALWAYS, trigram_query
 @dataclass(frozen=True)
 class Rule:
     """Matches are leftmost and do not overlap; one whose group is shorter than
-    ``least`` characters is dropped afterwards."""
+    ``least`` characters is dropped afterwards. A match begins at the start of the text or
+    after a character that is not among ``not_after``."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    not_after: str = ""
+
+    def compiled(self) -> re.Pattern:
+        behind = f"(?<![{self.not_after}])" if self.not_after else ""
+        return re.compile(behind + self.pattern, re.ASCII)
 
 
 BASE_RULES = (
@@ -45,15 +51,16 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", least=24),
 )
 # A PEM key up to its END line. Without one: header lines, the base64 lines that follow
-# (40 characters at least) and the base64 after the last. A line may also end in a written
-# \\n, as in JSON. No two ways lead to the same match, so the time is linear.
+# (16 characters at least, or words would count) and the base64 after the last. A line may
+# also end in a written \\n, as in JSON. What is repeated gives nothing back (*+, ++), so
+# time is linear and no place to return to is kept.
 _KEY = r"PRIVATE KEY-----"
-_BETWEEN = r"(?:[\x20\t\r\n\"'>]|\\[nr])[\x20\t\r\n\"'>]*(?:\\[nr][\x20\t\r\n\"'>]*)*"
-_HEADER = r"(?:\r?\n|(?:\\r)?\\n)[A-Z][A-Za-z-]{0,40}:\x20[^\r\n\\]{0,200}"
+_BETWEEN = r"(?:[\x20\t\r\n\"'>]|\\[nr])[\x20\t\r\n\"'>]*+(?:\\[nr][\x20\t\r\n\"'>]*+)*+"
+_HEADER = r"(?:\r?\n|(?:\\r)?\\n)[A-Z][A-Za-z-]*+:\x20[^\r\n\\]*+"
 _BASE64 = r"[A-Za-z0-9+/]"
-_TO_END = r"[^-]*(?:-[^-]+)*-----END (?:[A-Z]+ )?" + _KEY
+_TO_END = r"[^-]*+(?:-[^-]++)*+-----END (?:[A-Z]+ )?" + _KEY
 _LINES = (
-    f"(?:{_HEADER}){{0,4}}(?:{_BETWEEN}{_BASE64}{{40,}}={{0,2}})+(?:{_BETWEEN}{_BASE64}+={{0,2}})?"
+    f"(?:{_HEADER})*+(?:{_BETWEEN}{_BASE64}{{16,}}+={{0,2}}+)++(?:{_BETWEEN}{_BASE64}++={{0,2}}+)?+"
 )
 # Published formats of well-known credentials.
 MORE_RULES = (
@@ -62,7 +69,11 @@ MORE_RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule(
+        "jwt",
+        r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++",
+        not_after="A-Za-z0-9_-",
+    ),
 )
 RULES = BASE_RULES + MORE_RULES
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -108,8 +119,8 @@ class Scanner:
     """Compiled rules with their trigram queries."""
 
     def __init__(self, rules: Sequence[Rule]):
-        self.rules = [(r, re.compile(r.pattern, re.ASCII)) for r in rules]
-        self.queries = [trigram_query(compiled) for _, compiled in self.rules]
+        self.rules = [(r, r.compiled()) for r in rules]
+        self.queries = [trigram_query(re.compile(r.pattern, re.ASCII)) for r in rules]
         vocabulary = sorted({t for q in self.queries for needed in q for t in needed})
         self.numbers = {t: k for k, t in enumerate(vocabulary, 1)}
         self.table = np.zeros(1 << 24, np.uint16)
