@@ -15,6 +15,7 @@ from tillstar.llm.nbsvm import THRESHOLD, fit, score
 from tillstar.llm.queries import packed
 from tillstar.llm.secret_scan import scan_secrets
 from tillstar.llm.simhash import keep_one, near_duplicates
+from tillstar.shared import scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +61,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents."""
+    """Apply the stages to the documents.
+
+    The result is read from tables in the shared folder, which stay there: ``write`` stores
+    it and removes them.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"stage{k}")
     return docs
+
+
+def write(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Store the result as Parquet; nothing of the run stays in the shared folder."""
+    with scratch(spark):
+        run(spark, sf_dir).write.parquet(path)
