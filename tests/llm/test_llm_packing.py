@@ -5,7 +5,7 @@ import pytest
 from cases import crowded, documents, rows
 
 from tillstar.llm.common import stored
-from tillstar.llm.packing import WordIds, pack, place, sequences, tokenize
+from tillstar.llm.packing import WordIds, id_type, pack, place, sequences, tokenize
 from tillstar.llm.queries import packed, tokenizer_path
 
 
@@ -30,10 +30,14 @@ def test_ids_by_word_are_the_ids_of_the_text(tokenizer):
     for most in (600_000, 3):
         coder = WordIds(tokenizer_path(), most)
         for _ in range(2):
-            got = [np.frombuffer(coder.encode([t.encode()])[0], "<u4").tolist() for t in texts]
+            got = [np.frombuffer(coder.encode([t.encode()])[0], coder.dtype).tolist() for t in texts]
             assert got == want
     coder = WordIds(tokenizer_path(), 100)
+    assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])] == want
+    coder = WordIds(tokenizer_path(), 100)
+    coder.dtype = np.dtype("<u4")  # as for a larger vocabulary
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])] == want
+    assert [id_type(n).itemsize for n in (49407, 65535, 65536)] == [2, 2, 4]
 
 
 def test_pieces_and_places(spark, tokenizer):
@@ -91,13 +95,13 @@ def test_empty_table_and_other_columns(spark):
     pieces = tokenize(documents(spark), tokenizer_path(), capacity=7, keep=("doc_id", "source"))
     got = pieces.where("doc_id = 8").collect()
     assert [r.piece for r in got] == [0] and got[0].source == "src2"
-    assert len(got[0].ids) == 4 * got[0].length
+    assert len(got[0].ids) == 2 * got[0].length
 
 
 def test_sequences_hold_the_ids_of_their_documents(spark, tokenizer):
     pieces = stored(tokenize(documents(spark), tokenizer_path(), capacity=50), "test")
     out = pack(pieces, capacity=50)
-    ids = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in sequences(out).collect()}
+    ids = {r.sequence_id: np.frombuffer(r.ids, "<u2") for r in sequences(out).collect()}
     back = {}
     for r in out.collect():
         part = ids[r.sequence_id][r.offset : r.offset + r.length]
@@ -116,13 +120,13 @@ def test_packed_rows_carry_the_ids_of_every_document(spark, tokenizer):
     for doc_id, text, *_ in rows():
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
         for k in range(0, len(ids), 2048):
-            want.append((doc_id, k, np.array(ids[k : k + 2048], "<u4").tobytes()))
+            want.append((doc_id, k, np.array(ids[k : k + 2048], "<u2").tobytes()))
     got = [(r.doc_id, r.start, bytes(r.ids)) for r in out.collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     whole = {r.sequence_id: bytes(r.ids) for r in sequences(out).collect()}
     for r in out.collect():
-        assert whole[r.sequence_id][4 * r.offset :][: 4 * r.length] == bytes(r.ids)
-        assert r.ids_crc32 == zlib.crc32(bytes(r.ids))
+        assert whole[r.sequence_id][2 * r.offset :][: 2 * r.length] == bytes(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes())
 
 
 def test_query_and_pipeline_pack_with_the_same_settings(spark, monkeypatch, tmp_path):

@@ -130,5 +130,5 @@ def test_stages_take_empty_tables_and_more_columns(spark, folder, given):
 
 def test_the_whole_run_ends_in_token_ids(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
-    assert all(len(r.ids) == 4 * r.length for r in out)
-    assert sum(bytes(r.ids).endswith(bytes(4)) for r in out) >= len({r.doc_id for r in out}) > 0
+    assert all(len(r.ids) == 2 * r.length for r in out)
+    assert sum(bytes(r.ids).endswith(bytes(2)) for r in out) >= len({r.doc_id for r in out}) > 0

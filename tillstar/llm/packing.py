@@ -8,6 +8,7 @@ no gap piles up that later pieces seldom fill.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +48,13 @@ def _apart(text: bytes) -> bytes:
     return text.replace(b". ", b" . ").replace(b", ", b" , ")
 
 
+def id_type(largest: int) -> np.dtype:
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
 class WordIds:
-    """Token ids of a text as little-endian 32-bit bytes, word by word.
+    """Token ids of a text as bytes of little-endian numbers, word by word: 16 bits wide,
+    or 32 if the vocabulary has more than 65,536 entries (``dtype``).
 
     The tokenizer folds case, drops white space and never joins across it, so a text's ids
     are those of its words, and a word met before need not be tokenized again. New words
@@ -62,6 +68,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        self.dtype = id_type(max(vocabulary.values()))
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
@@ -93,15 +100,14 @@ class WordIds:
         left = []
         for at in range(0, len(pieces), 1000):
             part = pieces[at : at + 1000]
-            ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(ends) != len(part) or not len(ids) or ends[-1] != 4 * len(ids):
+            ids = tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+            ids, wide = np.array(ids, self.dtype), self.dtype.itemsize
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * wide
+            if len(ends) != len(part) or not len(ids) or ends[-1] != wide * len(ids):
                 left += part
                 continue
-            raw, begin = ids.tobytes(), 0
-            for piece, end in zip(part, ends.tolist()):
-                self.known[piece] = raw[begin:end]
-                begin = end
+            cuts = [0, *ends.tolist()]
+            self.known.update(zip(part, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
         return left
 
     def _learn(self, words: set[str]) -> None:
@@ -109,20 +115,22 @@ class WordIds:
         for word in words.intersection(earlier):
             known[word] = earlier[word]
         words = words.difference(earlier)
-        plain = [w for w in words if w.isalpha() and w.isascii()]
-        apart = {w: self._pieces(w) for w in words.difference(plain)}
-        pieces = {p for its in apart.values() for p in its}.difference(known, plain)
-        letters = [p for p in pieces if not p.isascii() and p.isalpha()]
+        # Letters only are one piece; the rest is taken apart first.
+        whole = [w for w in words if w.isalpha()]
+        plain = [w for w in whole if w.isascii()]
+        letters = [w for w in whole if not w.isascii()]
+        apart = {w: self._pieces(w) for w in words.difference(whole)}
+        pieces = {p for its in apart.values() for p in its}.difference(known, whole)
+        more = [p for p in pieces if not p.isascii() and p.isalpha()]
         marks = [p for p in pieces if p.isascii() and "<|" not in p]
-        plain += marks
-        rest = list(pieces.difference(marks, letters))
-        rest += self._learn_together(self.merges, plain)
-        rest += self._learn_together(self.tokenizer, letters)
+        rest = list(pieces.difference(marks, more))
+        rest += self._learn_together(self.merges, plain + marks)
+        rest += self._learn_together(self.tokenizer, letters + more)
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, its in zip(part, encoded):
-                known[word] = np.array(its.ids, "<u4").tobytes()
+                known[word] = np.array(its.ids, self.dtype).tobytes()
         for word, its in apart.items():
             if word not in known:
                 known[word] = b"".join([known[p] for p in its])
@@ -143,6 +151,10 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return (values ^ (values >> np.uint64(32))).view(np.int64)
 
 
+def _checksum(ids: bytes, dtype: np.dtype) -> int:
+    return zlib.crc32(np.frombuffer(ids, dtype).astype("<u4"))
+
+
 def tokenize(
     docs: DataFrame,
     tokenizer: str,
@@ -151,24 +163,25 @@ def tokenize(
     keep: tuple[str, ...] = ("doc_id",),
     known_words: int = KNOWN_WORDS,
 ) -> DataFrame:
-    """One row per piece: the kept columns, lot, piece, start, length, ids.
+    """One row per piece: the kept columns, lot, piece, start, length, ids, ids_crc32.
 
     A document is its token ids, then ``end_id``; every ``capacity`` tokens make a piece,
     and the last one may be shorter. A null or empty text is the end id alone. Every row
     is a document of its own, also if it or its id occurs again; ``lot`` is a number of
     its own. ``tokenizer`` is the path of a tokenizer file, which executors read. Ids are
-    little-endian 32-bit bytes.
+    bytes of little-endian 16-bit numbers, of 32-bit ones if the vocabulary needs them;
+    the checksum is that of the 32-bit form in either case.
     """
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep)
-    names = [*keep, "lot", "piece", "start", "length", "ids"]
-    schema += ", lot long, piece int, start long, length long, ids binary"
+    names = [*keep, "lot", "piece", "start", "length", "ids", "ids_crc32"]
+    schema += ", lot long, piece int, start long, length long, ids binary, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"word ids {tokenizer} {known_words}"
         coder = worker_cache(name, lambda: WordIds(tokenizer, known_words))
-        end = np.array([end_id], "<u4").tobytes()
-        place, step = TaskContext.get().partitionId() << 36, 4 * capacity
+        end, wide = np.array([end_id], coder.dtype).tobytes(), coder.dtype.itemsize
+        place, step = TaskContext.get().partitionId() << 36, wide * capacity
         for batch in small_batches(batches, most=4 << 20):
             texts = [t or b"" for t in column_of(batch, "text").cast(pa.binary()).to_pylist()]
             all_ids = [ids + end for ids in coder.encode(texts)]
@@ -184,8 +197,9 @@ def tokenize(
                     pa.array(lot[row]),
                     pa.array(piece.astype(np.int32)),
                     pa.array(piece * capacity),
-                    pa.array([len(x) // 4 for x in cut], pa.int64()),
+                    pa.array([len(x) // wide for x in cut], pa.int64()),
                     pa.array(cut, pa.binary()),
+                    pa.array([_checksum(x, coder.dtype) for x in cut], pa.int64()),
                 ],
                 names=names,
             )
@@ -227,20 +241,6 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
-def _order(lot: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Whole sequences first, then the pieces in no order, and the smallest fifth last,
-    the larger first: they fill what is still open."""
-    shuffled = np.argsort(lot, kind="stable")
-    by_size = shuffled[np.argsort(-lengths[shuffled], kind="stable")]
-    last = np.zeros(len(lot), bool)
-    part = by_size[lengths[by_size] < capacity]
-    last[part[len(part) - len(part) // 5 :]] = True
-    whole = lengths[shuffled] >= capacity
-    return np.concatenate(
-        [shuffled[whole], shuffled[~whole & ~last[shuffled]], by_size[last[by_size]]]
-    )
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK) -> DataFrame:
     """Add sequence_id and offset to pieces with the columns lot and length.
 
@@ -259,7 +259,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK)
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("lot", "ascending"), ("start", "ascending")])
         lot, length = table["lot"].to_numpy(), table["length"].to_numpy()
-        order = _order(lot, length, capacity)
+        order = np.argsort(-length, kind="stable")  # the small ones fill what is still open
         sequence, offset = np.zeros(len(lot), np.int64), np.zeros(len(lot), np.int64)
         sequence[order], offset[order] = place(length[order], capacity)
         sequence += int(table["__block"][0].as_py()) << 32
