@@ -47,7 +47,7 @@ def judged(spark, pages, outcomes):
 
 def test_hosts_paths_and_rules(spark):
     pages = [(k, u, None) for k, u in enumerate(URLS)] + [(3, URLS[3], None), (None, URLS[8], "")]
-    got = judged(spark, pages, []).collect()
+    got = judged(spark, pages, []).drop("good_rate", "upper").collect()
     want = []
     for page_id, url, _ in pages:
         host, path = host_path(url)
@@ -79,6 +79,53 @@ def test_bad_hosts_are_blocked_and_new_hosts_follow_their_domain(spark):
         assert found == {"block" if "bad" in host else "allow"}, host
 
 
+def _shuffled_hosts(spark, folder):
+    """Pages of good and bad hosts and labels for most of them, as tables."""
+    pages = [(k, f"http://h{k % 5}.{'bad' if k % 3 == 0 else 'good'}{k % 4}.org/{k}", None) for k in range(600)]
+    labels = [(k, int((k % 3 != 0) != (k % 17 == 0)), 0) for k in range(600) if k % 7]
+    spark.createDataFrame(pages, PAGES).coalesce(1).write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+
+
+def test_the_method_decides_and_agrees_with_sql(spark, tmp_path):
+    import duckdb
+    from compare import differences
+
+    from tillstar.llm.queries import op2_url_reputation, oracle_sql
+
+    _shuffled_hosts(spark, tmp_path)
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    found = op2_url_reputation(spark, str(tmp_path))
+    assert differences(found, con, oracle_sql()["op2_url_reputation"]) == []
+    verdicts = {(r.host.split(".")[1][:3], r.verdict) for r in found.collect()}
+    assert verdicts == {("bad", "block"), ("goo", "allow")}
+
+
+def test_the_bound_is_near_the_quantile_of_the_posterior(spark):
+    """Against draws from the beta distribution, for hosts of every size and rate."""
+    import numpy as np
+
+    pages, outcomes = [], []
+    for h, (n, k) in enumerate([(0, 0), (1, 0), (1, 1), (5, 0), (5, 5), (40, 20), (300, 299), (300, 3)]):
+        for j in range(max(n, 1)):
+            pages.append((len(pages), f"http://h{h}.d{h}.org/{j}", None))
+            if n:
+                outcomes.append((len(pages) - 1, int(j < k)))
+    host, _ = url_reputation.host_and_path()
+    df = spark.createDataFrame(pages, PAGES).select("page_id", host.alias("host"))
+    labels = spark.createDataFrame(outcomes, "page_id long, good int")
+    rows = url_reputation.host_reputation(df, labels).collect()
+    assert len(rows) == 8
+    for r in rows:
+        assert 0 < r.good_rate < r.upper < 1
+        n, k = [(0, 0), (1, 0), (1, 1), (5, 0), (5, 5), (40, 20), (300, 299), (300, 3)][int(r.host[1])]
+        if n >= 40:  # the counts say nearly all
+            draws = np.random.default_rng(1).beta(k + 0.5, n - k + 0.5, 100_000)
+            assert abs(r.upper - np.quantile(draws, 0.95)) < 0.05
+
+
 def test_domains_and_suffixes(spark):
     domain, suffix = url_reputation.domain_and_suffix()
     hosts = ["a.b.example.com", "example.com", "com", "", "a.b.co.uk", "b.co.uk", "co.uk"]

@@ -21,7 +21,7 @@ from tillstar.llm.simhash import near_duplicates
 from tillstar.llm.url_reputation import (
     _RHO,
     _RHO_RANGE,
-    LEAST_GOOD,
+    LEAST_SHARE,
     RULES as URL_RULES,
     TWO_LABEL_SUFFIXES,
     Z,
@@ -43,7 +43,8 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome of a page is the quality that its id is labelled with."""
     labels = _table(spark, sf_dir, "labels")
     outcomes = labels.select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return judge(_table(spark, sf_dir, "pages"), outcomes)
+    judged = judge(_table(spark, sf_dir, "pages"), outcomes)
+    return judged.withColumns({c: F.round(c, 6) for c in ("good_rate", "upper")})
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,11 +304,15 @@ WITH split AS (
 {level("domain_level", "domains", "suffix_level", "suffix")},
 {level("host_level", "hosts", "domain_level", "domain")},
 reputation AS (
-  SELECT host, mean + {Z} * sqrt(mean * (1 - mean) / (strength + n + 1)) AS upper FROM host_level
+  SELECT host, h.mean AS good_rate, e.mean AS all_pages,
+         strength * prior + h.k AS a, strength * (1 - prior) + h.n - h.k AS b,
+         1 / (1 + exp(-(ln(a / b) + {Z} * sqrt(1 / a + 1 / b)))) AS upper
+  FROM host_level h, everything e
 )
 SELECT page_id, host, path, {case(lambda v, h, p: h + p)} AS rule,
        coalesce({case(lambda v, h, p: v)},
-                CASE WHEN upper < {LEAST_GOOD} THEN 'block' ELSE 'allow' END) AS verdict
+                CASE WHEN upper < {LEAST_SHARE} * all_pages THEN 'block' ELSE 'allow' END) AS verdict,
+       round(good_rate, 6) AS good_rate, round(upper, 6) AS upper
 FROM split JOIN reputation USING (host)"""
 
 

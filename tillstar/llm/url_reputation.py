@@ -4,7 +4,7 @@ Labelled pages are good or bad. The good rate of a host is shrunk towards that o
 registered domain, the domain's towards its suffix, the suffix's towards all pages, each
 by a beta-binomial prior whose strength is estimated from how much the rates of one level
 differ within the next. A host is blocked when even the upper bound of its posterior good
-rate is low. All of it is DataFrame operations.
+rate is low beside the rate of all pages. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ TWO_LABEL_SUFFIXES = (
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = "://([^/?#]*)([^?#]*)"
-# Standard deviations above the mean; the good rate below which a host is blocked.
-Z, LEAST_GOOD = 1.64, 0.5
+# Standard deviations of the upper bound, and the share of the good rate of all pages below
+# which it lies for a host that is blocked.
+Z, LEAST_SHARE = 1.64, 0.6
 # Intraclass correlations are kept between these; one that cannot be estimated is _RHO.
 _RHO_RANGE, _RHO = (0.001, 0.5), 0.1
 
@@ -115,7 +116,10 @@ def _posterior_mean(strength: float) -> Column:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """(host, mean, upper) for every host of the pages (page_id, host).
+    """(host, good_rate, upper, all_pages) for every host of the pages (page_id, host): the
+    mean and upper bound of its posterior good rate, and the good rate of all pages. The
+    bound is taken on the log-odds, where a beta distribution is nearly normal, so that it
+    lies between 0 and 1.
 
     ``outcomes``: (page_id, good) with good 0 or 1; of several for one id the worst
     counts, and a null one is none. Hosts without labelled pages take over their domain's
@@ -146,21 +150,27 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         parents = stored(below.withColumn("mean", _posterior_mean(_strength(below))), "level")
         below = _with_parent(children, parents, key)
     strength = _strength(below)
-    mean = _posterior_mean(strength)
-    deviation = F.sqrt(mean * (1 - mean) / (F.lit(strength) + F.col("n") + 1))
-    return below.select("host", mean.alias("mean"), (mean + Z * deviation).alias("upper"))
+    good = F.lit(strength) * F.col("prior") + F.col("k")
+    bad = F.lit(strength) * (1 - F.col("prior")) + F.col("n") - F.col("k")
+    odds = F.log(good / bad) + Z * F.sqrt(1 / good + 1 / bad)
+    return below.select(
+        "host",
+        _posterior_mean(strength).alias("good_rate"),
+        (1 / (1 + F.exp(-odds))).alias("upper"),
+        F.lit(mean).alias("all_pages"),
+    )
 
 
 def judge(
     pages: DataFrame,
     outcomes: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    least_good: float = LEAST_GOOD,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict.
+    """One row per page: page_id, host, path, rule, verdict, good_rate, upper.
 
     The verdict is the longest fitting rule's, else ``block`` where the upper bound of the
-    host's good rate is below ``least_good``, else ``allow``. Urls without a host share
+    host's good rate is below ``least_share`` of the rate of all pages, else ``allow``. Urls without a host share
     the empty host; repeated rows and null ids are judged like any other and count as
     pages of their host.
     """
@@ -168,7 +178,14 @@ def judge(
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
     reputation = stored(host_reputation(pages.select("page_id", "host"), outcomes), "reputation")
     rule, verdict = matching_rule(rules)
-    method = F.when(F.col("upper") < least_good, F.lit("block")).otherwise(F.lit("allow"))
+    low = F.col("upper") < least_share * F.col("all_pages")
+    method = F.when(low, F.lit("block")).otherwise(F.lit("allow"))
     return pages.join(reputation, "host").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict")
+        "page_id",
+        "host",
+        "path",
+        rule.alias("rule"),
+        F.coalesce(verdict, method).alias("verdict"),
+        "good_rate",
+        "upper",
     )
