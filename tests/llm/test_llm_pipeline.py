@@ -37,9 +37,9 @@ def test_queries_without_sql_return_every_row(spark, name):
     assert out.select("doc_id").distinct().count() == docs.count()
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in registry.queries() and len(corpus_pipeline.STAGES) == 5
 
 
@@ -132,3 +132,11 @@ def test_the_whole_run_ends_in_token_ids(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     assert all(len(r.ids) == 2 * r.length for r in out)
     assert sum(bytes(r.ids).endswith(bytes(2)) for r in out) >= len({r.doc_id for r in out}) > 0
+
+
+def test_a_written_run_leaves_nothing_in_the_shared_folder(spark, folder, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    corpus_pipeline.write(spark, folder, str(tmp_path / "packed"))
+    assert set(os.listdir(root)) == before
+    assert spark.read.parquet(str(tmp_path / "packed")).count() > 0
