@@ -180,6 +180,7 @@ class Block:
         self.aligner = aligner
         self.number: dict[str, int] = {}
         self.records: list[tuple] = []
+        self.texts: list[str] = []  # the groups of each part
         self.rows: list[list[np.ndarray]] = [[] for _ in texts]
         self.groups: list[list[str]] = [[] for _ in texts]
         broken: set[int] = set()
@@ -205,6 +206,7 @@ class Block:
         number = self.number.setdefault(part, len(self.records))
         if number == len(self.records):
             self.records.append(record)
+            self.texts.append(record[3])
         return number
 
     def _take(self, waiting: list[tuple[int, list[str]]], broken: set[int]) -> None:
@@ -222,7 +224,7 @@ class Block:
                 broken.add(row)
                 continue
             self.rows[row].append(found)
-            self.groups[row].append(";".join([record_of[p][3] for p in parts]))
+            self.groups[row].append(";".join(map(self.texts.__getitem__, found.tolist())))
 
     def columns(self) -> dict[str, list]:
         """Counts, groups and part numbers per document; and in the first row the block's
