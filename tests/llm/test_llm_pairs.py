@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 import xxhash
 from cases import classes, crowded, documents, lower, rows, words
+from pyspark.sql import functions as F
 
-from tillstar.llm import minhash, simhash
+from tillstar.llm import minhash, minhash_classes, simhash
 from tillstar.llm.components import components
 
 
@@ -146,8 +147,9 @@ def test_empty_tables(spark):
     docs = documents(spark, [])
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.keep_one(docs, simhash.near_duplicates(docs)).count() == 0
-    assert minhash.near_duplicates(docs).count() == 0
-    assert minhash.compare_with_next(docs).count() == 0
+    classes_ = minhash_classes.text_classes(docs)
+    assert classes_.count() == 0
+    assert minhash.compare_with_next(docs, classes_).count() == 0
     assert minhash.fingerprints(docs).count() == 0
 
 
@@ -182,7 +184,12 @@ def test_minhash_with_edits_and_the_next_document(spark, per_part):
         edited = text[: len(text) - n] + after[:n]
         digest = hashlib.sha256(edited.encode()).hexdigest()
         want.append((order[k][0], len(text), digest, jaccard(text, edited), jaccard(text, after)))
-    got = minhash.compare_with_next(crowded(given), per_part=per_part).collect()
+    kinds = minhash_classes.text_classes(crowded(given))
+    group = {(r.doc_id, r.text_hash): r.component_id for r in kinds.collect()}
+    got = minhash.compare_with_next(crowded(given), kinds, per_part=per_part).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted(
+        ((r[0], group[r[0], tie[r[1]]]) for r in rows()), key=repr
+    )
     assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == sorted(
         (w[:3] for w in want), key=repr
     )
@@ -208,5 +215,53 @@ def test_minhash_classes_equal_brute_force(spark):
     given = [r for r in rows() if r[1] is not None]
     root = classes(len(given), lambda i, j: jaccard(given[i][1], given[j][1]) >= 0.8)
     ids = [r[0] for r in given]
-    got = minhash.near_duplicates(crowded(documents(spark, given))).collect()
+    got = minhash_classes.near_duplicates(crowded(documents(spark, given))).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(zip(ids, smallest(ids, root)), key=repr)
+
+
+def template(r, n, changes):
+    """Texts that share most words of one template: many bands agree, not all are alike."""
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(r.choice(changes)):
+            text[r.randrange(len(text))] = f"x{r.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_texts_that_share_bands_without_being_alike(spark):
+    r = random.Random(8)
+    texts = template(r, 60, (1, 2, 4, 6)) + template(r, 60, (4, 5, 6)) + ["lone words"] * 40 + [""] * 3
+    r.shuffle(texts)
+    sets = [shingles(t) for t in texts]
+
+    def alike(i, j):
+        both = len(sets[i] | sets[j])
+        return len(sets[i] & sets[j]) >= 0.8 * both if both else True
+
+    root = classes(len(texts), alike)
+    docs = documents(spark, [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)])
+    got = minhash_classes.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got)) == sorted(zip(range(len(texts)), smallest(list(range(len(texts))), root)))
+    assert 10 < len(set(root)) < 150
+
+
+def test_every_node_of_an_open_bucket_becomes_a_hub(spark):
+    """One bucket of nodes on a line: only neighbours link, and 59 and 60 do not."""
+    n = 100
+    members = spark.createDataFrame([(7, 0, b) for b in range(1, n)], "key long, a long, b long")
+    gap = F.abs(F.col("a") - F.col("b"))
+    near = F.when((gap <= 1) & (F.greatest("a", "b") != 60), 1.0).otherwise(0.0).alias("similarity")
+    roots = minhash_classes.connect(members, lambda pairs: pairs.select("a", "b", near), 0.8)
+    got = {r.node: r.root for r in roots.collect()}
+    assert got == {k: 0 if k < 60 else 60 for k in range(n)}
+
+
+def test_a_hub_of_many_pairs_is_split(spark, monkeypatch):
+    monkeypatch.setattr(minhash_classes, "PER_HUB", 3)
+    r = random.Random(9)
+    texts = template(r, 30, (1, 2))
+    docs = documents(spark, [(k % 25, t, "en", "s", 1) for k, t in enumerate(texts * 2)])
+    assert {r.component_id for r in minhash_classes.near_duplicates(docs).collect()} == {0}

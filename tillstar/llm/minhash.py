@@ -1,4 +1,4 @@
-"""MinHash fingerprints, their comparison, and near-duplicate classes.
+"""MinHash fingerprints and their comparison; ``minhash_classes`` groups texts with them.
 
 A text's words, A-Z in lower case, make overlapping shingles of five. Each of many
 universal hash functions permutes the shingles; the smallest value of each is a component
@@ -15,15 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from tillstar.llm.common import column_of, small_batches, stored, text_buffer, text_or_empty
-from tillstar.llm.components import components
 
 WORDS = 5
 COMPONENTS = 128
-BANDS, BAND_ROWS = 25, 5
-SIMILAR = 0.8
 # Documents in a range of ids, and how many ranges there are at most.
 PER_PART, MOST_PARTS = 2_000, 10_000
 _SEED = 42
@@ -131,7 +127,10 @@ def _hex(signatures: np.ndarray) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, count: int = COMPONENTS) -> DataFrame:
-    """(doc_id, fingerprint) of every row: the signature as hex digits, four a component."""
+    """(doc_id, fingerprint) of every row: the signature as hex digits, four a component.
+
+    A null text counts as empty; a text without words has a signature of ones only.
+    """
     docs = docs.select("doc_id", "text")
     schema = docs.drop("text").withColumn("fingerprint", F.lit("")).schema
 
@@ -168,13 +167,14 @@ def _part(bounds: list[int]) -> Column:
     return F.coalesce(part, F.lit(0)).cast("int")
 
 
-def _in_order(docs: DataFrame, per_part: int) -> DataFrame:
+def _in_order(docs: DataFrame, classes: DataFrame, per_part: int) -> DataFrame:
     """Documents dealt by ranges of doc_id, each range followed by the next one's first.
 
     The bounds are fixed before anything is dealt, one for ``per_part`` documents but at
     most MOST_PARTS, so that bounds and first rows stay small; a range is sorted on disk
     and streamed, however long it is. The first document of a range is found by its id,
-    so no text waits for another task.
+    so no text waits for another task. Texts travel compressed. A row of its class, with
+    no size and no text, goes before each document.
     """
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     parts = min(max(1, -(-docs.count() // per_part)), MOST_PARTS)
@@ -203,28 +203,90 @@ def _in_order(docs: DataFrame, per_part: int) -> DataFrame:
         F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tie").alias("tie")
     )
     heads = heads.select("doc_id", "text", F.col("before").alias("part"), "tie", F.lit(1).alias("head"))
-    rows = rows.withColumn("head", F.lit(0)).unionByName(heads)
+    rows = _compressed(rows.withColumn("head", F.lit(0)).unionByName(heads))
+    labels = classes.select(
+        "doc_id", _part(bounds).alias("part"), F.col("text_hash").alias("tie"), F.lit(0).alias("head"),
+        "component_id",
+    )
+    rows = rows.unionByName(labels, allowMissingColumns=True)
+    order += [F.col("size").asc_nulls_first()]
     return rows.repartition(parts, "part").sortWithinPartitions("part", "head", *order)
 
 
+def _compressed(rows: DataFrame) -> DataFrame:
+    """The text column as Zstandard bytes, beside its size in bytes."""
+    schema = rows.drop("text").schema.add("size", "long").add("text", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            raw = column_of(batch, "text").cast(pa.binary()).to_pylist()
+            found = {
+                "size": pa.array([len(x) for x in raw], pa.int64()),
+                "text": pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in raw], pa.binary()),
+            }
+            names = [f.name for f in schema]
+            columns = [found[n] if n in found else column_of(batch, n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _restored(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list, list, list]]:
+    """(doc_id, text, head, component_id) of documents, in lists of about ``most`` bytes of
+    text. A class belongs to the documents after it that share its doc_id and tie."""
+    label = None
+    for batch in batches:
+        sizes = column_of(batch, "size").to_pylist()
+        ids, ties = column_of(batch, "doc_id").to_pylist(), column_of(batch, "tie").to_pylist()
+        heads, groups = column_of(batch, "head").to_pylist(), column_of(batch, "component_id").to_pylist()
+        packed, at = column_of(batch, "text"), []
+        texts, kept, total = [], [], 0
+
+        def out():
+            taken = column_of(batch, "doc_id").take(pa.array(at, pa.int64()))
+            return taken, texts, [heads[k] for k in at], kept
+
+        for k, size in enumerate(sizes):
+            if size is None:
+                label = (ids[k], ties[k], groups[k])
+                continue
+            if at and total + size > most:
+                yield out()
+                at, texts, kept, total = [], [], [], 0
+            raw = pa.decompress(packed[k].as_buffer(), size, codec="zstd", asbytes=True) if size else b""
+            at.append(k)
+            texts.append(raw.decode("utf-8"))
+            own = label is not None and label[:2] == (ids[k], ties[k])
+            kept.append(label[2] if own else None)
+            total += size
+        if at:
+            yield out()
+
+
 def compare_with_next(
-    docs: DataFrame, words: int = WORDS, count: int = COMPONENTS, per_part: int = PER_PART
+    docs: DataFrame,
+    classes: DataFrame,
+    words: int = WORDS,
+    count: int = COMPONENTS,
+    per_part: int = PER_PART,
 ) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how alike they are.
 
     The edited text ends, instead of in the last quarter of the code points, in the first
     as many of the next document by doc_id (all, if it has fewer); the first follows the
     last. Null ids come first and ties go by a hash of the text. A null text counts as
-    empty. Repeated rows follow each other.
+    empty. Repeated rows follow each other. ``component_id`` comes from ``classes``, a row
+    (doc_id, text_hash, component_id) per document as ``text_classes`` returns them.
     """
     ids = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {ids}, n_chars long, edited_sha256 string, fingerprint string,"
-        " edited_fingerprint string, near_edited double, near_next double"
+        " edited_fingerprint string, near_edited double, near_next double,"
+        f" component_id {ids}"
     )
     names = [f.split()[0] for f in schema.split(", ")]
 
-    def out(hasher, doc_ids, texts, following):
+    def out(hasher, doc_ids, texts, following, groups):
         edited = []
         for text, after in zip(texts, following):
             k = len(text) // 4
@@ -241,6 +303,7 @@ def compare_with_next(
                 pa.array(_hex(changed)),
                 pa.array(likeness(own[:-1], changed)),
                 pa.array(likeness(own[:-1], own[1:])),
+                pa.array(groups, doc_ids.type),
             ],
             names=names,
         )
@@ -248,116 +311,21 @@ def compare_with_next(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(words, count)
         waiting = None  # the last row so far: its successor is in the next batch
-        for batch in small_batches(batches, most=_CHUNK):
-            doc_ids, texts = column_of(batch, "doc_id"), column_of(batch, "text").to_pylist()
-            heads = column_of(batch, "head").to_pylist()
+        for doc_ids, texts, heads, groups in _restored(batches, _CHUNK):
             if waiting is not None:
                 doc_ids = pa.concat_arrays([waiting[0], doc_ids])
-                texts, heads = [waiting[1], *texts], [waiting[2], *heads]
+                texts, heads = [waiting[1], *texts], [0, *heads]
+                groups = [waiting[2], *groups]
             # Runs of documents, each with the row after it; a head has no successor.
             start = 0
             for stop in [*np.flatnonzero(heads).tolist(), len(texts) - 1]:
                 if stop > start:
                     yield out(
                         hasher, doc_ids.slice(start, stop - start),
-                        texts[start:stop], texts[start + 1 : stop + 1],
+                        texts[start:stop], texts[start + 1 : stop + 1], groups[start:stop],
                     )
                 start = stop + 1 if heads[stop] else stop
             ended = bool(heads[-1])
-            waiting = None if ended else (doc_ids.slice(len(texts) - 1), texts[-1], 0)
-
-    return _in_order(docs, per_part).mapInArrow(run, schema)
-
-
-# --- near-duplicate classes -----------------------------------------------------------
-
-
-def _jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the exact similarity of their shingle sets."""
-    named = [
-        sets.select(F.col("text_hash").alias(c), F.col("shingles").alias(f"set_{c}"))
-        for c in ("a", "b")
-    ]
-    both = pairs.join(named[0], "a").join(named[1], "b")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    all_ = F.size("set_a") + F.size("set_b") - shared
-    similarity = F.when(all_ > 0, shared / all_).otherwise(F.lit(1.0))
-    return both.select("a", "b", similarity.alias("similarity"))
-
+            waiting = None if ended else (doc_ids.slice(len(texts) - 1), texts[-1], groups[-1])
 
-def near_duplicates(
-    docs: DataFrame,
-    similar: float = SIMILAR,
-    words: int = WORDS,
-    bands: int = BANDS,
-    band_rows: int = BAND_ROWS,
-) -> DataFrame:
-    """(doc_id, component_id): documents linked by texts at least ``similar`` alike.
-
-    Equal texts are one node. Nodes meet where a band of their signatures agrees, which
-    at similarity 0.8 at least one band does with a probability of 0.99995. In every
-    bucket each node is verified with the bucket's lowest, its hub, by exact Jaccard
-    similarity of the shingle sets. Nodes that link to the hub are connected already; the
-    others are verified with all nodes of the bucket. So no link that a band shows is
-    lost, and a large group of copies takes one comparison per member. ``component_id``
-    is the smallest doc_id in reach; null ids are never the smallest.
-    """
-    count = bands * band_rows
-    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), "text")
-    longs = ArrayType(LongType())
-    schema = rows.drop("text").schema.add("bands", longs).add("shingles", longs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(words, count)
-        for batch in small_batches(batches, most=_CHUNK):
-            column = column_of(batch, "text")
-            signatures = hasher.signatures(column).astype(np.uint64)
-            keys = np.zeros((len(signatures), bands), np.uint64)
-            for k in range(band_rows):
-                keys = _mix(keys * np.uint64(_BASE) + signatures[:, k::band_rows] + np.uint64(1))
-            hashed, n = hasher.shingles(column)
-            sets = [np.unique(x).view(np.int64) for x in np.split(hashed, np.cumsum(n)[:-1])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    column_of(batch, "doc_id"),
-                    column_of(batch, "text_hash"),
-                    pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                    pa.array(sets, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "text_hash", "bands", "shingles"],
-            )
-
-    prints = stored(rows.mapInArrow(run, schema), "signatures")
-    texts = stored(
-        prints.groupBy("text_hash").agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("bands").alias("bands"),
-            F.first("shingles").alias("shingles"),
-        ),
-        "texts",
-    )
-    sets = texts.select("text_hash", "shingles")
-    members = texts.select("text_hash", F.posexplode("bands").alias("band", "key"))
-    hubs = members.groupBy("band", "key").agg(F.min("text_hash").alias("a"), F.count("*").alias("n"))
-    hubs = stored(hubs.where("n > 1").drop("n"), "hubs")
-    members = stored(
-        members.join(hubs, ["band", "key"]).withColumnRenamed("text_hash", "b"), "members"
-    )
-    tried = _jaccard(members.where("a <> b").select("a", "b").distinct(), sets)
-    tried = stored(tried, "tried")
-    linked = tried.where(F.col("similarity") >= similar).select("a", "b")
-    others = members.where("a <> b").join(linked, ["a", "b"], "left_anti")
-    others = others.select("band", "key", F.col("b").alias("x"))
-    more = others.join(members.select("band", "key", F.col("b").alias("y")), ["band", "key"])
-    more = more.where("x <> y").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    )
-    more = more.distinct().join(tried, ["a", "b"], "left_anti")
-    more = _jaccard(more, sets).where(F.col("similarity") >= similar).select("a", "b")
-    links = linked.union(more).select(F.col("b").alias("a"), F.col("a").alias("b"))
-    roots = components(links).withColumnRenamed("node", "text_hash")
-    known = stored(texts.select("text_hash", "doc_id").join(roots, "text_hash", "left"), "roots")
-    known = known.withColumn("root", F.coalesce("root", "text_hash"))
-    lowest = stored(known.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
-    label = stored(known.join(lowest, "root").select("text_hash", "component_id"), "labels")
-    return prints.select("doc_id", "text_hash").join(label, "text_hash").drop("text_hash")
+    return _in_order(docs, classes, per_part).mapInArrow(run, schema)

@@ -12,6 +12,7 @@ from tillstar.llm import alignment, centroids, merge_replay
 from tillstar.llm.common import stored
 from tillstar.llm.decision_list import filter_quality, learn_rules, text_statistics
 from tillstar.llm.minhash import compare_with_next
+from tillstar.llm.minhash_classes import text_classes
 from tillstar.llm.mixing import PER_SPLIT, plan_copies
 from tillstar.llm.nbsvm import THRESHOLD, fit, fold, score
 from tillstar.llm.packing import pack, tokenize
@@ -83,7 +84,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_with_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compare_with_next(docs, stored(text_classes(docs), "classes"))
 
 
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
