@@ -111,7 +111,8 @@ def connect(members: DataFrame, verify: Callable[[DataFrame], DataFrame], simila
     whatever bucket, is done. In others, more of the lowest nodes become hubs, eight times
     as many each time, and are verified with the higher nodes of other classes, until all
     is connected or every node was a hub. So no link between classes is lost; nodes of a
-    large group of copies are compared once.
+    large group of copies are compared once. The price: many nodes that share a bucket
+    without being alike are compared in pairs, which grows with the square of the bucket.
     """
     tried = stored(verify(stored(members.select("a", "b").distinct(), "pairs")), "tried")
     each = F.explode(F.array("a", "b")).alias("node")
