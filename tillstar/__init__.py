@@ -4,6 +4,7 @@ from tillstar.plans import (
     METRICS,
     build_fact,
     metric_from_tables,
+    refresh_months,
     run_batch,
     run_metrics,
     write_outputs,
@@ -17,6 +18,7 @@ __all__ = [
     "build_fact",
     "load_tables",
     "metric_from_tables",
+    "refresh_months",
     "run_batch",
     "run_metrics",
     "star_tables",

@@ -11,7 +11,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tillstar.plans import BatchOutput, run_batch
+from tillstar.plans import BatchOutput, refresh_months, run_batch
 from tillstar.sources import load_tables
 
 
@@ -22,6 +22,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source-format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--by-month", action="store_true", help="lay the fact table out by month")
+    parser.add_argument(
+        "--refresh", nargs="+", metavar="YYYY-MM",
+        help="bring these months of an earlier Parquet run by month up to date; the fact stays Parquet",
+    )
     parser.add_argument("--results", nargs="*", metavar="NAME", help="results to store (default: all)")
     parser.add_argument(
         "--size", nargs="*", default=[], metavar="NAME=N", help="length of a list, depth of a ranking"
@@ -41,24 +45,34 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Ba
     session = spark or SparkSession.builder.appName("tillstar").getOrCreate()
     try:
         read = {"multi_line": args.multi_line} if args.source_format == "csv" else {}
-        out = run_batch(
-            session,
-            load_tables(session, args.source, args.source_format, **read),
-            args.destination,
+        tables = load_tables(session, args.source, args.source_format, **read)
+        common = dict(
             fmt=args.format,
-            by_month=args.by_month,
             names=args.results,
             sizes={name: int(n) for name, n in (s.split("=", 1) for s in args.size)},
             with_index=args.index,
-            keep_staged=args.keep_staged,
-            counted=args.counted,
             normalize_status_first=args.normalize_status_first,
             null_totals=args.null_totals,
         )
+        if args.refresh:
+            months = [tuple(map(int, month.split("-"))) for month in args.refresh]
+            out = refresh_months(session, tables, args.destination, months, **common)
+        else:
+            out = run_batch(
+                session,
+                tables,
+                args.destination,
+                by_month=args.by_month,
+                keep_staged=args.keep_staged,
+                counted=args.counted,
+                **common,
+            )
         for path in (out.fact, out.staged_fact, *out.results.values()):
             if path:
                 print(path)
-        for table in (out.audit, out.row_counts) if args.counted else ():
+        for table in (out.audit, out.row_counts):
+            if table is None:
+                continue
             for row in table.toLocalIterator():
                 print(*row, sep="\t")
         return out

@@ -9,6 +9,7 @@ from tillstar.plans.fine import (
     running_total_from_tables,
 )
 from tillstar.plans.metrics import METRICS, metric_from_tables, run_metrics
+from tillstar.plans.refresh import refresh_months
 from tillstar.plans.rollups import (
     customer_sales,
     order_sales,
@@ -26,6 +27,7 @@ __all__ = [
     "metric_from_tables",
     "order_sales",
     "product_sales",
+    "refresh_months",
     "rollup_fact",
     "run_batch",
     "run_metrics",

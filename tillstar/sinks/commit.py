@@ -18,6 +18,8 @@ from pyspark.sql import SparkSession
 from tillstar.shared import file_system, remove_path
 
 _WRITING, _COMPLETE, _REPLACED = "_writing-", "_complete-", "_replaced"
+# Below this folder of a run lie tables of which only the partitions are replaced.
+PARTS = "_parts"
 _ONE_AT_A_TIME = threading.Lock()
 
 
@@ -37,18 +39,36 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
 
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    """The folders ``column=value/...`` of a table that hold no further ones."""
+    inner = [c for c in _children(spark, table) if "=" in c]
+    return [
+        f"{c}/{below}" if below else c
+        for c in inner
+        for below in _partitions(spark, f"{table}/{c}") or [""]
+    ]
+
+
 def _move_in(spark: SparkSession, destination: str, complete: str) -> None:
-    """Put complete tables in their places. Done again after a failure, it goes on where
-    it stopped: a table is in its place or still in the folder, never in neither."""
+    """Put complete tables and partitions in their places. Done again after a failure, it
+    goes on where it stopped: each is in its place or still in the folder, never in
+    neither."""
     place = f"{destination}/{complete}"
     replaced, files = file_system(spark, f"{place}/{_REPLACED}")
     files.mkdirs(replaced)
+
+    def move(old: str, new: str) -> None:
+        if _exists(spark, new):
+            _rename(spark, new, f"{place}/{_REPLACED}/{uuid.uuid4().hex}")
+        files.mkdirs(file_system(spark, new)[0].getParent())
+        _rename(spark, old, new)
+
     for name in _children(spark, place):
-        if name == _REPLACED:
-            continue
-        if _exists(spark, f"{destination}/{name}"):
-            _rename(spark, f"{destination}/{name}", f"{place}/{_REPLACED}/{name}-{uuid.uuid4().hex}")
-        _rename(spark, f"{place}/{name}", f"{destination}/{name}")
+        if name not in (_REPLACED, PARTS):
+            move(f"{place}/{name}", f"{destination}/{name}")
+    for table in _children(spark, f"{place}/{PARTS}"):
+        for part in _partitions(spark, f"{place}/{PARTS}/{table}"):
+            move(f"{place}/{PARTS}/{table}/{part}", f"{destination}/{table}/{part}")
     remove_path(spark, place)
 
 
@@ -78,7 +98,8 @@ def discard(spark: SparkSession, destination: str) -> list[str]:
 @contextmanager
 def staged(spark: SparkSession, destination: str) -> Iterator[str]:
     """A folder to write tables to. They replace those of the same names below the
-    destination, all together, when the block ends; if it fails nothing changes."""
+    destination, all together, when the block ends; if it fails nothing changes. Tables
+    written below its folder PARTS replace only the partitions they have."""
     destination = destination.rstrip("/")
     finish(spark, destination)
     run = uuid.uuid4().hex
