@@ -1,3 +1,5 @@
+import json
+import time
 import zlib
 
 import numpy as np
@@ -5,7 +7,7 @@ import pytest
 from cases import crowded, documents, rows
 
 from tillstar.llm.common import stored
-from tillstar.llm.packing import WordIds, id_type, pack, place, sequences, tokenize
+from tillstar.llm.packing import WordIds, id_type, merges_by_entry, pack, place, sequences, tokenize
 from tillstar.llm.queries import packed, tokenizer_path
 
 
@@ -24,22 +26,61 @@ ODD = [
 ]
 
 
-def test_ids_by_word_are_the_ids_of_the_text(tokenizer):
+@pytest.mark.parametrize("by_entry", [True, False])
+def test_ids_by_word_are_the_ids_of_the_text(tokenizer, by_entry):
     texts = [*ODD, *(r[1] or "" for r in rows())]
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     for most in (600_000, 3):
-        coder = WordIds(tokenizer_path(), most)
+        coder = WordIds(tokenizer_path(), most, by_entry)
         for _ in range(2):
             got = [np.frombuffer(coder.encode([t.encode()])[0], coder.dtype).tolist() for t in texts]
             assert got == want
-    coder = WordIds(tokenizer_path(), 100)
+    coder = WordIds(tokenizer_path(), 100, by_entry)
     assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])] == want
-    coder = WordIds(tokenizer_path(), 100)
+    coder = WordIds(tokenizer_path(), 100, by_entry)
     coder.dtype = np.dtype("<u4")  # as for a larger vocabulary
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])] == want
     assert [id_type(n).itemsize for n in (49407, 65535, 65536)] == [2, 2, 4]
 
 
+def test_every_latin_letter_and_every_entry(tokenizer):
+    letters = [chr(c) for c in range(0x250)]
+    entries = [t.removesuffix("</w>") for t in tokenizer.get_vocab()]
+    random = np.random.default_rng(6)
+    mixed = ["".join(random.choice([x for x in letters if x.isalpha()], 9)) for _ in range(3000)]
+    coder = WordIds(tokenizer_path(), 10**6, True)
+    for text in (" ".join(letters), " ".join(f"a{x}B" for x in letters), " ".join(entries), " ".join(mixed)):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode([text.encode()])[0], coder.dtype).tolist() == want
+
+
+def test_one_very_long_piece_takes_no_longer_than_its_length_asks_for(tokenizer):
+    text = "".join(np.random.default_rng(7).choice(list("abcdeé"), 400_000))
+    begun = time.process_time()
+    got = WordIds(tokenizer_path(), 10, True).encode([text.encode()])[0]
+    assert time.process_time() - begun < 20
+    assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_merging_by_entries_is_refused_where_it_differs(tmp_path):
+    given = json.load(open(tokenizer_path()))
+    assert merges_by_entry(tokenizer_path())
+    single = [t for t, k in sorted(given["model"]["vocab"].items(), key=lambda x: x[1])[:512]]
+
+    def answer(merges, entries=single):
+        tokens = [*entries, *dict.fromkeys("".join(m) for m in merges)]
+        model = given["model"] | {"vocab": {t: k for k, t in enumerate(tokens)}, "merges": merges}
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        path.write_text(json.dumps(given | {"model": model}))
+        return merges_by_entry(str(path))
+
+    assert answer([]) and answer([["a", "b"], ["ab", "c</w>"]])
+    assert answer([["a", "b"], ["b", "c"], ["ab", "c"]])
+    assert not answer([["a", "b"], ["b", "c"], ["a", "bc"]])  # abc becomes ab and c
+    assert not answer([["a", "b"], ["b", "c"], ["ab", "c"], ["a", "bc"]])  # two merges, one entry
+    assert not answer([["a", "b"]], single[:-1])  # a byte without an entry
+
+
 def test_pieces_and_places(spark, tokenizer):
     got = packed(crowded(documents(spark))).collect()
     want = []

@@ -7,9 +7,11 @@ no gap piles up that later pieces seldom fill.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import column_of, small_batches, worker_cache
+from tillstar.llm.alignment import byte_level_tokens
+from tillstar.llm.common import LETTERS, column_of, small_batches, worker_cache
 
 CAPACITY = 2048
 # Pieces that one task packs. A task ends with a few sequences not full.
@@ -27,6 +30,9 @@ PER_TASK = 50_000
 KNOWN_WORDS = 300_000
 
 
+# Letters that the tokenizer only brings into lower case, one by one. The capital I with a
+# dot becomes two characters.
+_LATIN = re.compile(rf"(?!.*İ)[{LETTERS}]+")
 # What the tokenizer takes apart before it merges, for ASCII text in lower case.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 _ENDS = ".,;:!?()*$%&#|"
@@ -52,19 +58,72 @@ def id_type(largest: int) -> np.dtype:
     return np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
 
+def _entries(path: str) -> tuple[dict[str, bytes], dict[str, int], list[tuple[str, str]]]:
+    """The entries of a tokenizer file, as the bytes they stand for and a line break where a
+    word ends, and as numbers; its merges in order."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    numbers = model["vocab"]
+    ending = {t for t in numbers if t.endswith("</w>")}
+    inside = byte_level_tokens({t: k for t, k in numbers.items() if t not in ending})
+    at_end = byte_level_tokens({t.removesuffix("</w>"): numbers[t] for t in ending} or {"": 0})
+    bytes_of = {t: at_end[k] + b"\n" if t in ending else inside[k] for t, k in numbers.items()}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    return bytes_of, numbers, merges
+
+
+def _ranks(bytes_of: dict[str, bytes], merges: list[tuple[str, str]]) -> dict[bytes, int]:
+    """The order of merging: bytes, bytes with the end of a word, then the merges."""
+    single = [bytes([b]) for b in range(256)]
+    made = (bytes_of[left] + bytes_of[right] for left, right in merges)
+    return {token: rank for rank, token in enumerate([*single, *(b + b"\n" for b in single), *made])}
+
+
+@lru_cache
+def merges_by_entry(path: str) -> bool:
+    """Whether two parts may be merged whenever an entry is what they make together.
+
+    So it is if each entry has one merge, and its bytes, by the merges before that one,
+    become the two parts of that merge: what lies within an entry's bytes, and was not
+    merged with what lies outside, is merged as if it were alone.
+    """
+    bytes_of, _, merges = _entries(path)
+    ranks = _ranks(bytes_of, merges)
+    # As many as there are numbers: no two are the same.
+    if len(ranks) < 512 + len(merges) or set(ranks) - {b"\n"} - set(bytes_of.values()):
+        return False
+    for rank, (left, right) in enumerate(merges, 512):
+        token = bytes_of[left] + bytes_of[right]
+        if token != bytes_of.get(left + right) or b"\n" in token[:-1]:
+            return False
+        parts = [token[k : k + 1] for k in range(len(token))]
+        while len(parts) > 1:
+            made = [ranks.get(x + y, rank) for x, y in zip(parts, parts[1:])]
+            k = min(range(len(made)), key=made.__getitem__)
+            if made[k] >= rank:
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        if parts != [bytes_of[left], bytes_of[right]]:
+            return False
+    return True
+
+
 class WordIds:
     """Token ids of a text as bytes of little-endian numbers, word by word: 16 bits wide,
     or 32 if the vocabulary has more than 65,536 entries (``dtype``).
 
     The tokenizer folds case, drops white space and never joins across it, so a text's ids
     are those of its words, and a word met before need not be tokenized again. New words
-    are taken apart into the pieces that are merged by themselves; many new pieces are
-    tokenized in one call and told apart by the tokens that end a piece. What does not
-    come apart that simply is tokenized as it is.
+    are taken apart into the pieces that are merged by themselves. Pieces of Latin letters
+    or ASCII marks are merged together in one call by a faster library, each with a line
+    break at its end, if ``by_entry`` says that entries tell how to (``merges_by_entry``).
+    Other letters are tokenized together and told apart by the tokens that end a piece.
+    What does not come apart that simply is tokenized as it is.
     """
 
-    def __init__(self, path: str, most: int):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    def __init__(self, path: str, most: int, by_entry: bool):
+        import tiktoken
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
@@ -72,15 +131,15 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        # For pieces of ASCII: the same merges without the steps before.
-        self.merges = Tokenizer.from_file(path)
-        self.merges.normalizer = normalizers.Lowercase()
-        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
-            [
-                pre_tokenizers.WhitespaceSplit(),
-                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-            ]
-        )
+        self.merger = None
+        if by_entry:
+            bytes_of, numbers, merges = _entries(path)
+            ranks = _ranks(bytes_of, merges)
+            number_of = {bytes_of[t]: k for t, k in numbers.items()}
+            self.numbers = np.array([number_of.get(token, 0) for token in ranks])
+            self.merger = tiktoken.Encoding(
+                "pieces", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}
+            )
         self.most = most
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -95,19 +154,28 @@ class WordIds:
         apart = core.isalpha() and core[-1].lower()[-1].isalpha() and len(core) < len(word)
         return [core, word[len(core) :]] if apart else [word]
 
-    def _learn_together(self, tokenizer, pieces: list[str]) -> list[str]:
+    def _keep(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        cuts = [0, *((ends + 1) * self.dtype.itemsize).tolist()]
+        ids = ids.astype(self.dtype).tobytes()
+        self.known.update(zip(pieces, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def _merge_together(self, pieces: list[str]) -> None:
+        """Merge pieces of Latin letters or ASCII marks."""
+        text = "\n".join([*pieces, ""]).lower()
+        ids = self.numbers[self.merger.encode_to_numpy(text, disallowed_special=())]
+        self._keep(pieces, ids, np.flatnonzero(self.ends[ids]))
+
+    def _learn_together(self, pieces: list[str]) -> list[str]:
         """Tokenize pieces that each end with one ending token; returns those left over."""
         left = []
         for at in range(0, len(pieces), 1000):
             part = pieces[at : at + 1000]
-            ids = tokenizer.encode(" ".join(part), add_special_tokens=False).ids
-            ids, wide = np.array(ids, self.dtype), self.dtype.itemsize
-            ends = (np.flatnonzero(self.ends[ids]) + 1) * wide
-            if len(ends) != len(part) or not len(ids) or ends[-1] != wide * len(ids):
+            ids = self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(part) or not len(ids) or ends[-1] + 1 != len(ids):
                 left += part
                 continue
-            cuts = [0, *ends.tolist()]
-            self.known.update(zip(part, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
+            self._keep(part, np.array(ids), ends)
         return left
 
     def _learn(self, words: set[str]) -> None:
@@ -116,16 +184,16 @@ class WordIds:
             known[word] = earlier[word]
         words = words.difference(earlier)
         # Letters only are one piece; the rest is taken apart first.
-        whole = [w for w in words if w.isalpha()]
-        plain = [w for w in whole if w.isascii()]
-        letters = [w for w in whole if not w.isascii()]
-        apart = {w: self._pieces(w) for w in words.difference(whole)}
-        pieces = {p for its in apart.values() for p in its}.difference(known, whole)
-        more = [p for p in pieces if not p.isascii() and p.isalpha()]
-        marks = [p for p in pieces if p.isascii() and "<|" not in p]
-        rest = list(pieces.difference(marks, more))
-        rest += self._learn_together(self.merges, plain + marks)
-        rest += self._learn_together(self.tokenizer, letters + more)
+        pieces = {w for w in words if w.isalpha()}
+        apart = {w: self._pieces(w) for w in words.difference(pieces)}
+        pieces.update(p for its in apart.values() for p in its if p not in known)
+        simple = []
+        if self.merger:
+            simple = [p for p in pieces if ("<|" not in p if p.isascii() else _LATIN.fullmatch(p))]
+            self._merge_together(simple)
+        pieces.difference_update(simple)
+        letters = [p for p in pieces if p.isalpha()]
+        rest = [*pieces.difference(letters), *self._learn_together(letters)]
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
@@ -176,10 +244,11 @@ def tokenize(
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep)
     names = [*keep, "lot", "piece", "start", "length", "ids", "ids_crc32"]
     schema += ", lot long, piece int, start long, length long, ids binary, ids_crc32 long"
+    by_entry = merges_by_entry(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"word ids {tokenizer} {known_words}"
-        coder = worker_cache(name, lambda: WordIds(tokenizer, known_words))
+        coder = worker_cache(name, lambda: WordIds(tokenizer, known_words, by_entry))
         end, wide = np.array([end_id], coder.dtype).tobytes(), coder.dtype.itemsize
         place, step = TaskContext.get().partitionId() << 36, wide * capacity
         for batch in small_batches(batches, most=4 << 20):
