@@ -24,6 +24,7 @@ from tillstar import (
     metric_from_tables,
     refresh_months,
     run_batch,
+    run_metrics,
     star_tables,
 )
 from tillstar.functions import as_double, standardize
@@ -228,6 +229,10 @@ def _batch_counts(which: str, spoil: bool = False):
     return query
 
 
+def _aov_over_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_metrics(build_fact(star_tables(spark, sf_dir)), ["aov"])["aov"]
+
+
 def _aov_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "bucketed")
     name = "fact_" + path.rsplit("-", 1)[1]
@@ -365,6 +370,7 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_batch_audit": _batch_counts("audit", spoil=True),
         "dirty_batch_row_counts": _batch_counts("row_counts", spoil=True),
         "aov_bucketed": _aov_bucketed,
+        "aov_over_join": _aov_over_join,
         "stored_results": _stored_results("parquet"),
         "stored_results_by_month": _stored_results("parquet", by_month=True),
         "stored_results_csv": _stored_results("csv", with_index=True),
@@ -795,6 +801,7 @@ FROM ({_RESULT_SQL["sales_by_country"]})"""),
         "batch_audit": _fact_sql(_AUDIT_SQL),
         "batch_row_counts": _fact_sql(_COUNTS_SQL),
         "aov_bucketed": _fact_sql(_RESULT_SQL["aov"]),
+        "aov_over_join": _fact_sql(_RESULT_SQL["aov"]),
         "sink_fact_roundtrip": fact,
         "sink_results_roundtrip": _fact_sql(_RESULT_SQL[FLAGSHIP]),
         "sample_rows": _fact_sql(f"{_RESULT_SQL['sales_by_country']} LIMIT 5"),

@@ -8,8 +8,17 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from tillstar import METRICS, Tables, build_fact, load_tables, metric_from_tables, star_tables
+from tillstar import (
+    METRICS,
+    Tables,
+    build_fact,
+    load_tables,
+    metric_from_tables,
+    run_metrics,
+    star_tables,
+)
 from tillstar.operators.audit import cleaning_audit, profile_row_counts, step_counts
+from tillstar.plans import rollup_fact
 from tillstar.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -195,6 +204,30 @@ def test_hot_keys_of_the_fact_joins_are_split(spark, skewed, split_small_partiti
         fact.unpersist()
 
 
+@pytest.mark.parametrize("name", METRICS)
+def test_hot_keys_are_split_for_every_result_over_the_join(skewed, split_small_partitions, name):
+    result = run_metrics(build_fact(skewed), [name])[name].cache()
+    try:
+        found = rows(result)
+        final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        for key in ("product_id", "order_id", "customer_id"):
+            assert re.search(rf"SortMergeJoin\(skew=true\) \[{key}#", final), key
+        assert found == rows(metric_from_tables(skewed, name))
+    finally:
+        result.unpersist()
+
+
+def test_sums_per_order_are_spread_unless_the_fact_is_stored_by_order(stored, skewed, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    fact = build_fact(stored)
+    spread = plan(run_metrics(fact, ["aov"])["aov"])
+    there = plan(run_metrics(fact, ["aov"], by_order=True)["aov"])
+    assert spread.count("Exchange hashpartitioning") == there.count("Exchange hashpartitioning") + 1
+    both = [rollup_fact(build_fact(skewed), "order", spread) for spread in (False, True)]
+    assert both[0].columns == both[1].columns == ["order_id", "item_total"]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
+
+
 def test_a_hot_product_of_the_audit_is_split(skewed, split_small_partitions):
     counts = step_counts(skewed).cache()
     try:

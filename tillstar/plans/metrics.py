@@ -43,9 +43,12 @@ class Metric:
         own = () if self.finish is average_order_value else (self.measure,)
         return own + self.more_cents
 
-    def rows(self, frame: DataFrame, size: int | None = None) -> DataFrame:
-        """The result rows, in no particular order unless it is a top list."""
-        sums = totals(frame, self.keys, self.measure)
+    def rows(
+        self, frame: DataFrame, size: int | None = None, spread: bool = False
+    ) -> DataFrame:
+        """The result rows, in no particular order unless it is a top list; ``spread`` as
+        for ``totals``."""
+        sums = totals(frame, self.keys, self.measure, spread)
         if self.depth is not None:
             return self.finish(sums, self.depth if size is None else size)
         if self.finish is not None:
@@ -55,9 +58,11 @@ class Metric:
             sums = sums.orderBy(*sort_columns(self.order)).limit(n)
         return as_double(sums, self.measure)
 
-    def __call__(self, frame: DataFrame, size: int | None = None) -> DataFrame:
+    def __call__(
+        self, frame: DataFrame, size: int | None = None, spread: bool = False
+    ) -> DataFrame:
         """The result in presentation order, from a fact table or a rollup."""
-        out = self.rows(frame, size)
+        out = self.rows(frame, size, spread)
         if self.limit is not None or not self.order:
             return out
         return out.orderBy(*sort_columns(self.order))
@@ -168,17 +173,25 @@ def run_metrics(
     names: Iterable[str] | None = None,
     rollups: Mapping[str, DataFrame] | None = None,
     sizes: Mapping[str, int] | None = None,
+    by_order: bool = False,
 ) -> dict[str, DataFrame]:
     """Lazy result tables over a fact table, by name (all of them by default).
 
     ``rollups`` maps a grain to a ready rollup of the same fact, which the results of
     that grain then share; ``sizes`` overrides list lengths and the ranking depth.
+
+    The fact may be the lazy join itself, whose last step is by order: sums per order are
+    spread, so that a hot order, product or customer is split in every join. ``by_order``
+    says that the fact is stored by order (``write_bucketed_fact``) and nothing has to be.
     """
     rollups, sizes = rollups or {}, sizes or {}
-    return {
-        name: METRICS[name](rollups.get(METRICS[name].grain, fact), sizes.get(name))
-        for name in _select(names)
-    }
+
+    def result(name: str) -> DataFrame:
+        metric = METRICS[name]
+        spread = metric.grain == "order" and "order" not in rollups and not by_order
+        return metric(rollups.get(metric.grain, fact), sizes.get(name), spread)
+
+    return {name: result(name) for name in _select(names)}
 
 
 def metric_from_tables(

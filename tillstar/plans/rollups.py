@@ -43,9 +43,10 @@ GRAINS = {
 }
 
 
-def rollup_fact(fact: DataFrame, grain: str) -> DataFrame:
-    """Aggregate a fact table (or a finer rollup) to one of the grains."""
-    return totals(fact, GRAINS[grain])
+def rollup_fact(fact: DataFrame, grain: str, spread: bool = False) -> DataFrame:
+    """Aggregate a fact table (or a finer rollup) to one of the grains; ``spread`` as for
+    ``totals``, for the grain "order" of a fact that is not stored."""
+    return totals(fact, GRAINS[grain], spread=spread)
 
 
 def items_per_order(tables: Tables) -> DataFrame:
