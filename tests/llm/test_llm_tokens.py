@@ -215,6 +215,25 @@ def test_blocks_and_memory_do_not_change_the_result(spark, given, plain):
     assert counts == held
 
 
+def test_a_worker_remembers_few_bytes_for_few_parts(plain):
+    import tracemalloc
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    random_ = random.Random(5)
+    words = ["".join(random_.choices("etaoin", k=8)) for _ in range(60_000)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)]
+    aligner = alignment.Aligner(*paths, 1000)
+    tracemalloc.start()
+    block = alignment.Block(aligner, texts)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 350 * len(words)
+    again = alignment.Block(aligner, texts[:1] + ["x y"])
+    assert len(aligner.number) < 1000 + 100 + 10
+    assert again.groups(0, 2) == [";".join(plain(t)[2]) for t in (texts[0], "x y")]
+    del block
+
+
 def test_groups_and_links_of_a_small_case():
     assert alignment.common_ends([2, 5, 6], [1, 5, 6]) == ([2, 3], [2, 3])
     i, j = alignment.links(np.array([2, 5, 6]), np.array([1, 5, 6]))

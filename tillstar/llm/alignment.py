@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from tillstar.llm.common import (
 
 # Text of a block of documents; a longer document is a block of its own.
 BLOCK = 8 << 20
-# Parts of which a worker remembers the alignment, about 400 bytes each; twice as many for
-# a while.
+# Parts of which a worker remembers the alignment from one block to the next, about 250
+# bytes each.
 KNOWN_PARTS = 120_000
 _PIECE = 1 << 20
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -79,10 +80,36 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return i, np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
+class _Growing:
+    """A numpy array that rows are added to."""
+
+    def __init__(self, kind: type, width: tuple[int, ...] = ()):
+        self._all, self._n = np.empty((1024, *width), kind), 0
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self._all[: self._n]
+
+    def extend(self, more: np.ndarray) -> None:
+        n = self._n + len(more)
+        if n > len(self._all):
+            wider = np.empty((max(n, 2 * len(self._all)), *self._all.shape[1:]), self._all.dtype)
+            wider[: self._n] = self.rows
+            self._all = wider
+        self._all[self._n : n] = more
+        self._n = n
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says, one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 class Aligner:
-    """Alignments of parts of texts: (number of A's tokens, of B's, of groups, groups as
-    text, linked id pairs as 64-bit numbers), or None if a tokenizer does not give the
-    part's bytes back. Parts met before are remembered."""
+    """Alignments of parts of texts, by the number that ``number`` gives a part: ``counts``
+    (A's tokens, B's, groups; -1 if a tokenizer does not give the part's bytes back),
+    ``texts`` (the groups), ``ends`` and ``pairs`` (linked id pairs as 64-bit numbers, and up
+    to where they are of which part). Parts met before are remembered."""
 
     def __init__(self, a_path: str, b_path: str, most: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -97,7 +124,14 @@ class Aligner:
         self.b_tokens = [piece_bytes(p) for p in pieces]
         self.a_size = np.array([len(t) for t in self.a_tokens])
         self.b_size = np.array([len(t) for t in self.b_tokens])
-        self.text = [str(k) for k in range(max(len(self.a_size), len(self.b_size)))]
+        # Ids as text, with what follows one: another of its list, B's list, the next group
+        # or part.
+        n_a, n_b = len(self.a_size), len(self.b_size)
+        self.most_ids = max(n_a, n_b)
+        kinds = ((self.most_ids, ","), (n_a, "|"), (n_b, ";"), (n_b, "\n"))
+        self.text = [f"{k}{mark}" for n, mark in kinds for k in range(n)]
+        self.bar, self.semicolon = self.most_ids, self.most_ids + n_a
+        self.line = self.semicolon + n_b
         # A part without a blank is encoded after a line break, which no piece holds, and
         # the blank that the model puts before that.
         self.lead = self.b.encode("\n")
@@ -109,15 +143,59 @@ class Aligner:
             if not (self.b.is_control(k) or self.b.is_unknown(k) or self.b.is_byte(k))
         )
         self.most = most
-        self.known: dict[str, tuple | None] = {}
-        self.earlier: dict[str, tuple | None] = {}
-
-    def align(self, parts: list[str]) -> tuple | None:
-        """The alignment of parts that follow each other, the first with the blank before a
-        text or within it: None, or one alignment per part if tokens end with the parts."""
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[object, int] = {}  # in ascending order
+        self.texts: list[str] = []
+        self._counts, self._ends = _Growing(np.int32, (3,)), _Growing(np.int64)
+        self._pairs, self._used = _Growing(np.int64), _Growing(np.int64)
+
+    @property
+    def counts(self) -> np.ndarray:
+        return self._counts.rows
+
+    def links_of(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of links of each part, and the linked pairs of one after the other."""
+        ends = self._ends.rows
+        starts = np.append(0, ends)[parts]
+        sizes = ends[parts] - starts
+        return sizes, self._pairs.rows[_spans(starts, sizes)]
+
+    def use(self, parts: np.ndarray, times: np.ndarray) -> None:
+        self._used.rows[parts] += times
+
+    def forget(self) -> None:
+        """Keep at most ``most`` parts, those used most often, of late above all. Numbers
+        change: not to be called while some are in use."""
+        if len(self.number) <= self.most:
+            return
+        used, counts, texts = self._used.rows, self.counts, self.texts
+        kept = np.sort(np.argpartition(-used, self.most)[: self.most])
+        wanted = np.zeros(len(used), bool)
+        wanted[kept] = True
+        parts = list(compress(self.number, wanted.tolist()))
+        sizes, pairs = self.links_of(kept)
+        self._clear()
+        self._add(parts, counts[kept], [texts[k] for k in kept.tolist()], sizes, pairs)
+        self._used.rows[:] = used[kept] // 2
+
+    def _add(self, parts: list, counts, texts: list[str], sizes, pairs) -> None:
+        begin = len(self.texts)
+        self.number.update(zip(parts, range(begin, begin + len(parts))))
+        self.texts += texts
+        self._counts.extend(counts)
+        self._ends.extend(np.cumsum(sizes) + len(self._pairs.rows))
+        self._pairs.extend(pairs)
+        self._used.extend(np.zeros(len(parts), np.int64))
+
+    def _align(self, parts: list[str]) -> tuple | None:
+        """Counts, groups, numbers of links and linked pairs of parts that follow each
+        other, the first with the blank before a text or within it: None if a tokenizer
+        does not give the bytes back or a token does not end with a part."""
         text = "".join(parts)
         raw = text.encode()
-        a = self.a.encode(text, add_special_tokens=False).ids
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         if text[0] == " ":
             b = self.b.encode(text[1:])
         else:
@@ -125,35 +203,31 @@ class Aligner:
         back = [b"".join(map(t.__getitem__, ids)) for t, ids in ((self.a_tokens, a), (self.b_tokens, b))]
         if back[0] != raw or back[1] != raw:
             return None
+        a, b = np.array(a), np.array(b)
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         cuts = np.cumsum([len(p.encode()) for p in parts])
         in_a, in_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
         if (a_ends[in_a] != cuts).any() or (b_ends[in_b] != cuts).any():
             return None
         i, j = links(a_ends, b_ends)
-        pairs = (np.array(a)[i] << 32 | np.array(b)[j]).tobytes()
-        a_to, b_to = common_ends(a_ends.tolist(), b_ends.tolist())
-        a_text = list(map(self.text.__getitem__, a))
-        b_text = list(map(self.text.__getitem__, b))
-        groups, at = [], (0, 0)
-        for to in zip(a_to, b_to):
-            groups.append(",".join(a_text[at[0] : to[0]]) + "|" + ",".join(b_text[at[1] : to[1]]))
-            at = to
-        n_a, n_b = np.diff(in_a, prepend=-1).tolist(), np.diff(in_b, prepend=-1).tolist()
-        group = (np.searchsorted(a_to, in_a + 1) + 1).tolist()
-        link = (8 * np.searchsorted(i, in_a, side="right")).tolist()
-        return tuple(
-            (x, y, h - g, groups[g] if h == g + 1 else ";".join(groups[g:h]), pairs[p:q])
-            for x, y, g, h, p, q in zip(n_a, n_b, [0, *group], group, [0, *link], link)
-        )
+        a_to, b_to = map(np.array, common_ends(a_ends.tolist(), b_ends.tolist()))
+        # Of each group A's ids, then B's; the last of each list has its own mark behind it.
+        a_text, b_text = a.copy(), b.copy()
+        a_text[a_to - 1] += self.bar
+        b_text[b_to - 1] += self.semicolon
+        b_text[in_b] += self.line - self.semicolon
+        a_size, b_size = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(b_to - b_size, a_size)] = a_text
+        order[np.arange(len(b)) + np.repeat(a_to, b_size)] = b_text
+        texts = "".join(map(self.text.__getitem__, order.tolist())).split("\n")[:-1]
+        group = np.searchsorted(a_to, in_a + 1) + 1
+        counts = np.diff(np.column_stack([in_a + 1, in_b + 1, group]), prepend=[[0, 0, 0]], axis=0)
+        sizes = np.diff(np.searchsorted(i, in_a, side="right"), prepend=0)
+        return counts, texts, sizes, a[i] << 32 | b[j]
 
     def learn(self, parts: set[str]) -> None:
-        if len(self.known) > self.most:  # what is not used again goes the next time
-            self.earlier, self.known = self.known, {}
-        parts = parts.difference(self.known)
-        for part in parts.intersection(self.earlier):
-            self.known[part] = self.earlier[part]
-        new = parts.difference(self.earlier)
+        new = parts.difference(self.number)
         # What holds no white space but a blank before it makes a text together, in which
         # these are parts; what has no blank either is kept apart by line breaks.
         words = [p for p in new if _WORD.fullmatch(p)]
@@ -163,26 +237,37 @@ class Aligner:
         for some, lead in ((words, []), (bare, ["\n"])):
             for at in range(0, len(some), 2000):
                 run = some[at : at + 2000]
-                found = self.align([p for part in run for p in (*lead, part)])
+                found = self._align([p for part in run for p in (*lead, part)])
                 if found is None:
                     rest += run
-                else:
-                    self.known.update(zip(run, found[len(lead) :: 1 + len(lead)]))
+                    continue
+                counts, texts, sizes, pairs = found
+                own = np.arange(len(lead), len(texts), 1 + len(lead))
+                if lead:
+                    pairs = pairs[_spans((np.cumsum(sizes) - sizes)[own], sizes[own])]
+                self._add(run, counts[own], texts[len(lead) :: 1 + len(lead)], sizes[own], pairs)
         for part in rest:
-            found = self.align([part])
-            self.known[part] = found and found[0]
+            found = self._align([part])
+            none = (np.full((1, 3), -1), [""], np.zeros(1, np.int64), np.zeros(0, np.int64))
+            self._add([part], *(none if found is None else found))
+
+    def whole(self, text: str) -> np.ndarray:
+        """The number of a text that is one part, for as long as ``forget`` is not called;
+        none if a tokenizer does not give it back."""
+        found = self._align([text])
+        if found is None:
+            return np.zeros(0, np.int32)
+        self._add([object()], *found)
+        return np.array([len(self.texts) - 1], np.int32)
 
 
 class Block:
     """The documents of one block, as numbers of the different parts they are made of."""
 
     def __init__(self, aligner: Aligner, texts: list[str | None]):
+        aligner.forget()
         self.aligner = aligner
-        self.number: dict[str, int] = {}
-        self.records: list[tuple] = []
-        self.texts: list[str] = []  # the groups of each part
-        self.rows: list[list[np.ndarray]] = [[] for _ in texts]
-        self.groups: list[list[str]] = [[] for _ in texts]
+        found: list[list[np.ndarray]] = [[] for _ in texts]
         broken: set[int] = set()
         waiting, size = [], 0
         for row, text in enumerate(texts):
@@ -193,65 +278,61 @@ class Block:
                 waiting.append((row, parts))
                 size += len(parts)
                 if size > _PIECE // 4:  # of a long text, a piece at a time
-                    self._take(waiting, broken)
+                    self._take(waiting, found, broken)
                     waiting, size = [], 0
-        self._take(waiting, broken)
+        self._take(waiting, found, broken)
         for row in broken:  # a part does not come back: neither does the text, or as a whole
-            whole = " " + texts[row]
-            found = aligner.align([whole])
-            self.rows[row] = [] if found is None else [np.array([self._number(whole, found[0])])]
-            self.groups[row] = [] if found is None else [found[0][3]]
-
-    def _number(self, part: str, record: tuple) -> int:
-        number = self.number.setdefault(part, len(self.records))
-        if number == len(self.records):
-            self.records.append(record)
-            self.texts.append(record[3])
-        return number
-
-    def _take(self, waiting: list[tuple[int, list[str]]], broken: set[int]) -> None:
-        aligner, number = self.aligner, self.number
-        different = set().union(*[parts for _, parts in waiting])
-        aligner.learn(different)
-        record_of = aligner.known
-        for part in different.difference(number):
-            if record_of[part] is not None:
-                self._number(part, record_of[part])
+            found[row] = [aligner.whole(" " + texts[row])]
+        self.rows = [np.concatenate([np.zeros(0, np.int32), *f]) for f in found]
+
+    def _take(self, waiting: list[tuple[int, list[str]]], found: list, broken: set[int]) -> None:
+        aligner = self.aligner
+        aligner.learn(set().union(*[parts for _, parts in waiting]))
+        lost = (aligner.counts[:, 0] < 0).any()
         for row, parts in waiting:
-            try:
-                found = np.fromiter(map(number.__getitem__, parts), np.int32, len(parts))
-            except KeyError:
+            numbers = np.fromiter(map(aligner.number.__getitem__, parts), np.int32, len(parts))
+            if lost and (aligner.counts[numbers, 0] < 0).any():
                 broken.add(row)
-                continue
-            self.rows[row].append(found)
-            self.groups[row].append(";".join(map(self.texts.__getitem__, found.tolist())))
+            found[row].append(numbers)
+
+    def groups(self, begin: int, end: int) -> list[str]:
+        """The groups of the documents from ``begin`` to ``end``, as text."""
+        text_of = self.aligner.texts.__getitem__
+        return [";".join(map(text_of, row.tolist())) for row in self.rows[begin:end]]
 
     def columns(self) -> dict[str, list]:
-        """Counts, groups and part numbers per document; and in the first row the block's
-        id pairs, how many documents hold each, and the pairs of every part."""
-        counts = np.array([r[:3] for r in self.records], np.int64).reshape(-1, 3)
-        pairs = [np.frombuffer(r[4], np.int64) for r in self.records]
-        ends = np.cumsum([0, *map(len, pairs)])
-        links = np.concatenate([np.zeros(0, np.int64), *pairs])
-        different, place = np.unique(links, return_inverse=True)
-        rows = [np.concatenate([np.zeros(0, np.int32), *r]) for r in self.rows]
-        # (document, pair) once each, however often a document holds the pair.
-        holders = np.zeros(len(different), np.int64)
+        """Counts and part numbers per document; and in the first row the block's id pairs,
+        how many documents hold each, and the pairs of every part. The parts are numbered
+        anew, those of the block only."""
+        aligner = self.aligner
+        times = np.bincount(np.concatenate(self.rows), minlength=len(aligner.texts))
+        used = np.flatnonzero(times)
+        aligner.use(used, times[used])
+        own_number = np.empty(len(times), np.int32)
+        own_number[used] = np.arange(len(used))
+        rows = [own_number[row] for row in self.rows]
+        counts = aligner.counts[used].astype(np.int64)
+        sizes, linked = aligner.links_of(used)
+        ends = np.append(0, np.cumsum(sizes))
+        different, place = np.unique(linked, return_inverse=True)
+        # (document, pair) once each, however often a document holds the pair: the one that
+        # was written to its place last.
+        holders, last = np.zeros(len(different), np.int64), np.empty(len(different), np.int64)
+        seen = np.empty(len(used), np.int64)
         for row in rows:
-            own = np.unique(row)
-            size = ends[own + 1] - ends[own]
-            at = np.repeat(ends[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            holders[np.unique(place[at])] += 1
+            seen[row] = np.arange(len(row))
+            own = row[seen[row] == np.arange(len(row))]
+            at = place[_spans(ends[own], sizes[own])]
+            last[at] = np.arange(len(at))
+            holders[at[last[at] == np.arange(len(at))]] += 1
         sums = np.array([counts[row].sum(axis=0) for row in rows]).reshape(-1, 3)
-        n_links = [int((ends[row + 1] - ends[row]).sum()) for row in rows]
         rest = [None] * (len(rows) - 1)
         return {
             "n_a": sums[:, 0].tolist(),
             "n_b": sums[:, 1].tolist(),
             "n_groups": sums[:, 2].tolist(),
-            "n_links": n_links,
-            "groups": [";".join(g) for g in self.groups],
-            "parts": [row.astype(np.int32).tobytes() for row in rows],
+            "n_links": [int(sizes[row].sum()) for row in rows],
+            "parts": [row.tobytes() for row in rows],
             "pairs": [different, *rest],
             "holders": [holders, *rest],
             "part_pairs": [place.astype(np.int32).tobytes(), *rest],
@@ -301,16 +382,20 @@ def align(
         )
         lot = TaskContext.get().partitionId() << 36
         for batch in small_batches(batches, most=block):
-            found = Block(aligner, column_of(batch, "text").to_pylist()).columns()
-            columns = [pa.array(found[name], kind) for name, kind in _COLUMNS.items()]
-            lots = pa.array(np.full(batch.num_rows, lot))
+            documents = Block(aligner, column_of(batch, "text").to_pylist())
+            found = documents.columns()
+            columns = {name: pa.array(found[name], _COLUMNS[name]) for name in found}
+            columns["doc_id"] = column_of(batch, "doc_id")
+            columns["lot"] = pa.array(np.full(batch.num_rows, lot))
+            del found
             lot += 1
-            out = pa.RecordBatch.from_arrays(
-                [column_of(batch, "doc_id"), lots, *columns], names=["doc_id", "lot", *_COLUMNS]
-            )
-            step = -(-batch.num_rows // 8)  # the groups' text is several times the documents'
+            step = -(-batch.num_rows // 16)  # the groups' text is several times the documents'
             for row in range(0, batch.num_rows, step):
-                yield out.slice(row, step)
+                some = {name: column.slice(row, step) for name, column in columns.items()}
+                groups = documents.groups(row, row + step)
+                some["groups"] = pa.array(groups, _COLUMNS["groups"])
+                names = ["doc_id", "lot", *_COLUMNS]
+                yield pa.RecordBatch.from_arrays([some[name] for name in names], names=names)
 
     return rows.mapInArrow(run, f"doc_id {ids}, {_SCHEMA}")
 
