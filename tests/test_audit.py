@@ -130,6 +130,12 @@ def test_counting_scans_each_table_once(spark, make):
     assert text.count("CollectMetrics") == 5 and text.count("Scan ExistingRDD") == 4
 
 
+def test_no_task_holds_the_orders_of_all_items_it_scans(make, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(cleaning_audit(_awkward(make)))
+    assert "keys=[order_id" not in text and "SortMergeJoin [order_id" in text
+
+
 def test_rejected_cells_of_csv_files(spark, tmp_path):
     from tillstar.operators.rejects import all_rejected_cells
     from tillstar.sources import load_raw_tables

@@ -78,53 +78,48 @@ def sample_by_hash(df: DataFrame, keys: Sequence[str], n: int = 5, seed: str = "
     return df.orderBy(F.md5(text), *df.columns).limit(n)
 
 
-# Shares into which the items of a product are dealt where they meet its copies.
-SHARES = 4
-
-
 def step_counts(tables: Tables) -> DataFrame:
     """One row: how many rows there are after each step, in one scan of the items.
 
     ``items``, ``known`` (with quantity and price) and ``amounts`` (whose total is an
     amount of money) count order items; ``joined``, ``not_cancelled`` and ``positive``
-    rows of the joined table. Items are counted per order before they meet the orders;
-    the joined table is not built. A repeated product, order or customer multiplies as it
-    does in the joins. The items of a product meet its number of copies in shares, by
-    order: sums by product alone would stand in the way of splitting a hot one further.
+    rows of the joined table, which is not built: three columns of each item meet the
+    counts of its order. A repeated product, order or customer multiplies as it does in
+    the joins. Products and orders are counted by structs, of which the joins know
+    nothing: sums by the key itself would stand in the way of splitting a hot one. Items
+    are not summed by order before: a scanning task meets about as many orders as items,
+    and would hold them all.
     """
     quantity, price = F.col("quantity"), F.col("price_per_unit")
     known = quantity.isNotNull() & price.isNotNull()
-    products = tables.products.groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"))
-    shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
-    products = products.withColumn("__share", shares)
-    share = F.pmod(F.xxhash64("order_id"), F.lit(SHARES)).cast("int")
-    items = type_items(tables.order_items).withColumn("__share", share)
-    items = items.join(products, ["product_id", "__share"], "left")
-    items = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count_if(known).alias("known"),
-        F.count_if(amount(quantity, price).isNotNull()).alias("amounts"),
-        F.coalesce(F.sum(F.when(known, F.col("copies"))), F.lit(0)).alias("rows"),
+    products = tables.products.groupBy(F.struct("product_id").alias("__key"))
+    products = products.agg(F.count(F.lit(1)).alias("copies")).select("__key.product_id", "copies")
+    items = type_items(tables.order_items).join(products, "product_id", "left").select(
+        "order_id",
+        known.alias("known"),
+        amount(quantity, price).isNotNull().alias("amounts"),
+        F.when(known, F.col("copies")).alias("rows"),
     )
     orders = join_customers(
         tables.orders.select("order_id", "customer_id", "status", "total_amount"),
         tables.customers.select("customer_id"),
     )
     not_cancelled = F.col("status") != CANCELLED
-    orders = orders.groupBy("order_id").agg(
+    orders = orders.groupBy(F.struct("order_id").alias("__key")).agg(
         F.count(F.lit(1)).alias("joined"),
         F.count_if(not_cancelled).alias("not_cancelled"),
         F.count_if(not_cancelled & (F.col("total_amount") > 0)).alias("positive"),
     )
-    both = items.join(orders, "order_id", "left")
+    both = items.join(orders.select("__key.order_id", "joined", "not_cancelled", "positive"), "order_id", "left")
 
-    def total(column, times=None):
-        value = F.col(column) if times is None else F.col(column) * F.col(times)
-        return F.coalesce(F.sum(value), F.lit(0)).alias(column)
+    def total(column):
+        return F.coalesce(F.sum(F.col(column) * F.col("rows")), F.lit(0)).alias(column)
 
     return both.agg(
-        *[total(c) for c in ("items", "known", "amounts")],
-        *[total(c, "rows") for c in ("joined", "not_cancelled", "positive")],
+        F.count(F.lit(1)).alias("items"),
+        F.count_if("known").alias("known"),
+        F.count_if("amounts").alias("amounts"),
+        *[total(c) for c in ("joined", "not_cancelled", "positive")],
     )
 
 
