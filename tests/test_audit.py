@@ -189,3 +189,19 @@ def test_order_value_on_the_bucketed_fact_needs_no_exchange_by_order(spark, make
     assert rows(METRICS["aov"](fact)) == rows(METRICS["aov"](build_fact(tables)))
     assert "hashpartitioning" not in plan(METRICS["aov"](fact))
     spark.sql("DROP TABLE fact_by_order")
+
+
+def test_a_larger_bucketed_fact_has_more_buckets(spark, make, tmp_path, monkeypatch):
+    from tillstar import METRICS, build_fact
+    from tillstar.sinks import bucketed
+
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
+    tables, want = _awkward(make), {}
+    for rows_, buckets in ((None, 4), (40, 4), (41, 5), (200, 20)):
+        name, path = f"fact_of_{rows_}", f"{tmp_path}/{rows_}"
+        fact = bucketed.write_bucketed_fact(build_fact(tables), name, path, buckets=4, rows=rows_)
+        want[rows_] = sorted(map(repr, rows(fact))), rows(METRICS["aov"](fact))
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert described["Num Buckets"] == str(buckets)
+        spark.sql(f"DROP TABLE {name}")
+    assert all(found == want[None] for found in want.values())

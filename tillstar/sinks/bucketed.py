@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 ORDER_KEY = "order_id"
 
 
-def write_bucketed_fact(fact: DataFrame, table: str, path: str, buckets: int = 64) -> DataFrame:
+# Rows of a bucket, on average and at most, where the number of rows is known.
+BUCKET_ROWS = 1_000_000
+
+
+def write_bucketed_fact(
+    fact: DataFrame, table: str, path: str, buckets: int = 64, rows: int | None = None
+) -> DataFrame:
     """Store the fact in ``buckets`` files by order_id, each sorted by it; returns the table.
 
     ``path`` is its folder and ``table`` the name under which the catalog keeps the layout:
     a reader who sums or joins by order_id then shuffles nothing. Rows are brought together
-    by bucket first, so that there is one file per bucket. An order that holds most items
-    is one bucket; take the plain fact table where that may be.
+    by bucket first, so that there is one file per bucket. One task writes a bucket and one
+    reads it: where ``rows``, about how many rows the fact has, is more than the buckets
+    should hold, there are more of them. An order that holds most items is one bucket; take
+    the plain fact table where that may be.
     """
+    if rows is not None:
+        buckets = max(buckets, -(-rows // BUCKET_ROWS))
     dealt = fact.repartition(buckets, F.col(ORDER_KEY))
     writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
     writer.bucketBy(buckets, ORDER_KEY).sortBy(ORDER_KEY).saveAsTable(table)
