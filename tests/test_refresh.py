@@ -132,3 +132,25 @@ def test_from_the_command_line(spark, make, earlier, tmp_path):
         df.write.options(**CSV_OPTIONS).csv(f"{tmp_path}/in/{name}.csv")
     out = main([f"{tmp_path}/in", place, "--format", "parquet", "--refresh", "2023-02"], spark)
     _same(spark, out, new)
+
+
+def test_results_share_rollups_of_few_files(spark, make, tmp_path, conf, monkeypatch):
+    import tillstar.plans.batch as batch
+
+    conf(spark__sql__shuffle__partitions="40")
+    seen = []
+
+    def watched(fact, names, rollups, sizes):
+        seen.append({grain: r.rdd.getNumPartitions() for grain, r in rollups.items()})
+        return run_metrics(fact, names, rollups, sizes)
+
+    run_metrics = batch.run_metrics
+    monkeypatch.setattr(batch, "run_metrics", watched)
+    monkeypatch.setattr(refresh, "run_metrics", watched)
+    place, tables = str(tmp_path / "out"), _tables(make, [1.0, 7.0, 1.0, 9.0, 1.0])
+    run_batch(spark, _tables(make, [1.0] * 5), place, fmt="parquet", by_month=True)
+    out = refresh_months(spark, tables, place, [(2023, 2), (2024, 2)])
+    _same(spark, out, tables)
+    assert [sorted(s) for s in seen] == [["customer", "day", "product"]] * 2
+    assert max(n for s in seen for n in s.values()) < 10
+    assert not [f for f in _files(place) if "/_rollups/" in f]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,6 +20,8 @@ from tillstar.sources import load_tables
 
 # Results written at a time: they are small, so that one alone leaves a cluster idle.
 _AT_ONCE = 4
+# Below this folder of a run lie the rollups while results are derived from them.
+_ROLLUPS = "_rollups"
 
 
 def put_results(
@@ -42,6 +45,31 @@ def put_results(
         return dict(zip(results, pool.map(one, results)))
 
 
+@contextmanager
+def stored_rollups(
+    fact: DataFrame, names: Iterable[str], place: str
+) -> Iterator[dict[str, DataFrame]]:
+    """The rollups of a stored fact that several of the results share, by grain. They are
+    written once, below a folder of ``place`` that goes at the end of the block: files hold
+    as much as a task should read, where a cached rollup keeps every shuffle partition, and
+    each result would deal all of these out again."""
+    grains = [METRICS[n].grain for n in names if n in METRICS]
+    shared = [grain for grain in sorted(set(grains)) if grains.count(grain) > 1]
+    spark, folder = fact.sparkSession, f"{place}/{_ROLLUPS}"
+
+    def one(grain: str) -> DataFrame:
+        rollup = rollup_fact(fact, grain)
+        rollup.write.parquet(f"{folder}/{grain}")
+        return spark.read.schema(rollup.schema).parquet(f"{folder}/{grain}")
+
+    try:
+        with ThreadPoolExecutor(_AT_ONCE) as pool:
+            rollups = dict(zip(shared, pool.map(one, shared)))
+        yield rollups
+    finally:
+        remove_path(spark, folder)
+
+
 def write_outputs(
     fact: DataFrame,
     results: Mapping[str, DataFrame],
@@ -104,7 +132,7 @@ def run_batch(
     a re-read of stored columns and not a second join. With CSV output that copy lies in
     the shared folder and is removed at the end, unless ``keep_staged``. Results read
     from it only the columns of their grain, through rollups that are computed once and
-    kept while the results are written. Errors propagate.
+    stored while the results are written. Errors propagate.
 
     Tables are written to a hidden folder of the destination and take the places of
     earlier ones together, after the last job: a run that dies before leaves the earlier
@@ -126,18 +154,9 @@ def run_batch(
             else:
                 fact_path = put_fact(joined, place, fmt, by_month)
                 fact = spark.read.parquet(fact_path)
-            grains = [METRICS[n].grain for n in names if n in METRICS]
-            rollups = {
-                grain: rollup_fact(fact, grain).persist(StorageLevel.MEMORY_AND_DISK)
-                for grain in sorted(set(grains))
-                if grains.count(grain) > 1
-            }
-            try:
+            with stored_rollups(fact, names, place) as rollups:
                 results = run_metrics(fact, names, rollups, sizes)
                 paths = put_results(results, place, fmt, with_index)
-            finally:
-                for rollup in rollups.values():
-                    rollup.unpersist()
     finally:
         if copy and not keep_staged:
             remove_path(spark, copy.rsplit("/", 1)[0])

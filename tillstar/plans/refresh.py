@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.plans.batch import BatchOutput, put_results
+from tillstar.plans.batch import BatchOutput, put_results, stored_rollups
 from tillstar.plans.fact import build_fact
 from tillstar.plans.metrics import METRICS, run_metrics
-from tillstar.plans.rollups import rollup_fact
 from tillstar.schemas import FACT_NAME, Tables
 from tillstar.shared import file_system
 from tillstar.sinks import finish, put_fact, staged
@@ -89,16 +87,7 @@ def refresh_months(
             folder, files = file_system(spark, f"{new}/{_folder(month)}")
             files.mkdirs(folder)
         fact = other.unionByName(spark.read.schema(changed.schema).parquet(new))
-        grains = [METRICS[n].grain for n in names if n in METRICS]
-        rollups = {
-            grain: rollup_fact(fact, grain).persist(StorageLevel.MEMORY_AND_DISK)
-            for grain in sorted(set(grains))
-            if grains.count(grain) > 1
-        }
-        try:
+        with stored_rollups(fact, names, place) as rollups:
             written = put_results(run_metrics(fact, names, rollups, sizes), place, fmt, with_index)
-        finally:
-            for rollup in rollups.values():
-                rollup.unpersist()
     results = {name: p.replace(place, destination, 1) for name, p in written.items()}
     return BatchOutput(fact=path, staged_fact=path, results=results)
