@@ -1,5 +1,6 @@
 import base64
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,36 @@ def test_lookups_by_binary_search(spark, conf, lines):
     assert sorted((r.page_id, bytes(r.payload)) for r in got) == want
 
 
+def test_only_captures_are_stored_as_a_table(spark, conf):
+    """Payloads and index files were tables too, with a file for each shuffle partition."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    pages = [(k, f"http://h{k}.org/", f"payload {k // 2}") for k in range(200)]
+    got = warc_index.write_and_read(spark.createDataFrame(pages, PAGES))
+    made = sorted(p.name.split("-")[0] for p in set(shared.iterdir()) - before)
+    assert made == ["archives", "captures"]
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_records(pages)
+
+
+def test_copies_of_one_payload_are_split(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16")
+    for name, size in (("advisoryPartitionSizeInBytes", "16k"),
+                       ("skewJoin.skewedPartitionThresholdInBytes", "16k"),
+                       ("skewJoin.skewedPartitionFactor", "1.5")):
+        conf(**{f"spark.sql.adaptive.{name}": size})
+    noise = F.when(F.col("id") % 2 == 0, F.lit("copy")).otherwise(F.col("id").cast("string"))
+    pages = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), noise.alias("html")
+    )
+    rows = warc_index.with_first(pages)
+    got = {tuple(r) for r in rows.groupBy("revisit", "first").count().collect() if r[0]}
+    assert got == {(True, 0, 9_999)}
+    rows.write.format("noop").mode("overwrite").save()
+    rows.collect()
+    assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sort_keys(spark):
     df = spark.createDataFrame([(u,) for u in (*URLS[:6], "http://A.b.org/p?q#f")], "url string")
     got = [r[0] for r in df.select(warc_index.sort_key()).collect()]

@@ -7,7 +7,8 @@ of every block. A lookup finds the file, then the block, then the line by binary
 and fetches only that block and, from the archive, only the records it asked for.
 
 Tasks write to the shared folder through pyarrow's file systems, each attempt under a new
-name; only what the stored tables name counts, so a repeated task does no harm.
+name; only the files that the captures and the list of index files name count, so a repeated
+task does no harm. The captures are the only table that Spark stores on the way.
 """
 
 from __future__ import annotations
@@ -36,7 +37,6 @@ _GAP, _MOST_FETCHED = 64 << 10, 4 << 20
 # No table says when a page was fetched.
 _DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def filesystem(root: str) -> tuple[fs.FileSystem, str]:
@@ -53,18 +53,6 @@ def sort_key(url: str = "url") -> Column:
     return F.coalesce(F.when(F.col(url).contains("://"), key).otherwise(F.col(url)), F.lit(""))
 
 
-def payload_digest(payload: str = "payload") -> Column:
-    """Upper-case base32 of the SHA-1: 20 bits make four letters."""
-    sha = F.sha1(F.col(payload))
-    letters = []
-    for k in range(8):
-        bits = F.conv(F.substring(sha, 5 * k + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            at = F.shiftright(bits, shift).bitwiseAND(F.lit(31)) + 1
-            letters.append(F.substring(F.lit(_BASE32), at, F.lit(1)))
-    return F.concat(*letters)
-
-
 # --- records --------------------------------------------------------------------------
 
 
@@ -133,23 +121,31 @@ def parse_record(member: bytes) -> dict:
 # --- writing --------------------------------------------------------------------------
 
 
-def write_archives(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
-    """Write a record per row of (page_id, url, html); returns the stored captures:
-    surt, page_id, file, offset, length.
+def with_first(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """(page_id, url, html) as page_id, url, payload, its SHA-1, revisit and first.
 
     Of equal payloads of at least ``least_bytes`` bytes the one with the smallest page_id
     is a response, the others revisit it. Rows that share that page_id too are responses
     each; a null id is smallest only among its like. A null html is an empty payload.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", sort_key().alias("surt"), payload.alias("payload"))
-    rows = rows.withColumn("digest", payload_digest())
-    large = F.octet_length("payload") >= least_bytes
-    first = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"))
-    first = stored(first, "payloads")
-    rows = rows.join(first, "digest", "left")
+    rows = pages.select("page_id", "url", payload.alias("payload"))
+    rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
+    rows = rows.withColumn("size", F.octet_length("payload"))
+    large = F.col("size") >= least_bytes
+    first = rows.where(large).groupBy("sha")
+    first = first.agg(F.min("size").alias("size"), F.min("page_id").alias("first"))
+    # By sha alone the sums would stay where they were made, and Spark could not split the
+    # rows of a payload with very many copies.
+    rows = rows.join(first, ["sha", "size"], "left")
     revisit = large & ~F.col("page_id").eqNullSafe(F.col("first"))
-    rows = rows.withColumn("revisit", revisit)
+    return rows.select("page_id", "url", "payload", "sha", revisit.alias("revisit"), "first")
+
+
+def write_archives(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFrame:
+    """Write a record per row of (page_id, url, html), revisits as ``with_first`` has them;
+    returns the stored captures: surt, page_id, file, offset, length.
+    """
     names = ["surt", "page_id", "file", "offset", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,13 +153,15 @@ def write_archives(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFra
         out = name = None
         for batch in small_batches(batches, "payload"):
             places = []
-            columns = ("page_id", "url", "payload", "digest", "revisit", "first")
+            columns = ("page_id", "url", "payload", "sha", "revisit", "first")
             for row in zip(*(column_of(batch, c).to_pylist() for c in columns)):
+                page_id, url, payload, sha, revisit, first = row
+                digest = base64.b32encode(sha).decode()
                 if out is None:
                     files.create_dir(base, recursive=True)
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = files.open_output_stream(f"{base}/{name}", compression=None)
-                member = warc_record(*row)
+                member = warc_record(page_id, url, payload, digest, revisit, first)
                 out.write(member)
                 places.append((name, at, len(member)))
                 at += len(member)
@@ -184,7 +182,7 @@ def write_archives(pages: DataFrame, root: str, least_bytes: int = 0) -> DataFra
         if out is not None:
             out.close()
 
-    rows = rows.select("surt", "page_id", "url", "payload", "digest", "revisit", "first")
+    rows = with_first(pages, least_bytes).withColumn("surt", sort_key())
     return stored(
         rows.mapInArrow(run, "surt string, page_id long, file string, offset long, length long"),
         "captures",
@@ -244,11 +242,8 @@ def write_index(captures: DataFrame, root: str, block_lines: int = BLOCK_LINES)
 
     ordered = captures.repartitionByRange("surt", "page_id")
     ordered = ordered.sortWithinPartitions("surt", "page_id", "file", "offset")
-    made = stored(
-        ordered.mapInArrow(run, "surt string, page_id long, file string, at long, size long"),
-        "index-files",
-    )
-    rows = [r.asDict() for r in made.toLocalIterator()]
+    made = ordered.mapInArrow(run, "surt string, page_id long, file string, at long, size long")
+    rows = [r.asDict() for r in made.collect()]
     return sorted(rows, key=lambda r: _key(r["surt"], r["page_id"]))
 
 
